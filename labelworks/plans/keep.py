@@ -1,0 +1,16 @@
+"""Keeping an intermediate table for reuse."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Cut the lineage in the shared checkpoint folder of the cluster, if it names one.
+
+    Without ``spark.checkpoint.dir`` the table is cached instead; lost blocks are
+    then computed again from its lineage.
+    """
+    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
+        return df.checkpoint()
+    return df.persist()
