@@ -104,7 +104,7 @@ def mean_pop_std(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame
 def _equal_width_bin(x: Column, low: Column, high: Column, bins: int) -> Column:
     """0-based bin; the top edge belongs to the last bin, a single value to the first."""
     at = F.floor(F.try_divide((x - low) * F.lit(bins), high - low))
-    return F.coalesce(F.least(at, F.lit(bins - 1).cast("long")), F.lit(0).cast("long")).cast("int")
+    return F.least(F.coalesce(at, F.lit(0).cast("long")), F.lit(bins - 1).cast("long")).cast("int")
 
 
 def _extremes(df: DataFrame, columns: Sequence[str]) -> Column:

@@ -1,19 +1,24 @@
 """Exact quantiles whose groups never meet in one task.
 
 ``percentile`` and ``median`` buffer every distinct value of a group in one
-place. Here three narrow scans do the same exactly: range boundaries by sketch,
-row counts per range, then only the ranges that hold a wanted rank are sorted.
+place. Here a first narrow scan brackets each wanted rank with a mergeable
+sketch; a second one counts the rows below the bracket and keeps only the values
+inside it, a small fixed share of the group, which are then ranked exactly.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelworks.operators.order import BUCKET, with_range_bucket
+# Sketch accuracy: a bracket spans 2 * MARGIN of the rows around the wanted rank.
+ACCURACY = 10000
+MARGIN = 4.0 / ACCURACY
+# Groups up to this size are ranked whole; above it the margin exceeds 4 ranks.
+WHOLE = 10000
 
 
 def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -33,41 +38,57 @@ def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -
     return rows.where(keep)
 
 
+def _brackets(probs: Sequence[float]) -> Column:
+    """Array of ``prob, low, high`` that surely enclose the ranks next to ``prob``."""
+    edges = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
+    found = F.percentile_approx("value", edges, ACCURACY)
+    n = F.count(F.lit(1))
+
+    def edge(i: int, open_end: bool, end: str) -> Column:
+        unbounded = F.lit(float(end))
+        return unbounded if open_end else F.when(n <= WHOLE, unbounded).otherwise(found[i])
+
+    return F.array(
+        *[
+            F.struct(
+                F.lit(float(p)).alias("prob"),
+                n.alias("n"),
+                edge(i, p - MARGIN <= 0, "-inf").alias("low"),
+                edge(len(probs) + i, p + MARGIN >= 1, "inf").alias("high"),
+            )
+            for i, p in enumerate(probs)
+        ]
+    )
+
+
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Rows ``by, column, prob, value``: linear interpolation between the two nearest ranks."""
     group = [*by, "column"] if len(columns) > 1 else list(by)
-    ranged = with_range_bucket(long_values(df, columns, by), "value", group)
-    ranges = ranged.groupBy(*group, BUCKET).agg(F.count(F.lit(1)).alias("_n"))
-    upto = Window.partitionBy(*group).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = ranges.select(
-        *group,
-        BUCKET,
-        (F.sum("_n").over(upto) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(upto).alias("_through"),
-        F.sum("_n").over(Window.partitionBy(*group)).alias("_total"),
+    rows = long_values(df, columns, by)
+    if group:
+        bracketed = rows.join(rows.groupBy(*group).agg(_brackets(probs).alias("_b")), group)
+    else:
+        bracketed = rows.withColumn("_b", rows.agg(_brackets(probs)).scalar())
+    near = bracketed.select(*group, "value", F.explode("_b").alias("_b")).where(F.col("value") <= F.col("_b.high"))
+    # Rows below the bracket fold into one count on the map side.
+    inside = F.when(F.col("value") >= F.col("_b.low"), F.col("value"))
+    counts = near.groupBy(*group, F.col("_b.prob").alias("prob"), inside.alias("value")).agg(
+        F.first("_b.n").alias("_total"), F.count(F.lit(1)).alias("_n")
     )
+    ranked = Window.partitionBy(*group, "prob").orderBy(F.col("value").asc_nulls_first())
+    through = F.sum("_n").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    placed = counts.withColumn("_through", through)
     at = F.col("prob") * (F.col("_total") - 1)
-    wanted = (
-        placed.withColumn("prob", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-        .withColumn("_at", at)
-        .withColumn("_position", F.explode(F.array_distinct(F.array(F.floor("_at"), F.ceil("_at")))))
-        .where((F.col("_position") >= F.col("_before")) & (F.col("_position") < F.col("_through")))
-    )
-    inside = Window.partitionBy(*group, BUCKET).orderBy("value")
-    inside = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = (
-        ranged.join(wanted.select(*group, BUCKET).distinct(), [*group, BUCKET], "left_semi")
-        .groupBy(*group, BUCKET, "value")
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_run", F.sum("_n").over(inside))
-    )
-    local = F.col("_position") - F.col("_before")
-    hits = wanted.join(values, [*group, BUCKET]).where((local >= F.col("_run") - F.col("_n")) & (local < F.col("_run")))
-    low, high = F.min("value"), F.max("value")
-    share = F.max(F.col("_at") - F.floor("_at"))
-    found = hits.groupBy(*group, "prob").agg((low + (high - low) * share).alias("value"))
+
+    def pick(position: Column) -> Column:
+        covers = (F.col("_through") > position) & (F.col("_through") - F.col("_n") <= position)
+        return F.max(F.when(covers, F.col("value")))
+
+    low, high, share = pick(F.floor(at)), pick(F.ceil(at)), F.max(at - F.floor(at))
+    outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
+    value = F.when(low.isNull() | high.isNull(), outside).otherwise(low + (high - low) * share)
     column = F.col("column") if len(columns) > 1 else F.lit(columns[0]).alias("column")
-    return found.select(*by, column, "prob", "value")
+    return placed.groupBy(*group, "prob").agg(value.alias("value")).select(*by, column, "prob", "value")
 
 
 def group_median(df: DataFrame, group: str, column: str, name: str = "median") -> DataFrame:

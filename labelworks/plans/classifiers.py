@@ -37,6 +37,7 @@ class RidgeClassifier(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReada
     @keyword_only
     def __init__(self, *, alpha=1.0, featuresCol="features", labelCol="label", weightCol=""):
         super().__init__()
+        self._setDefault(alpha=1.0, weightCol="")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -71,6 +72,7 @@ class NeighbourClassifier(Estimator, _NeighbourParams, DefaultParamsReadable, De
     @keyword_only
     def __init__(self, *, k=5, p=2, votes="uniform", keyCol=KEY, featuresCol="features", labelCol="label"):
         super().__init__()
+        self._setDefault(k=5, p=2, votes="uniform", keyCol=KEY)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "NeighbourModel":
@@ -122,6 +124,7 @@ class FourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultP
     @keyword_only
     def __init__(self, *, dims=128, seed=42, featuresCol="features"):
         super().__init__()
+        self._setDefault(dims=128, seed=42)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "FourierFeaturesModel":
@@ -164,6 +167,7 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
     @keyword_only
     def __init__(self, *, C=1.0, kernel="rbf", featuresCol="features", labelCol="label", weightCol="", maxIter=100):
         super().__init__()
+        self._setDefault(C=1.0, kernel="rbf", weightCol="", maxIter=100)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -181,6 +185,7 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
             regParam=1.0 / (self.getOrDefault(self.C) * total),
             standardization=False,
             maxIter=self.getOrDefault(self.maxIter),
+            tol=1e-3,
         )
         if weight:
             svc.setWeightCol(weight)

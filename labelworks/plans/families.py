@@ -95,7 +95,7 @@ def _logistic(p: Params, n: int, weight: str) -> Estimator:
 
 
 def _linear_svc(p: Params, n: int, weight: str) -> Estimator:
-    return _weighted(LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False), weight)
+    return _weighted(LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, tol=1e-4), weight)
 
 
 def _tree(p: Params, n: int, weight: str) -> Estimator:

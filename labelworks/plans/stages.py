@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from labelworks.functions.scalar import coalesce_fill, extract_title, first_char
 from labelworks.operators.profile import mode_value
-from labelworks.operators.quantiles import exact_quantiles, global_median, group_median
+from labelworks.operators.quantiles import exact_quantiles
 from labelworks.operators.select import lookup_join, select_by_type
 from labelworks.plans.keep import keep
 
@@ -114,13 +114,14 @@ class TitleFeatures(Estimator, _TitleParams, DefaultParamsReadable, DefaultParam
     def _fit(self, dataset: DataFrame) -> "TitleFeaturesModel":
         value = self.getOrDefault(self.valueCol)
         titled = dataset.select(self._title().alias("_title"), F.col(value).cast("double").alias("_value"))
-        medians = keep(group_median(titled, "_title", "_value", "_median"))
-        overall = global_median(titled, "_value").first()[0]
+        # Each row counts for its title and, without a title, for all rows.
+        scopes = F.explode(F.array(F.struct(F.lit(False).alias("a"), F.col("_title").alias("t")), F.struct(F.lit(True).alias("a"), F.lit("").alias("t"))))
+        scoped = titled.select(scopes.alias("_s"), "_value").select(F.col("_s.a").alias("_all"), F.col("_s.t").alias("_title"), "_value")
+        medians = keep(exact_quantiles(scoped, ["_value"], [0.5], ["_all", "_title"]).withColumnRenamed("value", "_median"))
+        overall = medians.where("_all").select("_median").first()
         model = self._copyValues(TitleFeaturesModel())
-        model.frames = {"medians": medians}
-        if overall is not None:
-            model._set(globalMedian=overall)
-        return model
+        model.frames = {"medians": medians.where("NOT _all").select("_title", "_median")}
+        return model._set(globalMedian=overall[0]) if overall is not None else model
 
 
 class TitleFeaturesModel(FrameModel, _TitleParams):

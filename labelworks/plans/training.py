@@ -36,7 +36,9 @@ from labelworks.plans.stages import TabularEncoder
 
 KEY, LABEL, FOLD = "row_id", "label", "fold"
 NO_FEATURES = [KEY, LABEL, FOLD, "part"]
-PARALLEL_FITS = 4
+PARALLEL_FITS = 8
+# Fewest encoded rows worth a task of their own in every iteration of a fit.
+ROWS_PER_TASK = 50_000
 
 
 def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], width: int = PARALLEL_FITS) -> list[Any]:
@@ -64,12 +66,14 @@ class Prepared:
 def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
     """Fit the preparation on ``train`` only and encode both tables."""
     encoder = Pipeline(stages=[*[s.copy() for s in feature_stages], TabularEncoder(excludeCols=NO_FEATURES)]).fit(train)
+    n = train.count()
 
     def encode(df: DataFrame) -> DataFrame:
-        return encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features").persist()
+        # Fits pass over the rows many times; few rows should not mean many tiny tasks.
+        encoded = encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features")
+        return encoded.coalesce(1 + n // ROWS_PER_TASK).persist()
 
-    encoded = encode(train)
-    return Prepared(encoder, encoded, encode(valid), encoded.count())
+    return Prepared(encoder, encode(train), encode(valid), n)
 
 
 def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[Prepared]:
@@ -128,6 +132,13 @@ class Benchmark:
     split: Prepared
     folds: list[Prepared]
 
+    def release(self) -> None:
+        """Give the cached tables back."""
+        for table in (self.oof, self.held):
+            table.unpersist()
+        for part in (self.split, *self.folds):
+            part.release()
+
     @property
     def pipelines(self) -> dict[str, PipelineModel]:
         return {n: PipelineModel([self.split.encoder, m]) for n, m in self.models.items()}
@@ -144,8 +155,9 @@ def benchmark_models(
     folds = prepare_folds(stratified_kfold(train, LABEL, KEY, k).persist(), k, feature_stages)
     split = prepare(train, test, feature_stages)
     models = fit_all(split, candidates)
-    oof = cross_validate(folds, candidates)
-    held = predictions(models, split.valid)
+    # Narrow tables that several measures read: predict once, not once per measure.
+    oof = cross_validate(folds, candidates).persist()
+    held = predictions(models, split.valid).persist()
     scores = oof.groupBy("model", FOLD).agg(f1_binary(LABEL, "pred").alias("f1"))
     return Benchmark(leaderboard(result_row(scores, held)), oof, held, models, split, folds)
 
