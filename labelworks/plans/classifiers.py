@@ -43,13 +43,17 @@ class RidgeClassifier(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReada
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         label, weight = F.col(self.getLabelCol()), self.getOrDefault(self.weightCol)
         signed = dataset.withColumn("_y", F.when(label == 1, 1.0).otherwise(-1.0))
-        total = dataset.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
+        w = F.col(weight) if weight else F.lit(1.0)
+        row = dataset.agg(F.sum(w).alias("total"), F.sum(F.when(label == 1, w).otherwise(0.0)).alias("positive")).first()
+        share = row["positive"] / row["total"]
+        # The regression divides its penalty by the deviation of the label.
+        deviation = 2 * np.sqrt(share * (1 - share))
         regression = LinearRegression(
             featuresCol=self.getFeaturesCol(),
             labelCol="_y",
             predictionCol="margin",
             solver="normal",
-            regParam=self.getOrDefault(self.alpha) / total,
+            regParam=float(self.getOrDefault(self.alpha) * deviation / row["total"]),
             elasticNetParam=0.0,
             standardization=False,
         )

@@ -2,15 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import tempfile
+from uuid import uuid4
+
+from pyspark.sql import DataFrame, SparkSession
+
+_own: dict[str, str] = {}
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """Folder the cluster names in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local session uses a temporary folder of its own; on a
+    cluster there is none, because executors would not share it.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if named:
+        return named.rstrip("/")
+    context = spark.sparkContext
+    if not context.master.startswith("local"):
+        return None
+    if context.applicationId not in _own:
+        _own[context.applicationId] = tempfile.mkdtemp(prefix="labelworks-")
+    return _own[context.applicationId]
 
 
 def keep(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the shared checkpoint folder of the cluster, if it names one.
+    """Write the table to the shared folder and go on from the written one.
 
-    Without ``spark.checkpoint.dir`` the table is cached instead; lost blocks are
-    then computed again from its lineage.
+    Later jobs scan files instead of carrying the whole lineage, a lost executor
+    costs nothing that was written, and the planner knows the table's size. With
+    no shared folder the table is cached, and lost blocks are computed again.
     """
-    if df.sparkSession.conf.get("spark.checkpoint.dir", None):
-        return df.checkpoint()
-    return df.persist()
+    folder = shared_folder(df.sparkSession)
+    if folder is None:
+        return df.persist()
+    path = f"{folder}/tables/{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,8 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelworks.operators.ensemble import ensemble, ensemble_details, prediction_frame, weight_list
-from labelworks.plans.families import score_table
 from labelworks.operators.select import union_rows
+from labelworks.plans.families import score_table
+from labelworks.plans.keep import keep
 from labelworks.sources.models import load_discovered, load_model, load_models
 from labelworks.sources.tables import require_columns, submission, write_details, write_submission
 
@@ -49,7 +50,7 @@ def predict_ensemble(
     """Votes per row, and the wide table of every model's part in them."""
     names = list(models)
     shares = dict(zip(names, weight_list(weights, len(names))))
-    scored = score_models(models, table, key).persist()
+    scored = keep(score_models(models, table, key))
     votes = ensemble(scored, kind, shares, at, KEY)
     details = ensemble_details(scored, votes, names, KEY)
     return tuple(t.withColumnRenamed(KEY, key) for t in (votes, details))

@@ -14,6 +14,7 @@ from labelworks.operators.ensemble import weighted_blend
 from labelworks.operators.evaluate import roc_auc
 from labelworks.operators.select import label_join, union_rows
 from labelworks.operators.split import fold_train_rows, fold_valid_rows, stratified_kfold
+from labelworks.plans.keep import keep
 from labelworks.plans.families import FAMILIES, fit_family, score_table
 from labelworks.plans.training import FOLD, KEY, LABEL, run_all
 from labelworks.sources.scores import scan_oof
@@ -42,7 +43,7 @@ def stack_fit(scores: DataFrame, labels: DataFrame, models: Sequence[str], k: in
     """
     spark = scores.sparkSession
     wide = _meta(label_join(scan_oof(scores, models, "oof"), labels, KEY, LABEL), models)
-    folded = stratified_kfold(wide.select(KEY, LABEL, "features"), LABEL, KEY, k).persist()
+    folded = keep(stratified_kfold(wide.select(KEY, LABEL, "features"), LABEL, KEY, k))
     logistic = FAMILIES["logistic_regression"]
 
     def one(fold: int) -> DataFrame:
@@ -50,7 +51,7 @@ def stack_fit(scores: DataFrame, labels: DataFrame, models: Sequence[str], k: in
         model = fit_family(logistic, {"max_iter": 100}, train, train.count())
         return score_table(model, fold_valid_rows(folded, fold), META, [KEY, LABEL, FOLD])
 
-    oof = union_rows(*run_all(spark, [lambda f=f: one(f) for f in range(k)]))
+    oof = keep(union_rows(*run_all(spark, [lambda f=f: one(f) for f in range(k)])))
     model = fit_family(logistic, {"max_iter": 100}, folded, folded.count())
     test = stack_predict(model, scores, models)
     return Stack(model, oof, roc_auc(oof), test)

@@ -32,6 +32,7 @@ from labelworks.operators.split import (
     stratified_split,
 )
 from labelworks.plans.families import FAMILIES, Family, Params, fit_family, score_table
+from labelworks.plans.keep import keep
 from labelworks.plans.stages import TabularEncoder
 
 KEY, LABEL, FOLD = "row_id", "label", "fold"
@@ -51,17 +52,13 @@ def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], width: int
 
 @dataclass
 class Prepared:
-    """Encoded training and evaluation rows of one split, cached, with the encoder."""
+    """Encoded training and evaluation rows of one split, kept, with the encoder."""
 
     encoder: PipelineModel
     train: DataFrame
     valid: DataFrame
     n: int
 
-    def release(self) -> None:
-        self.train.unpersist()
-        self.valid.unpersist()
-
 
 def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
     """Fit the preparation on ``train`` only and encode both tables."""
@@ -71,7 +68,7 @@ def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] =
     def encode(df: DataFrame) -> DataFrame:
         # Fits pass over the rows many times; few rows should not mean many tiny tasks.
         encoded = encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features")
-        return encoded.coalesce(1 + n // ROWS_PER_TASK).persist()
+        return keep(encoded.coalesce(1 + n // ROWS_PER_TASK))
 
     return Prepared(encoder, encode(train), encode(valid), n)
 
@@ -91,7 +88,7 @@ def labelled(df: DataFrame, key: str, target: str) -> DataFrame:
 
 def holdout(df: DataFrame, test_size: float = 0.2, seed: int = SEED) -> tuple[DataFrame, DataFrame]:
     """Training part and test part, stratified by label."""
-    parts = stratified_split(df, LABEL, KEY, test_size, seed).persist()
+    parts = keep(stratified_split(df, LABEL, KEY, test_size, seed))
     return tuple(parts.where(F.col("part") == p).drop("part") for p in ("train", "test"))
 
 
@@ -132,13 +129,6 @@ class Benchmark:
     split: Prepared
     folds: list[Prepared]
 
-    def release(self) -> None:
-        """Give the cached tables back."""
-        for table in (self.oof, self.held):
-            table.unpersist()
-        for part in (self.split, *self.folds):
-            part.release()
-
     @property
     def pipelines(self) -> dict[str, PipelineModel]:
         return {n: PipelineModel([self.split.encoder, m]) for n, m in self.models.items()}
@@ -152,12 +142,12 @@ def benchmark_models(
     k: int = 5,
 ) -> Benchmark:
     """Cross-validate, refit and measure on the holdout every candidate."""
-    folds = prepare_folds(stratified_kfold(train, LABEL, KEY, k).persist(), k, feature_stages)
+    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, k)), k, feature_stages)
     split = prepare(train, test, feature_stages)
     models = fit_all(split, candidates)
     # Narrow tables that several measures read: predict once, not once per measure.
-    oof = cross_validate(folds, candidates).persist()
-    held = predictions(models, split.valid).persist()
+    oof = keep(cross_validate(folds, candidates))
+    held = keep(predictions(models, split.valid))
     scores = oof.groupBy("model", FOLD).agg(f1_binary(LABEL, "pred").alias("f1"))
     return Benchmark(leaderboard(result_row(scores, held)), oof, held, models, split, folds)
 
@@ -272,7 +262,7 @@ def select_and_tune(
     bench = benchmark_models(train, test, candidates, feature_stages, k)
     first = bench.results.first()["model"]
     order = [first, *[n for n in candidates if n != first]]
-    folds = prepare_folds(stratified_kfold(train, LABEL, KEY, search_k).persist(), search_k, feature_stages)
+    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, search_k)), search_k, feature_stages)
     searches = {}
     for name in order:
         family = candidates[name][0]

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,14 +47,9 @@ def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path exists on its file system; lists nothing below it."""
-    try:
-        spark.read.format("text").load(path).schema
-        return True
-    except AnalysisException as error:
-        if "PATH_NOT_FOUND" in str(error):
-            return False
-        raise
+    """Whether the path exists on its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
 
 
 def require_inputs(spark: SparkSession, paths: Sequence[str]) -> None:

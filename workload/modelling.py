@@ -20,6 +20,7 @@ from labelworks.plans import stages as J
 from labelworks.plans import training as M
 from labelworks.plans.classifiers import RidgeClassifier
 from labelworks.plans.families import FAMILIES, score_table
+from labelworks.plans.keep import keep
 from labelworks.sources.models import discover_models as discover
 from labelworks.sources.scores import scan_oof as scan
 from workload.registry import query
@@ -63,8 +64,8 @@ RAW = ["grade", "full_name", "words", "lines", "density", "code", "port"]
 
 
 def split_riders(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Holdout parts of the training table. The texts are read once."""
-    return M.holdout(riders(spark, sf).persist())
+    """Holdout parts of the training table."""
+    return M.holdout(riders(spark, sf))
 
 
 def prepared(spark, sf) -> M.Prepared:
@@ -183,7 +184,7 @@ def embedded_parts(spark, sf):
     table = read(spark, sf, "embeddings").select(
         F.col("vec_id").alias("row_id"), "embedding", F.when(F.col("label") < 5, 1).otherwise(0).alias("label")
     )
-    parts = P.stratified_split(table, "label", "row_id").persist()
+    parts = keep(P.stratified_split(table, "label", "row_id"))
     return parts.where(F.col("part") == "test"), parts.where(F.col("part") == "train")
 
 
@@ -233,13 +234,13 @@ def knn_distance_weights(spark, sf):
 @query(
     "ridge_classifier",
     f"""WITH {WIDE_SQL}, s AS (SELECT avg(value) AS mx, avg(2 * label - 1) AS my, count(*) AS n FROM wide),
-b AS (SELECT sum((value - mx) * (2 * label - 1 - my)) / (sum((value - mx) * (value - mx)) + 5) AS slope FROM wide, s)
+b AS (SELECT sum((value - mx) * (2 * label - 1 - my)) / (sum((value - mx) * (value - mx)) + 1000000) AS slope FROM wide, s)
 SELECT row_id, round(my + slope * (value - mx), 4) AS margin, CASE WHEN my + slope * (value - mx) > 0 THEN 1 ELSE 0 END AS pred
 FROM wide, s, b""",
 )
 def ridge_classifier(spark, sf):
     table = VectorAssembler(inputCols=["value"], outputCol="features").transform(wide(spark, sf))
-    out = RidgeClassifier(alpha=5.0).fit(table).transform(table)
+    out = RidgeClassifier(alpha=1000000.0).fit(table).transform(table)
     # The solver agrees with the closed form to about 1e-9: four places compare it.
     return out.select("row_id", F.round("margin", 4).alias("margin"), F.col("prediction").cast("int").alias("pred"))
 
@@ -282,7 +283,7 @@ def baseline(spark, sf):
 
 @query("cross_validate")
 def cross_validate(spark, sf):
-    folded = P.stratified_kfold(riders(spark, sf).persist(), "label", "row_id", 3).persist()
+    folded = keep(P.stratified_kfold(riders(spark, sf), "label", "row_id", 3))
     folds = M.prepare_folds(folded, 3, [title_stage()])
     return M.cross_validate(folds, M.defaults(["logistic_regression", "decision_tree"]))
 
@@ -298,7 +299,7 @@ def benchmark_models(spark, sf):
 
 def _folds(spark, sf, k: int = 3):
     train, test = split_riders(spark, sf)
-    folds = M.prepare_folds(P.stratified_kfold(train, "label", "row_id", k).persist(), k, [title_stage()])
+    folds = M.prepare_folds(keep(P.stratified_kfold(train, "label", "row_id", k)), k, [title_stage()])
     return folds, M.prepare(train, test, [title_stage()])
 
 
