@@ -15,6 +15,7 @@ from labelworks.functions.scalar import abs_mean, hash_order
 from labelworks.operators.split import SEED, bounded_sample, donor_rows
 from labelworks.plans.classifiers import FourierFeaturesModel
 from labelworks.plans.families import last_stage, score_column
+from labelworks.sources.tables import path_exists
 
 KEY, LABEL = "row_id", "label"
 Predict = Callable[[DataFrame], DataFrame]
@@ -189,14 +190,23 @@ def shapley_summary(
     return _summary(values, name)
 
 
+def _saved_classifier(spark: SparkSession, path: str) -> str:
+    """Folder of the classifier: the path itself, or the last stage of (nested) saved pipelines."""
+    while path_exists(spark, f"{path}/stages"):
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/stages")
+        stages = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+        path = max((s.getPath().toString() for s in stages), key=lambda p: int(p.rsplit("/", 1)[-1].split("_")[0]))
+    return path
+
+
 def tree_nodes(spark: SparkSession, model_path: str, names: Sequence[str], max_depth: int = 3) -> DataFrame:
-    """Nodes of the first tree of a saved tree model, down to ``max_depth``.
+    """Nodes of the first tree of a saved tree model or pipeline ending in one, down to ``max_depth``.
 
     ``node, depth, feature, threshold, left_categories, n_categories, impurity,
     gain, prediction, n_rows, left, right``. The saved node table is read; each
     level is one join of the nodes found so far with their children.
     """
-    data = spark.read.parquet(f"{model_path}/data")
+    data = spark.read.parquet(f"{_saved_classifier(spark, model_path)}/data")
     nodes = data.where(F.col("treeID") == 0).select("nodeData.*") if "treeID" in data.columns else data
     level = nodes.where(F.col("id") == 0).select(F.lit(0).alias("depth"), "*")
     found = level

@@ -7,17 +7,18 @@ from dataclasses import dataclass
 
 from pyspark.ml import Model
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelworks.operators.ensemble import weighted_blend
 from labelworks.operators.evaluate import roc_auc
 from labelworks.operators.select import label_join, union_rows
 from labelworks.operators.split import fold_train_rows, fold_valid_rows, stratified_kfold
-from labelworks.plans.keep import keep
 from labelworks.plans.families import FAMILIES, fit_family, score_table
+from labelworks.plans.keep import keep
 from labelworks.plans.training import FOLD, KEY, LABEL, run_all
-from labelworks.sources.scores import scan_oof
+from labelworks.sources.scores import read_oof, scan_oof
+from labelworks.sources.tables import write_submission
 
 META = "stacking"
 
@@ -69,3 +70,28 @@ def blend(
     oof = weighted_blend(label_join(scan_oof(scores, models, "oof"), labels, KEY, LABEL), models, weights)
     test = weighted_blend(scan_oof(scores, models, "test"), models, weights)
     return roc_auc(oof.withColumn("model", F.lit("blend"))), test.select(KEY, "score")
+
+
+def run_stacking(
+    spark: SparkSession, scores_path: str, labels: DataFrame, models: Sequence[str], output: str, key: str, target: str, k: int = 5
+) -> float | None:
+    """Stack the saved scores, write the test probabilities, return the cross-validated AUC."""
+    stack = stack_fit(read_oof(spark, scores_path, models), labels, models, k)
+    write_submission(stack.test.withColumnRenamed(KEY, key), output, key, "score", target, as_int=False)
+    return stack.auc.first()["roc_auc"]
+
+
+def run_blend(
+    spark: SparkSession,
+    scores_path: str,
+    labels: DataFrame,
+    models: Sequence[str],
+    output: str,
+    key: str,
+    target: str,
+    weights: Sequence[float] = (0.33, 0.33, 0.34),
+) -> float | None:
+    """The same for the weighted sum of the scores."""
+    area, test = blend(read_oof(spark, scores_path, models), labels, models, weights)
+    write_submission(test.withColumnRenamed(KEY, key), output, key, "score", target, as_int=False)
+    return area.first()["roc_auc"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import partial
+from uuid import uuid4
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -15,13 +16,15 @@ from labelworks.operators import evaluate as L
 from labelworks.operators import neighbours as D
 from labelworks.operators import split as P
 from labelworks.plans import explain as N
+from labelworks.plans import prediction as R
 from labelworks.plans import stacking as K
 from labelworks.plans import stages as J
 from labelworks.plans import training as M
 from labelworks.plans.classifiers import RidgeClassifier
 from labelworks.plans.families import FAMILIES, score_table
-from labelworks.plans.keep import keep
+from labelworks.plans.keep import keep, shared_folder
 from labelworks.sources.models import discover_models as discover
+from labelworks.sources.models import load_model, save_model
 from labelworks.sources.scores import scan_oof as scan
 from workload.registry import query
 from workload.scoring import _seats
@@ -465,3 +468,32 @@ def sampled_shapley(spark, sf):
     split = prepared(spark, sf)
     model = M.fit_family(FAMILIES["decision_tree"], {"max_depth": 5}, split.train, split.n)
     return N.shapley_summary("decision_tree", model, split.train, split.valid, J.feature_names(split.train), 50, 5)
+
+
+def saved_tree(spark, sf) -> tuple[str, M.Prepared]:
+    """A tree pipeline saved in the shared folder, or in the warehouse where there is none."""
+    split = prepared(spark, sf)
+    model = M.fit_family(FAMILIES["decision_tree"], {"max_depth": 5}, split.train, split.n)
+    folder = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    return save_model(M.PipelineModel([split.encoder, model]), f"{folder}/models/{uuid4().hex}", "decision_tree"), split
+
+
+@query("tree_nodes")
+def tree_nodes(spark, sf):
+    path, split = saved_tree(spark, sf)
+    return N.tree_nodes(spark, path, J.feature_names(split.train))
+
+
+@query("predict_batch")
+def predict_batch(spark, sf):
+    path, _ = saved_tree(spark, sf)
+    return R.predict_batch(load_model(spark, path), riders(spark, sf).drop("label"), "row_id", "quality")
+
+
+@query("predict_ensemble")
+def predict_ensemble(spark, sf):
+    split = prepared(spark, sf)
+    models = M.fit_all(split, M.defaults(["logistic_regression", "decision_tree"]))
+    pipelines = {n: M.PipelineModel([split.encoder, m]) for n, m in models.items()}
+    votes, _ = R.predict_ensemble(pipelines, riders(spark, sf).drop("label"), "row_id", "weighted_soft_vote", [2, 1])
+    return votes
