@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelworks.functions.scalar import sigmoid_clipped, threshold
+from labelworks.operators.keep import keep
 from labelworks.operators.order import rank_pct_average
 from labelworks.operators.select import widen_scores
 from labelworks.streaming.guard import require_batch
@@ -36,7 +37,7 @@ def probability_like(long: DataFrame, kind: str = "auto") -> DataFrame:
     elif kind == "auto":
         require_batch(long, "probability_like")
         inside = F.coalesce(F.bool_and((F.col("score") >= 0) & (F.col("score") <= 1)), F.lit(True))
-        kinds = given.where(F.col("score").isNotNull()).groupBy("model").agg(inside.alias("_inside"))
+        kinds = keep(given.where(F.col("score").isNotNull()).groupBy("model").agg(inside.alias("_inside")))
         kept = F.when(F.coalesce("_inside", F.lit(True)), F.col("score")).otherwise(sigmoid_clipped("score"))
         given = given.join(kinds, "model", "left").withColumn("score", kept)
     if "pred" in long.columns:
@@ -98,7 +99,7 @@ def _weighted(long: DataFrame, weights: Mapping[str, float] | DataFrame | None)
     if weights is None:
         return long, F.lit(1.0)
     if isinstance(weights, DataFrame):
-        return long.join(weights.select("model", F.col("weight").alias("_w")), "model"), F.col("_w")
+        return long.join(keep(weights.select("model", F.col("weight").alias("_w"))), "model"), F.col("_w")
     table = F.create_map(*[x for m, w in weights.items() for x in (F.lit(m), F.lit(float(w)))])
     return long.withColumn("_w", table[F.col("model")]), F.col("_w")
 

@@ -30,13 +30,18 @@ def shared_folder(spark: SparkSession) -> str | None:
 def keep(df: DataFrame) -> DataFrame:
     """Write the table to the shared folder and go on from the written one.
 
-    Later jobs scan files instead of carrying the whole lineage, a lost executor
-    costs nothing that was written, and the planner knows the table's size. With
-    no shared folder the table is cached, and lost blocks are computed again.
+    Later jobs scan files instead of carrying the whole lineage, and a lost
+    executor costs nothing that was written. The planner then knows the real size
+    of the table: joined to a large one it is broadcast when it is small and
+    shuffled when it is not, without a hint, where the estimate for an aggregate
+    (as large as its input) would first shuffle the large side. With no shared
+    folder the table is cached, and lost blocks are computed again.
     """
     folder = shared_folder(df.sparkSession)
     if folder is None:
-        return df.persist()
+        cached = df.persist()
+        cached.count()
+        return cached
     path = f"{folder}/tables/{uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

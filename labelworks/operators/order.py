@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelworks.functions.scalar import hash_order
+from labelworks.operators.keep import keep
 
 # Ranges per ordered column: WIDTH * WIDTH, found by a two-step search.
 WIDTH = 16
@@ -41,10 +42,10 @@ def with_range_bucket(df: DataFrame, value: str, by: Sequence[str] = ()) -> Data
     """Add ``_bucket``: the balanced value range of each row, counted per ``by`` group.
 
     Equal values always share a range. The boundaries are one array for each
-    group, made by mergeable sketches; AQE broadcasts them when they are small.
+    group, made by mergeable sketches, and broadcast when they are measured to be small.
     """
     if by:
-        bounds = df.groupBy(*by).agg(_range_bounds(value).alias("_bounds"))
+        bounds = keep(df.groupBy(*by).agg(_range_bounds(value).alias("_bounds")))
         joined = df.join(bounds, list(by))
     else:
         joined = df.withColumn("_bounds", df.agg(_range_bounds(value)).scalar())
@@ -70,7 +71,8 @@ def ordered_runs(
     present = df.where(F.col(value).isNotNull())
     for key in by:
         present = present.where(F.col(key).isNotNull())
-    distinct = present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()])
+    # Read three times below (boundaries, range totals, running totals): aggregate once.
+    distinct = keep(present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()]))
     ranged = with_range_bucket(distinct, value, by)
 
     def order(c: str) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelworks.functions.scalar import ratio
+from labelworks.operators.keep import keep
 from labelworks.operators.quantiles import exact_quantiles, long_values
 
 QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
@@ -144,7 +145,7 @@ def density_grid(df: DataFrame, column: str, hue: str, points: int = 50, cut: fl
         (F.col("_low") - F.lit(cut) * width).alias("_from"),
         ((F.col("_high") - F.col("_low") + F.lit(2 * cut) * width) / (points - 1)).alias("_step"),
     )
-    spread = kept.join(grids, hue).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    spread = kept.join(keep(grids), hue).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     at = F.col("_from") + F.col("point") * F.col("_step")
     away = (at - F.col("_x")) / F.col("_h")
     kernel = F.exp(F.lit(-0.5) * away * away)
@@ -154,7 +155,7 @@ def density_grid(df: DataFrame, column: str, hue: str, points: int = 50, cut: fl
 
 def box_stats(df: DataFrame, group: str, column: str) -> DataFrame:
     """Quartiles, whisker ends within 1.5 interquartile ranges, and outlier count."""
-    quartiles = quartile_columns(exact_quantiles(df, [column], list(QUARTILES), [group]), [group])
+    quartiles = keep(quartile_columns(exact_quantiles(df, [column], list(QUARTILES), [group]), [group]))
     reach = F.lit(1.5) * (F.col("q75") - F.col("q25"))
     x = F.col(column).cast("double")
     joined = df.select(group, x.alias("_x")).where(F.col("_x").isNotNull()).join(quartiles, group)

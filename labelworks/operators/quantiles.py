@@ -14,6 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from labelworks.operators.keep import keep
+
 # Sketch accuracy: a bracket spans 2 * MARGIN of the rows around the wanted rank.
 ACCURACY = 10000
 MARGIN = 4.0 / ACCURACY
@@ -66,7 +68,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     group = [*by, "column"] if len(columns) > 1 else list(by)
     rows = long_values(df, columns, by)
     if group:
-        bracketed = rows.join(rows.groupBy(*group).agg(_brackets(probs).alias("_b")), group)
+        bracketed = rows.join(keep(rows.groupBy(*group).agg(_brackets(probs).alias("_b"))), group)
     else:
         bracketed = rows.withColumn("_b", rows.agg(_brackets(probs)).scalar())
     near = bracketed.select(*group, "value", F.explode("_b").alias("_b")).where(F.col("value") <= F.col("_b.high"))
@@ -105,6 +107,6 @@ def global_median(df: DataFrame, column: str, name: str = "median") -> DataFrame
 
 def fill_group_median(df: DataFrame, group: str, column: str) -> DataFrame:
     """Fill missing values with the median of their group, by a lookup join."""
-    medians = exact_quantiles(df, [column], [0.5], [group]).select(group, F.col("value").alias("_fill"))
+    medians = keep(exact_quantiles(df, [column], [0.5], [group]).select(group, F.col("value").alias("_fill")))
     filled = df.join(medians, group, "left").withColumn(column, F.coalesce(F.col(column).cast("double"), F.col("_fill")))
     return filled.select(*df.columns)

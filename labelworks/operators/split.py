@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from labelworks.functions.scalar import hash_order
+from labelworks.operators.keep import keep
 from labelworks.operators.order import hash_rank
 
 SEED = 42
@@ -39,7 +40,7 @@ def stratified_split(
     """Add ``part`` = ``test`` or ``train``, keeping the class shares."""
     ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label], rank="_rank")
     side = F.when(F.col("_rank") <= F.col("_test"), "test").otherwise("train")
-    return ranked.join(_class_quota(df, label, test_size), label).withColumn(name, side).select(*df.columns, name)
+    return ranked.join(keep(_class_quota(df, label, test_size)), label).withColumn(name, side).select(*df.columns, name)
 
 
 def stratified_kfold(
@@ -49,6 +50,7 @@ def stratified_kfold(
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(F.lit(1)).orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
+    offsets = keep(offsets)
     ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label], rank="_rank")
     fold = F.pmod(F.col("_rank") - 1 + F.col("_offset"), F.lit(k)).cast("int")
     return ranked.join(offsets, label).withColumn(name, fold).select(*df.columns, name)

@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.operators.keep import keep
 from labelworks.plans.classifiers import KernelSVC, NeighbourClassifier, RidgeClassifier
 
 SEED = 42
@@ -48,7 +49,7 @@ def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFra
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
     weights = counts.withColumn("_t", totals).select(label, (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(name))
-    return df.join(weights, label)
+    return df.join(keep(weights), label)
 
 
 def _leaf(p: Params) -> int:

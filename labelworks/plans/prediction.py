@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from labelworks.operators.ensemble import ensemble, ensemble_details, prediction_frame, weight_list
 from labelworks.operators.select import union_rows
 from labelworks.plans.families import score_table
-from labelworks.plans.keep import keep
+from labelworks.operators.keep import keep
 from labelworks.sources.models import load_discovered, load_model, load_models
 from labelworks.sources.tables import require_columns, submission, write_details, write_submission
 

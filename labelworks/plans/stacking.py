@@ -15,7 +15,7 @@ from labelworks.operators.evaluate import roc_auc
 from labelworks.operators.select import label_join, union_rows
 from labelworks.operators.split import fold_train_rows, fold_valid_rows, stratified_kfold
 from labelworks.plans.families import FAMILIES, fit_family, score_table
-from labelworks.plans.keep import keep
+from labelworks.operators.keep import keep
 from labelworks.plans.training import FOLD, KEY, LABEL, run_all
 from labelworks.sources.scores import read_oof, scan_oof
 from labelworks.sources.tables import write_submission

@@ -31,7 +31,7 @@ from labelworks.functions.scalar import coalesce_fill, extract_title, first_char
 from labelworks.operators.profile import mode_value
 from labelworks.operators.quantiles import exact_quantiles
 from labelworks.operators.select import lookup_join, select_by_type
-from labelworks.plans.keep import keep
+from labelworks.operators.keep import keep
 
 
 class _FrameWriter(MLWriter):

@@ -32,7 +32,7 @@ from labelworks.operators.split import (
     stratified_split,
 )
 from labelworks.plans.families import FAMILIES, Family, Params, fit_family, score_table
-from labelworks.plans.keep import keep
+from labelworks.operators.keep import keep
 from labelworks.plans.stages import TabularEncoder
 
 KEY, LABEL, FOLD = "row_id", "label", "fold"

@@ -22,7 +22,7 @@ from labelworks.plans import stages as J
 from labelworks.plans import training as M
 from labelworks.plans.classifiers import RidgeClassifier
 from labelworks.plans.families import FAMILIES, score_table
-from labelworks.plans.keep import keep, shared_folder
+from labelworks.operators.keep import keep, shared_folder
 from labelworks.sources.models import discover_models as discover
 from labelworks.sources.models import load_model, save_model
 from labelworks.sources.scores import scan_oof as scan
