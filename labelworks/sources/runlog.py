@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from labelworks.functions.scalar import to_plain, to_plain_json
 from labelworks.operators.evaluate import auc_trapezoid, confusion_matrix, roc_auc, roc_curve, score_metrics
+from labelworks.operators.keep import keep
 from labelworks.operators.select import top_k
 from labelworks.sources.tables import path_exists
 
@@ -115,7 +116,7 @@ class RunLog:
     def log_evaluation(self, key: str, held: DataFrame) -> None:
         """Confusion matrix, and ROC points with both areas where there are scores."""
         self.log_table(f"{key}/confusion_matrix", confusion_matrix(held), "label", "pred", chart="confusion")
-        scored = held.where(F.col("score").isNotNull())
+        scored = keep(held.where(F.col("score").isNotNull()))
         self.log_line(f"{key}/roc_curve", roc_curve(scored).orderBy("fpr", "tpr"), "fpr", "tpr", f"{key} ROC curve")
         areas = auc_trapezoid(scored).join(roc_auc(scored), "model").first()
         if areas is not None:
