@@ -2,29 +2,17 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
-_own: dict[str, str] = {}
 
-
-def shared_folder(spark: SparkSession) -> str | None:
-    """Folder the cluster names in ``spark.checkpoint.dir``.
-
-    Where that is unset, a local session uses a temporary folder of its own; on a
-    cluster there is none, because executors would not share it.
+def shared_folder(spark: SparkSession) -> str:
+    """Folder that the driver and all executors share: ``spark.checkpoint.dir``, or
+    the warehouse where that is unset. Never a folder of one machine's own choosing.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
-        return None
-    if context.applicationId not in _own:
-        _own[context.applicationId] = tempfile.mkdtemp(prefix="labelworks-")
-    return _own[context.applicationId]
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
+    return named.rstrip("/")
 
 
 def keep(df: DataFrame) -> DataFrame:
@@ -34,14 +22,16 @@ def keep(df: DataFrame) -> DataFrame:
     executor costs nothing that was written. The planner then knows the real size
     of the table: joined to a large one it is broadcast when it is small and
     shuffled when it is not, without a hint, where the estimate for an aggregate
-    (as large as its input) would first shuffle the large side. With no shared
-    folder the table is cached, and lost blocks are computed again.
+    (as large as its input) would first shuffle the large side.
     """
-    folder = shared_folder(df.sparkSession)
-    if folder is None:
-        cached = df.persist()
-        cached.count()
-        return cached
-    path = f"{folder}/tables/{uuid4().hex}"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/tables/{spark.sparkContext.applicationId}/{uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete every table this session has kept; its results must have been used by then."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

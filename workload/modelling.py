@@ -474,7 +474,7 @@ def saved_tree(spark, sf) -> tuple[str, M.Prepared]:
     """A tree pipeline saved in the shared folder, or in the warehouse where there is none."""
     split = prepared(spark, sf)
     model = M.fit_family(FAMILIES["decision_tree"], {"max_depth": 5}, split.train, split.n)
-    folder = shared_folder(spark) or spark.conf.get("spark.sql.warehouse.dir")
+    folder = shared_folder(spark)
     return save_model(M.PipelineModel([split.encoder, model]), f"{folder}/models/{uuid4().hex}", "decision_tree"), split
 
 
