@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from labelworks.llm import substrings
+from labelworks.llm import bpe, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,3 +31,14 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 @query("op1_substring_dedup")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(read(spark, sf_dir, "documents"))
+
+
+@query("op3_simhash_near_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.component_digest(read(spark, sf_dir, "documents"))
+
+
+@query("op7_byte_bpe")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip_digest(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
