@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, simhash, substrings
+from labelworks.llm import bpe, chat, licences, simhash, substrings, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,7 +39,59 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_digest(read(spark, sf_dir, "documents"))
 
 
+_ESCAPED = "replace(replace(replace(replace(replace({}, '\\', '\\\\'), '<s>', '<\\s>'), '</s>', '<\\/s>'), '[INST]', '[\\INST]'), '[/INST]', '[\\/INST]')"
+
+
+@query(
+    "op4_prefix_target",
+    f"""WITH turns AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+lengths AS (
+  SELECT *, row_number() OVER w AS pos, count(*) OVER (PARTITION BY conv_id) AS n,
+    sum(length({_ESCAPED.format("role")}) + length({_ESCAPED.format("text")}) + 20) OVER w AS so_far
+  FROM turns WINDOW w AS (PARTITION BY conv_id ORDER BY turn, role, text ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(concat(role, chr(10), text, chr(10)), '' ORDER BY pos)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY pos) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(so_far) FILTER (WHERE role = 'assistant' OR pos = n) AS BIGINT) AS formatted_chars
+FROM lengths GROUP BY conv_id""",
+)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    added = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"),
+        F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit("</s>[INST] ok [/INST]").alias("text"),
+    )
+    table = read(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text")
+    return chat.conversation_digest(table.unionByName(added))
+
+
+#: (verdict, host, path), fixed by the contract
+URL_RULES = (
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+)
+
+
+@query("op6_url_filter")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = urls.train(urls.example_urls(spark))
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(pages, model, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
 @query("op7_byte_bpe")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return bpe.round_trip_digest(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query("op9_licence_scan")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_digest(read(spark, sf_dir, "documents"))
