@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, chat, licences, simhash, substrings, urls
+from labelworks.llm import bpe, chat, decontaminate, language, licences, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,6 +34,25 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(read(spark, sf_dir, "documents"))
 
 
+_WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+
+def _shingles_sql(table: str, key: str) -> str:
+    return f"""SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS shingle FROM (
+    SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, {_WORDS} AS w FROM {table}) WHERE len(w) >= 5)"""
+
+
+@query(
+    "op2_benchmark_decontamination",
+    f"""WITH items AS ({_shingles_sql("benchmark", "item_id")}), docs AS ({_shingles_sql("documents", "doc_id")}),
+sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id),
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
+)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contained(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 @query("op3_simhash_near_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.component_digest(read(spark, sf_dir, "documents"))
@@ -92,6 +111,27 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digest(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
 
 
+@query(
+    "op8_exact_top_k",
+    """WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 1024)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+ranked AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score,
+    row_number() OVER (PARTITION BY q.vec_id ORDER BY list_dot_product(q.v, c.v) DESC, c.vec_id) AS rank
+  FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "embeddings")
+    return topk.top_k(table, table.where(F.col("vec_id") % 100 == 0), 10)
+
+
 @query("op9_licence_scan")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licence_digest(read(spark, sf_dir, "documents"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digest(read(spark, sf_dir, "documents"))

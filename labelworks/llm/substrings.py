@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from labelworks.llm.words import grams, mix, run_hashes, slices, spans, word_hashes
 from labelworks.operators.keep import keep
@@ -270,8 +271,8 @@ def cut_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     """
     cut = _with_spans(docs, window)
     rest = [f for f in docs.schema.fields if f.name != "text"]
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rest)
-    return cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans").mapInArrow(_cut, f"{fields}, text string").select(*[f"`{c}`" for c in docs.columns])
+    shape = T.StructType([*rest, T.StructField("text", T.StringType())])
+    return cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans").mapInArrow(_cut, shape).select(*[f"`{c}`" for c in docs.columns])
 
 
 def kept_digest(docs: DataFrame, window: int = 20) -> DataFrame:
