@@ -180,13 +180,16 @@ def _digest(own: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
 
 
 def _ids(own: Encoder, batch: pa.RecordBatch) -> pa.RecordBatch:
-    at, values = [0], []
+    at, values, decoded = [0], [], []
     for text in batch.column(1):
-        part = np.array("".join([p[1] for p in own.pieces(text.as_py() or "")]).split(), np.int32)
+        found = own.pieces(text.as_py() or "")
+        part = np.array("".join([p[1] for p in found]).split(), np.int32)
         values.append(part)
         at.append(at[-1] + len(part))
+        decoded.append(hashlib.sha256(b"".join([p[2] for p in found])).hexdigest())
     flat = pa.array(np.concatenate(values) if values else np.empty(0, np.int32), pa.int32())
-    return pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)], names=["doc_id", "ids"])
+    ids = pa.ListArray.from_arrays(pa.array(at, pa.int32()), flat)
+    return pa.RecordBatch.from_arrays([batch.column(0), ids, pa.array(np.diff(at), pa.int64()), pa.array(decoded, pa.string())], names=["doc_id", "ids", "n_tokens", "decoded_sha256"])
 
 
 def _encoder(docs: DataFrame, ranks_path: str, pattern: str):
@@ -196,9 +199,10 @@ def _encoder(docs: DataFrame, ranks_path: str, pattern: str):
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id long, ids array<int>`` of every row; null and empty texts have no ids."""
+    """``doc_id long, ids array<int>, n_tokens long, decoded_sha256 string`` of every row,
+    the last of the bytes that the ids decode to; null and empty texts have no ids."""
     tokens, pattern = _encoder(docs, ranks_path, pattern)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_run(tokens, pattern, _ids), "doc_id long, ids array<int>")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_run(tokens, pattern, _ids), "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, chat, decontaminate, language, licences, simhash, substrings, topk, urls
+from labelworks.llm import bpe, chat, decontaminate, html, language, licences, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -88,6 +88,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.conversation_digest(table.unionByName(added))
 
 
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(read(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
 #: (verdict, host, path), fixed by the contract
 URL_RULES = (
     ("allow", "org", "/"),
