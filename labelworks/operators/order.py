@@ -3,12 +3,13 @@
 Running totals, ranks and numberings over a whole table are usually written as
 an unpartitioned window, which sends every row to one task. Here the order is
 cut into value ranges (or hash prefixes) first. Each range is sorted on its own
-and shifted by the totals of the ranges before it; the table of range totals has
-a fixed maximum size.
+and shifted by the totals of the ranges before it; there are as many ranges as the
+number of distinct values asks for.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -18,38 +19,65 @@ from pyspark.sql.window import Window
 from labelworks.functions.scalar import hash_order
 from labelworks.operators.keep import keep
 
-# Ranges per ordered column: WIDTH * WIDTH, found by a two-step search.
-WIDTH = 16
+# Distinct values in a range, and copies of one value that a join may bring to one key.
+ROWS = 1 << 22
+HOT = 1 << 22
 BUCKET = "_bucket"
 HASH = "_hash"
 
 
-def _range_bounds(value: str) -> Column:
+def range_width(rows: int) -> int:
+    """Side of the square number of ranges that a table of so many distinct values is cut into."""
+    return max(4, math.isqrt(max(0, rows - 1) // ROWS) + 1)
+
+
+def _range_bounds(value: str, width: int) -> Column:
     """Approximate quantile boundaries: exactness of results never depends on them."""
-    n = WIDTH * WIDTH
+    n = width * width
     return F.percentile_approx(value, [i / n for i in range(1, n)], 8 * n)
 
 
-def _range_of(bounds: Column, value: Column) -> Column:
-    """Number of boundaries at or below the value, looking at 2 * WIDTH of them."""
-    every = F.sequence(F.lit(WIDTH), F.lit(WIDTH * (WIDTH - 1)), F.lit(WIDTH))
+def _range_of(bounds: Column, value: Column, width: int) -> Column:
+    """Number of boundaries at or below the value, looking at 2 * width of them."""
+    every = F.sequence(F.lit(width), F.lit(width * (width - 1)), F.lit(width))
     coarse = F.size(F.filter(every, lambda i: F.element_at(bounds, i) <= value))
-    fine = F.slice(bounds, coarse * WIDTH + 1, F.lit(WIDTH - 1))
-    return coarse * WIDTH + F.size(F.filter(fine, lambda b: b <= value))
+    fine = F.slice(bounds, coarse * width + 1, F.lit(width - 1))
+    return coarse * width + F.size(F.filter(fine, lambda b: b <= value))
 
 
-def with_range_bucket(df: DataFrame, value: str, by: Sequence[str] = ()) -> DataFrame:
+def with_range_bucket(df: DataFrame, value: str, by: Sequence[str] = (), width: int = 16) -> DataFrame:
     """Add ``_bucket``: the balanced value range of each row, counted per ``by`` group.
 
-    Equal values always share a range. The boundaries are one array for each
-    group, made by mergeable sketches, and broadcast when they are measured to be small.
+    Equal values always share a range; there are ``width`` times ``width`` of them. The
+    boundaries are one array for each group, made by mergeable sketches, and broadcast
+    when they are measured to be small.
     """
     if by:
-        bounds = keep(df.groupBy(*by).agg(_range_bounds(value).alias("_bounds")))
+        bounds = keep(df.groupBy(*by).agg(_range_bounds(value, width).alias("_bounds")))
         joined = df.join(bounds, list(by))
     else:
-        joined = df.withColumn("_bounds", df.agg(_range_bounds(value)).scalar())
-    return joined.withColumn(BUCKET, _range_of(F.col("_bounds"), F.col(value))).drop("_bounds")
+        joined = df.withColumn("_bounds", df.agg(_range_bounds(value, width)).scalar())
+    return joined.withColumn(BUCKET, _range_of(F.col("_bounds"), F.col(value), width)).drop("_bounds")
+
+
+def join_values(df: DataFrame, found: DataFrame, keys: Sequence[str], n: str, columns: Sequence[str], hot: int = HOT) -> DataFrame:
+    """Left join of ``columns`` of ``found``, one row for each combination of ``keys``.
+
+    ``n`` counts the rows of ``df`` that a combination has. One with more than ``hot``
+    rows is spread over as many keys as that takes, and rows with a missing key do not
+    meet at all.
+    """
+    keys, missing = list(keys), F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    parts = F.ceil(F.col(n) / F.lit(hot)).cast("int")
+    common = keep(found.where(F.col(n) > hot).select(*keys, parts.alias("_parts")))
+    salt = F.pmod(F.xxhash64(*df.columns), F.coalesce("_parts", F.lit(1))).cast("int")
+    rows = df.where(~missing).join(common, keys, "left").withColumn("_salt", salt).drop("_parts")
+    spread = found.select(*keys, *columns, F.explode(F.sequence(F.lit(0), parts - 1)).alias("_salt"))
+    joined = rows.join(spread, [*keys, "_salt"], "left").select(*df.columns, *columns)
+    types = dict(found.dtypes)
+    return joined.unionByName(df.where(missing).select(*df.columns, *[F.lit(None).cast(types[c]).alias(c) for c in columns]))
 
 
 def ordered_runs(
@@ -73,7 +101,7 @@ def ordered_runs(
         present = present.where(F.col(key).isNotNull())
     # Read three times below (boundaries, range totals, running totals): aggregate once.
     distinct = keep(present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()]))
-    ranged = with_range_bucket(distinct, value, by)
+    ranged = with_range_bucket(distinct, value, by, range_width(distinct.count()))
 
     def order(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()
@@ -113,12 +141,12 @@ def hash_rank(
 ) -> DataFrame:
     """Number the rows 1..n (for each ``by`` group) in the order md5(seed|key), key.
 
-    ``key`` must be unique. Rows are sorted inside hash prefixes, which stay
+    ``key`` must be unique; rows without a key come first. Rows are sorted inside hash prefixes, which stay
     balanced whatever the group sizes are; at most 65,536 prefix counts per group
     are accumulated to shift them.
     """
     by = list(by)
-    hashed = df.withColumn(HASH, hash_order(key, seed)).withColumn(BUCKET, F.substring(HASH, 1, 4))
+    hashed = df.withColumn(HASH, F.coalesce(hash_order(key, seed), F.lit(""))).withColumn(BUCKET, F.substring(HASH, 1, 4))
     counts = hashed.groupBy(*by, BUCKET).agg(F.count(F.lit(1)).alias("_rows"))
     earlier = Window.partitionBy(*by).orderBy(BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     shifts = counts.select(
@@ -133,23 +161,20 @@ def hash_rank(
 
 
 def sequence_number(df: DataFrame, key: str, name: str = "id", start: int = 1) -> DataFrame:
-    """Number the rows in ``key`` order (numeric, unique) without a one-task window."""
+    """Number the rows in ``key`` order (numeric, unique) without a one-task window; rows
+    without a key get no number."""
     runs = ordered_runs(df.select(key), key, {"n": F.count(F.lit(1))})
-    numbers = runs.select(key, (F.col("n_before") + F.lit(start)).alias(name))
-    return df.join(numbers, key)
+    return join_values(df, runs.select(key, F.col("n").alias("_count"), (F.col("n_before") + F.lit(start)).alias(name)), [key], "_count", [name])
 
 
 def rank_pct_average(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank_pct") -> DataFrame:
     """Average rank of ties as a share of the present values; missing stays missing."""
     runs = ordered_runs(df, value, {"n": F.count(F.lit(1))}, by)
-    ranks = runs.select(
-        *by, value, ((F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")).alias(name)
-    )
-    return df.join(ranks, [*by, value], "left")
+    share = (F.col("n_before") + (F.col("n") + 1) / 2) / F.col("n_total")
+    return join_values(df, runs.select(*by, value, F.col("n").alias("_count"), share.alias(name)), [*by, value], "_count", [name])
 
 
 def rank_min(df: DataFrame, value: str, by: Sequence[str] = (), name: str = "rank", descending: bool = True) -> DataFrame:
     """Rank where ties share the lowest number; missing values stay unranked."""
     runs = ordered_runs(df, value, {"n": F.count(F.lit(1))}, by, descending=descending)
-    ranks = runs.select(*by, value, (F.col("n_before") + 1).alias(name))
-    return df.join(ranks, [*by, value], "left")
+    return join_values(df, runs.select(*by, value, F.col("n").alias("_count"), (F.col("n_before") + 1).alias(name)), [*by, value], "_count", [name])

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from labelworks.functions.scalar import ratio
 from labelworks.operators.keep import keep
-from labelworks.operators.quantiles import exact_quantiles, long_values
+from labelworks.operators.quantiles import exact_quantiles
+from labelworks.operators.select import union_rows
 
 QUARTILES = {0.25: "q25", 0.5: "q50", 0.75: "q75"}
 
@@ -27,9 +28,15 @@ def _text_rows(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 
 def nunique_all(df: DataFrame, approximate: bool = False) -> DataFrame:
-    """Distinct count of every column, missing values excluded."""
-    count = F.approx_count_distinct if approximate else F.count_distinct
-    return df.agg(*[count(F.col(c)).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_unique")
+    """Distinct count of every column, missing values excluded.
+
+    Exact counts read each column by itself, so a row is never copied for each column;
+    ``approximate`` counts all columns of a wide table in one pass with sketches.
+    """
+    if approximate:
+        return df.agg(*[F.approx_count_distinct(c).alias(c) for c in df.columns]).unpivot([], df.columns, "column", "n_unique")
+    counts = [df.select(c).where(F.col(c).isNotNull()).distinct().agg(F.lit(c).alias("column"), F.count(F.lit(1)).alias("n_unique")) for c in df.columns]
+    return union_rows(*counts)
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
@@ -64,17 +71,14 @@ def crosstab_rate(df: DataFrame, row: str, column: str, values: Sequence[object]
 
 def describe_numeric(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """Count, mean, sample deviation, extremes and exact quartiles of each column."""
-    group = [*by, "column"]
-    rows = long_values(df, columns, by)
-    if len(columns) == 1:
-        rows = rows.withColumn("column", F.lit(columns[0]))
-    basic = rows.groupBy(*group).agg(
-        F.count("value").alias("n"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    group, names = [*by, "column"], ["n", "mean", "std", "min", "max"]
+    present = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
+    for key in by:
+        present = present.where(F.col(key).isNotNull())
+    measures = (F.count, F.avg, F.stddev_samp, F.min, F.max)
+    cells = [F.struct(F.lit(c).alias("column"), *[m(c).alias(n) for m, n in zip(measures, names)]) for c in columns]
+    wide = present.groupBy(*by).agg(F.array(*cells).alias("_s"))
+    basic = wide.select(*by, F.explode("_s").alias("_s")).select(*by, "_s.*").where(F.col("n") > 0)
     quartiles = quartile_columns(exact_quantiles(df, columns, list(QUARTILES), by), group)
     return basic.join(quartiles, group)
 
@@ -129,8 +133,9 @@ def density_grid(df: DataFrame, column: str, hue: str, points: int = 50, cut: fl
 
     Bandwidth is sample deviation times n^(-1/5). The grid spans the values of the
     hue, widened by ``cut`` bandwidths (0 under a histogram, 2 for a violin
-    outline). Each row adds its kernel to every grid point inside the map-side
-    aggregate, so only hues x points sums are shuffled.
+    outline). Equal values are counted first; each distinct value then adds its
+    weighted kernel to every grid point inside the map-side aggregate, so only hues x
+    points sums are shuffled. A hue whose values do not vary has one row without point.
     """
     x = F.col(column).cast("double")
     kept = df.select(hue, x.alias("_x")).where(F.col("_x").isNotNull() & F.col(hue).isNotNull())
@@ -145,12 +150,16 @@ def density_grid(df: DataFrame, column: str, hue: str, points: int = 50, cut: fl
         (F.col("_low") - F.lit(cut) * width).alias("_from"),
         ((F.col("_high") - F.col("_low") + F.lit(2 * cut) * width) / (points - 1)).alias("_step"),
     )
-    spread = kept.join(keep(grids), hue).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
+    weighted = kept.groupBy(hue, "_x").agg(F.count(F.lit(1)).alias("_w"))
+    spread = weighted.join(keep(grids), hue).withColumn("point", F.explode(F.sequence(F.lit(0), F.lit(points - 1))))
     at = F.col("_from") + F.col("point") * F.col("_step")
     away = (at - F.col("_x")) / F.col("_h")
     kernel = F.exp(F.lit(-0.5) * away * away)
     scale = F.first("_n") * F.first("_h") * F.sqrt(F.lit(2.0) * F.pi())
-    return spread.groupBy(hue, "point").agg(F.first(at).alias("x"), (F.sum(kernel) / scale).alias("density"))
+    curves = spread.groupBy(hue, "point").agg(F.first(at).alias("x"), (F.sum(F.col("_w") * kernel) / scale).alias("density"))
+    flat = stats.where(F.col("_std").isNull() | (F.col("_std") == 0))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("point", "int"), ("x", "double"), ("density", "double"))]
+    return curves.unionByName(flat.select(hue, *nothing))
 
 
 def box_stats(df: DataFrame, group: str, column: str) -> DataFrame:

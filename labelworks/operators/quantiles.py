@@ -2,8 +2,9 @@
 
 ``percentile`` and ``median`` buffer every distinct value of a group in one
 place. Here a first narrow scan brackets each wanted rank with a mergeable
-sketch; a second one counts the rows below the bracket and keeps only the values
-inside it, a small fixed share of the group, which are then ranked exactly.
+sketch; a second one counts the rows below each bracket, and a third keeps only
+the values inside it. Those are cut into ranges by a second sketch, and only the
+ranges that hold a wanted rank are sorted: a few millionths of the group.
 """
 
 from __future__ import annotations
@@ -16,81 +17,78 @@ from pyspark.sql.window import Window
 
 from labelworks.operators.keep import keep
 
-# Sketch accuracy: a bracket spans 2 * MARGIN of the rows around the wanted rank.
+# Sketch accuracy. A bracket spans a share of the rows on each side of the wanted
+# rank: the smallest of MARGINS that is at least RANKS rows, everything in a group
+# too small for any of them.
 ACCURACY = 10000
-MARGIN = 4.0 / ACCURACY
-# Groups up to this size are ranked whole; above it the margin exceeds 4 ranks.
-WHOLE = 10000
+MARGINS = [4.0 / ACCURACY * 10**i for i in range(4)]
+RANKS = 4
+# Ranges that the values inside a bracket are cut into.
+RANGES = 256
 
 
-def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``by, column, value`` for the present values; missing group keys are dropped.
+def _brackets(column: str, probs: Sequence[float]) -> Column:
+    """Struct of ``n`` and, for each prob, ``low, high`` that surely enclose the ranks next to it."""
+    shares = sorted({min(1.0, max(0.0, p + side * m)) for p in probs for m in MARGINS for side in (-1, 1)})
+    found, n = F.percentile_approx(column, shares, ACCURACY), F.count(column)
 
-    With a single column there is nothing to tell apart and ``column`` is left out.
-    """
-    by = list(by)
-    if len(columns) == 1:
-        rows = df.select(*by, F.col(columns[0]).cast("double").alias("value"))
-    else:
-        wide = df.select(*by, *[F.col(c).cast("double").alias(c) for c in columns])
-        rows = wide.unpivot(by, list(columns), "column", "value")
-    keep = F.col("value").isNotNull()
-    for key in by:
-        keep = keep & F.col(key).isNotNull()
-    return rows.where(keep)
-
-
-def _brackets(probs: Sequence[float]) -> Column:
-    """Array of ``prob, low, high`` that surely enclose the ranks next to ``prob``."""
-    edges = [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
-    found = F.percentile_approx("value", edges, ACCURACY)
-    n = F.count(F.lit(1))
+    def edge(p: float, side: int) -> Column:
+        out = F.lit(side * float("inf"))
+        for m in reversed(MARGINS):
+            share = p + side * m
+            if 0 < share < 1:
+                out = F.when(n * m >= RANKS, found[shares.index(share)]).otherwise(out)
+            else:
+                out = F.when(n * m >= RANKS, F.lit(side * float("inf"))).otherwise(out)
+        return out
 
-    def edge(i: int, open_end: bool, end: str) -> Column:
-        unbounded = F.lit(float(end))
-        return unbounded if open_end else F.when(n <= WHOLE, unbounded).otherwise(found[i])
-
-    return F.array(
-        *[
-            F.struct(
-                F.lit(float(p)).alias("prob"),
-                n.alias("n"),
-                edge(i, p - MARGIN <= 0, "-inf").alias("low"),
-                edge(len(probs) + i, p + MARGIN >= 1, "inf").alias("high"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
+    pairs = [F.struct(edge(p, -1).alias("low"), edge(p, 1).alias("high")) for p in probs]
+    return F.struct(n.alias("n"), F.array(*pairs).alias("at"))
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
-    """Rows ``by, column, prob, value``: linear interpolation between the two nearest ranks."""
-    group = [*by, "column"] if len(columns) > 1 else list(by)
-    rows = long_values(df, columns, by)
-    if group:
-        bracketed = rows.join(keep(rows.groupBy(*group).agg(_brackets(probs).alias("_b"))), group)
+    """Rows ``by, column, prob, value``: linear interpolation between the two nearest ranks.
+
+    Missing values do not count, and missing group keys form no group.
+    """
+    by, columns = list(by), list(columns)
+    rows = df.select(*by, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    for key in by:
+        rows = rows.where(F.col(key).isNotNull())
+    brackets = F.struct(*[_brackets(f"_c{i}", probs).alias(f"b{i}") for i in range(len(columns))])
+    if by:
+        rows = rows.join(keep(rows.groupBy(*by).agg(brackets.alias("_b"))), by)
     else:
-        bracketed = rows.withColumn("_b", rows.agg(_brackets(probs)).scalar())
-    near = bracketed.select(*group, "value", F.explode("_b").alias("_b")).where(F.col("value") <= F.col("_b.high"))
-    # Rows below the bracket fold into one count on the map side.
-    inside = F.when(F.col("value") >= F.col("_b.low"), F.col("value"))
-    counts = near.groupBy(*group, F.col("_b.prob").alias("prob"), inside.alias("value")).agg(
-        F.first("_b.n").alias("_total"), F.count(F.lit(1)).alias("_n")
-    )
-    ranked = Window.partitionBy(*group, "prob").orderBy(F.col("value").asc_nulls_first())
-    through = F.sum("_n").over(ranked.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    placed = counts.withColumn("_through", through)
-    at = F.col("prob") * (F.col("_total") - 1)
-
-    def pick(position: Column) -> Column:
-        covers = (F.col("_through") > position) & (F.col("_through") - F.col("_n") <= position)
+        rows = rows.withColumn("_b", rows.agg(brackets).scalar())
+    cells = [(i, j, F.col(f"_c{i}"), F.col(f"_b.b{i}")) for i in range(len(columns)) for j in range(len(probs))]
+    # Two aggregates without a copy of a row for each column: what lies below, and what lies inside.
+    counts = [F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.max(b["n"]).alias("_total"), F.count_if(c < b["at"][j]["low"]).alias("_below")) for i, j, c, b in cells]
+    keys = [*by, "_i", "_j"]
+    wanted = rows.groupBy(*by).agg(F.array(*counts).alias("_s")).select(*by, F.explode("_s").alias("_s")).select(*by, "_s.*").where(F.col("_total") > 0)
+    at = F.get(F.array(*map(F.lit, probs)), F.col("_j")) * (F.col("_total") - 1)
+    wanted = wanted.select(*keys, (F.floor(at) - F.col("_below")).alias("_lo"), (F.ceil(at) - F.col("_below")).alias("_hi"), (at - F.floor(at)).alias("_share"))
+    near = [F.when((c >= b["at"][j]["low"]) & (c <= b["at"][j]["high"]), F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), c.alias("value"))) for i, j, c, b in cells]
+    inside = rows.select(*by, F.explode(F.array_compact(F.array(*near))).alias("_v")).groupBy(*by, "_v._i", "_v._j", "_v.value").agg(F.count(F.lit(1)).alias("_n"))
+    # The bracket again, in ranges: one row for each, then the values of one or two of them.
+    bounds = inside.groupBy(*keys).agg(F.percentile_approx("value", [k / RANGES for k in range(1, RANGES)], 8 * RANGES).alias("_bounds"))
+    ranged = inside.join(bounds, keys).withColumn("_r", F.size(F.filter("_bounds", lambda x: x <= F.col("value")))).drop("_bounds")
+    through = Window.partitionBy(*keys).orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranges = ranged.groupBy(*keys, "_r").agg(F.sum("_n").alias("_rows")).withColumn("_through", F.sum("_rows").over(through))
+    holds = lambda p: (F.col("_through") > F.col(p)) & (F.col("_through") - F.col("_rows") <= F.col(p))
+    chosen = ranges.join(wanted, keys).where(holds("_lo") | holds("_hi"))
+    order = Window.partitionBy(*keys, "_r").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = ranged.join(chosen, [*keys, "_r"]).withColumn("_last", F.col("_through") - F.col("_rows") + F.sum("_n").over(order))
+
+    def pick(position: str) -> Column:
+        covers = (F.col("_last") > F.col(position)) & (F.col("_last") - F.col("_n") <= F.col(position))
         return F.max(F.when(covers, F.col("value")))
 
-    low, high, share = pick(F.floor(at)), pick(F.ceil(at)), F.max(at - F.floor(at))
+    low, high, share = pick("_lo"), pick("_hi"), F.max("_share")
     outside = F.raise_error(F.lit("a quantile lies outside its bracket")).cast("double")
     value = F.when(low.isNull() | high.isNull(), outside).otherwise(low + (high - low) * share)
-    column = F.col("column") if len(columns) > 1 else F.lit(columns[0]).alias("column")
-    return placed.groupBy(*group, "prob").agg(value.alias("value")).select(*by, column, "prob", "value")
+    found = placed.groupBy(*keys).agg(value.alias("value"))
+    column, prob = F.get(F.array(*map(F.lit, columns)), F.col("_i")), F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_j"))
+    return found.select(*by, column.alias("column"), prob.alias("prob"), "value")
 
 
 def group_median(df: DataFrame, group: str, column: str, name: str = "median") -> DataFrame:

@@ -37,28 +37,38 @@ def _class_quota(df: DataFrame, label: str, test_size: float) -> DataFrame:
 def stratified_split(
     df: DataFrame, label: str, key: str, test_size: float = 0.2, seed: object = SEED, name: str = "part"
 ) -> DataFrame:
-    """Add ``part`` = ``test`` or ``train``, keeping the class shares."""
+    """Add ``part`` = ``test`` or ``train``, keeping the class shares; rows without a label
+    belong to neither and have a missing part."""
     ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label], rank="_rank")
     side = F.when(F.col("_rank") <= F.col("_test"), "test").otherwise("train")
-    return ranked.join(keep(_class_quota(df, label, test_size)), label).withColumn(name, side).select(*df.columns, name)
+    placed = ranked.join(keep(_class_quota(df, label, test_size)), label).withColumn(name, side).select(*df.columns, name)
+    return placed.unionByName(_unlabelled(df, label, name, "string"))
+
+
+def _unlabelled(df: DataFrame, label: str, name: str, kind: str) -> DataFrame:
+    return df.where(F.col(label).isNull()).withColumn(name, F.lit(None).cast(kind))
 
 
 def stratified_kfold(
     df: DataFrame, label: str, key: str, k: int = 5, seed: object = SEED, name: str = "fold"
 ) -> DataFrame:
-    """Add ``fold`` in 0..k-1; fold sizes differ by at most one, within classes and in all."""
+    """Add ``fold`` in 0..k-1; fold sizes differ by at most one, within classes and in all.
+    Rows without a label belong to no fold and have a missing one."""
     counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(F.lit(1)).orderBy(label).rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(label, F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_offset"))
     offsets = keep(offsets)
     ranked = hash_rank(df.where(F.col(label).isNotNull()), key, seed, [label], rank="_rank")
     fold = F.pmod(F.col("_rank") - 1 + F.col("_offset"), F.lit(k)).cast("int")
-    return ranked.join(offsets, label).withColumn(name, fold).select(*df.columns, name)
+    folded = ranked.join(offsets, label).withColumn(name, fold).select(*df.columns, name)
+    return folded.unionByName(_unlabelled(df, label, name, "int"))
 
 
 def hashed_kfold(df: DataFrame, key: str, k: int = 5, seed: int = SEED, name: str = "fold") -> DataFrame:
-    """Folds without any shuffle; balanced in expectation only."""
-    return df.withColumn(name, F.pmod(F.xxhash64(F.lit(seed), F.col(key)), F.lit(k)).cast("int"))
+    """Folds without any shuffle, from the first eight digits of md5(seed|key); balanced
+    in expectation only. Rows without a key have a missing fold."""
+    digits = F.conv(F.substring(hash_order(key, seed), 1, 8), 16, 10).cast("long")
+    return df.withColumn(name, F.pmod(digits, F.lit(k)).cast("int"))
 
 
 def fold_train_rows(df: DataFrame, fold: int, name: str = "fold") -> DataFrame:
@@ -120,13 +130,13 @@ def grid_points(lists: Mapping[str, Column], sizes: Mapping[str, Column], source
 
 def parameter_grid(spark: SparkSession, space: Mapping[str, Sequence[object]]) -> DataFrame:
     """All points of a search space, values as text (JSON form), numbered from 0."""
-    from labelworks.functions.scalar import to_plain_json
+    from labelworks.functions.scalar import to_json
 
     size = prod(len(v) for v in space.values())
     names, stride = list(space), size
     out = []
     for name in names:
-        values = F.array(*[F.lit(to_plain_json(v)) for v in space[name]])
+        values = F.array(*[F.lit(to_json(v)) for v in space[name]])
         stride //= len(space[name])
         out.append(F.get(values, F.floor(F.col("id") / stride).cast("int") % len(space[name])).alias(name))
     return spark.range(size).select(F.col("id").alias("point"), *out)

@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.operators.ensemble import ensemble, ensemble_details, prediction_frame, weight_list
+from labelworks.operators.ensemble import ensemble, ensemble_details, normalize_weights, prediction_frame
 from labelworks.operators.select import union_rows
 from labelworks.plans.families import score_table
 from labelworks.operators.keep import keep
@@ -48,10 +48,14 @@ def predict_ensemble(
     at: float = 0.5,
 ) -> tuple[DataFrame, DataFrame]:
     """Votes per row, and the wide table of every model's part in them."""
-    names = list(models)
-    shares = dict(zip(names, weight_list(weights, len(names))))
+    names, given = list(models), None
+    if weights is not None and kind.startswith("weighted"):
+        if len(weights) != len(names):
+            raise ValueError(f"{len(names)} models, but weights for {len(weights)}")
+        given = table.sparkSession.createDataFrame([(n, float(w)) for n, w in zip(names, weights)], "model string, weight double")
+        given = normalize_weights(given, given)
     scored = keep(score_models(models, table, key))
-    votes = ensemble(scored, kind, shares, at, KEY)
+    votes = ensemble(scored, kind, given, at, KEY)
     details = ensemble_details(scored, votes, names, KEY)
     return tuple(t.withColumnRenamed(KEY, key) for t in (votes, details))
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelworks.functions.metrics import f1_binary
+from labelworks.operators.evaluate import score_metrics
 from labelworks.operators.split import SEED
 from labelworks.plans import explain
 from labelworks.plans.families import BASELINE_DRAWS, BASELINE_SPACE, FAMILIES, Family, Params, last_stage, score_table
@@ -26,16 +27,22 @@ from labelworks.plans.training import (
     Selection,
     baseline,
     defaults,
-    family_result,
     holdout,
     labelled,
     search,
     select_and_tune,
 )
 from labelworks.sources.models import save_model
-from labelworks.sources.runlog import RunLog
+from labelworks.sources.runlog import TABLES, RunLog
 
 REPEATS = 5
+# Aliases every registered model carries.
+ALIASES = ["latest"]
+
+
+def _fold_scores(oof: DataFrame) -> DataFrame:
+    """F1 of each model and fold, folds counted from 1."""
+    return oof.groupBy("model", (F.col(FOLD) + 1).alias(FOLD)).agg(f1_binary(LABEL, "pred").alias("f1"))
 
 
 @dataclass
@@ -103,20 +110,20 @@ def run_training(
     train, test = holdout(labelled(table, key, target))
     configs = {n: {**f.defaults, **p} for n, (f, p) in candidates.items()}
     forest = {**FAMILIES["random_forest"].defaults, **(baseline_params or {})}
-    log = RunLog.start_run(spark, log_root, run_id, target, SEED, k, configs, baseline=("baseline_random_forest", forest))
+    models = {"baseline_random_forest": forest, **configs}
+    log = RunLog.start_run(spark, log_root, run_id, models, target=target, random_state=SEED, n_splits=k)
 
     first = baseline(train, test, feature_stages, k, baseline_params)
     tuned = search(first.folds, first.split, FAMILIES["random_forest"], *tuning)
     if log is not None:
-        folds = first.oof.groupBy("model", FOLD).agg(f1_binary(LABEL, "pred").alias("f1"))
-        log.log_baseline(folds, first.held)
+        log.log_stage("baseline", first.results.first().asDict(), held=first.held, folds=_fold_scores(first.oof))
         held = score_table(tuned.model, first.split.valid, "random_forest_tuned", [KEY, LABEL])
-        log.log_tuning(tuned.results, tuning[0], tuned.best, tuned.best_cv_f1, held)
-        found = explain_model("random_forest_tuned", tuned.model, first.split, test, shapley=True)
-        log.log_importance("tuning/feature_importance", found.importance)
-        log.log_importance("tuning/permutation_importance_raw", found.permutation, "importance_mean")
-        log.log_importance("tuning/permutation_importance_transformed", found.permutation_encoded, "importance_mean")
-        log.log_importance("tuning/shap", found.shapley, "mean_abs_shap")
+        path = save_model(tuned.pipeline(first.split), models_dir, "random_forest_tuned")
+        found = explain_model("random_forest_tuned", tuned.model, first.split, test, shapley=True, path=path)
+        log.update_config({"search_space": tuning[0], "random_search_best_params": tuned.best, "random_search_best_score": tuned.best_cv_f1})
+        numbers = {"best_cv_f1": tuned.best_cv_f1} | {f"holdout_{m}": v for m, v in score_metrics(held).first().asDict().items()}
+        ranking = tuned.results.select("rank_test_score", "mean_test_score")
+        log.log_stage("tuning", numbers, ("random_forest_tuned", tuned.best), held, search=tuned.results, ranking=ranking, **vars(found))
 
     chosen = select_and_tune(train, test, candidates, feature_stages, k, search_k, spaces, draws)
     bench = chosen.benchmark
@@ -124,7 +131,7 @@ def run_training(
     paths = {n: save_model(p, models_dir, f"family_search_{n}") for n, p in pipelines.items()}
     best_path = save_model(pipelines[chosen.best], models_dir, "best_family_search")
     if log is not None:
-        _log_selection(log, chosen, candidates, test, paths, best_path)
+        _log_selection(log, chosen, candidates, test, paths, best_path, models_dir)
         log.finish_run()
     return Training(chosen, tuned, paths, best_path)
 
@@ -136,29 +143,27 @@ def _log_selection(
     test: DataFrame,
     paths: Mapping[str, str],
     best_path: str,
+    models_dir: str,
 ) -> None:
     bench = chosen.benchmark
-    scores = bench.oof.groupBy("model", FOLD).agg(f1_binary(LABEL, "pred").alias("f1"))
+    scores = _fold_scores(bench.oof)
     for row in bench.results.collect():
-        name = row["model"]
+        name, mine = row["model"], F.col("model") == row["model"]
         family, params = candidates[name]
-        found = explain_model(name, bench.models[name], bench.split, test, encoded=False)
-        mine = F.col("model") == name
-        log.log_benchmark_model(
-            name, {**family.defaults, **params}, row.asDict(), scores.where(mine), bench.held.where(mine), found.importance, found.permutation
-        )
-    results = {}
+        saved = save_model(bench.pipelines[name], models_dir, f"benchmark_{name}")
+        found = explain_model(name, bench.models[name], bench.split, test, encoded=False, path=saved)
+        settings = (name, {**family.defaults, **params})
+        log.log_stage(f"benchmark/{name}", row.asDict(), settings, bench.held.where(mine), folds=scores.where(mine), **vars(found))
+    results = {row["model"]: row.asDict() for row in chosen.results.collect()}
     best_benchmark = next(iter(chosen.searches))
     for name, done in chosen.searches.items():
-        result = family_result(done, bench.split, done.family.search).first().asDict()
-        results[name] = result
         held = score_table(done.model, bench.split.valid, name, [KEY, LABEL])
         found = explain_model(name, done.model, bench.split, test, shapley=name == best_benchmark, path=paths[name])
-        tables = (found.importance, found.permutation, found.permutation_encoded, found.shapley, found.nodes)
-        log.log_search(f"family_search/{name}", result, done.best, held, *tables)
-        metadata = {"model_family": name, "result": result, "best_params": done.best}
-        log.register_model(paths[name], f"family-search-{name}-model", metadata, ["latest", "family-search", name])
-    log.log_summary("benchmark", bench.results, ["holdout_f1", "holdout_accuracy", "cv_f1_mean"])
-    log.log_summary("family_search", chosen.results, ["holdout_f1", "holdout_accuracy", "best_cv_f1"])
+        log.log_stage(f"family_search/{name}", results[name], (name, done.best), held, **vars(found))
+        metadata = {"model_family": name, "result": results[name], "best_params": done.best}
+        log.register_model(paths[name], f"family-search-{name}-model", metadata, [*ALIASES, "family-search", name])
+    for stage, table, cv in (("benchmark", bench.results, "by_cv_f1"), ("family_search", chosen.results, "by_search_f1")):
+        bars = {bar: table.select("model", TABLES[bar][3]) for bar in ("by_holdout_f1", "by_holdout_accuracy", cv)}
+        log.log_tables(stage, {"summary": table, **bars})
     best = {"selected_model_family": chosen.best, "result": results[chosen.best], "best_params": chosen.searches[chosen.best].best}
-    log.register_model(best_path, "best-family-search-model", best, ["latest", "best", chosen.best])
+    log.register_model(best_path, "best-family-search-model", best, [*ALIASES, "best", chosen.best])

@@ -114,13 +114,10 @@ class TitleFeatures(Estimator, _TitleParams, DefaultParamsReadable, DefaultParam
     def _fit(self, dataset: DataFrame) -> "TitleFeaturesModel":
         value = self.getOrDefault(self.valueCol)
         titled = dataset.select(self._title().alias("_title"), F.col(value).cast("double").alias("_value"))
-        # Each row counts for its title and, without a title, for all rows.
-        scopes = F.explode(F.array(F.struct(F.lit(False).alias("a"), F.col("_title").alias("t")), F.struct(F.lit(True).alias("a"), F.lit("").alias("t"))))
-        scoped = titled.select(scopes.alias("_s"), "_value").select(F.col("_s.a").alias("_all"), F.col("_s.t").alias("_title"), "_value")
-        medians = keep(exact_quantiles(scoped, ["_value"], [0.5], ["_all", "_title"]).withColumnRenamed("value", "_median"))
-        overall = medians.where("_all").select("_median").first()
+        medians = keep(exact_quantiles(titled, ["_value"], [0.5], ["_title"]).select("_title", F.col("value").alias("_median")))
+        overall = exact_quantiles(titled, ["_value"], [0.5]).select("value").first()
         model = self._copyValues(TitleFeaturesModel())
-        model.frames = {"medians": medians.where("NOT _all").select("_title", "_median")}
+        model.frames = {"medians": medians}
         return model._set(globalMedian=overall[0]) if overall is not None else model
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from labelworks.functions.metrics import accuracy, f1_binary
-from labelworks.functions.scalar import to_plain_json
+from labelworks.functions.scalar import to_json
 from labelworks.operators.evaluate import result_row, search_results
 from labelworks.operators.select import leaderboard, split_target, union_rows
 from labelworks.operators.split import (
@@ -212,7 +212,7 @@ def search(
     table = spark.createDataFrame(rows, "point int, fold int, test_f1 double, train_f1 double")
     ranked = search_results(table, ["point"])
     top = ranked.orderBy("rank_test_score", "point").first()
-    texts = F.array(*[F.lit(to_plain_json(p)) for p in points])
+    texts = F.array(*[F.lit(to_json(p)) for p in points])
     results = ranked.withColumn("params", F.get(texts, F.col("point"))).withColumn("model", F.lit(family.name))
     best = points[top["point"]]
     return Search(family, results, best, top["mean_test_score"], fit_family(family, best, split.train, split.n))

@@ -1,7 +1,7 @@
 """Run log kept as parquet: runs, scalar metrics, tables with chart axes, artifacts.
 
-Every call appends; nothing is read back to write. Settings are logged through
-:func:`to_plain`, and never any credential.
+Every call appends; nothing is read back to write. Settings are logged as JSON text,
+and never any credential.
 """
 
 from __future__ import annotations
@@ -12,19 +12,40 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.functions.scalar import to_plain, to_plain_json
-from labelworks.operators.evaluate import auc_trapezoid, confusion_matrix, roc_auc, roc_curve, score_metrics
+from labelworks.functions.scalar import to_json
+from labelworks.operators.evaluate import auc_trapezoid, confusion_matrix, roc_auc, roc_curve
 from labelworks.operators.keep import keep
 from labelworks.operators.select import top_k
 from labelworks.sources.tables import path_exists
 
 TOP = 20
+# The keys of the log below a stage, with the chart each table stands
+# for: name -> (key, chart, x, y, order of the rows or measure of the top ones).
+TABLES = {
+    "params": ("config", "table", None, None, None),
+    "folds": ("cv_folds", "line", "fold", "f1", "fold"),
+    "confusion": ("confusion_matrix", "confusion", "label", "pred", None),
+    "roc": ("roc_curve", "line", "fpr", "tpr", "fpr tpr"),
+    "search": ("search_results_table", "table", None, None, "rank_test_score"),
+    "ranking": ("search_ranking", "line", "rank_test_score", "mean_test_score", "rank_test_score"),
+    "importance": ("feature_importance", "bar", "feature", "importance", "importance"),
+    "permutation": ("permutation_importance", "bar", "feature", "importance_mean", "importance_mean"),
+    "permutation_encoded": ("permutation_importance_transformed", "bar", "feature", "importance_mean", "importance_mean"),
+    "shapley": ("shap", "bar", "feature", "mean_abs_shap", "mean_abs_shap"),
+    "nodes": ("tree/nodes", "table", None, None, "node"),
+    "summary": ("summary_table", "table", None, None, None),
+    "by_holdout_f1": ("holdout_f1_bar", "bar", "model", "holdout_f1", None),
+    "by_holdout_accuracy": ("holdout_accuracy_bar", "bar", "model", "holdout_accuracy", None),
+    "by_cv_f1": ("cv_f1_mean_bar", "bar", "model", "cv_f1_mean", None),
+    "by_search_f1": ("best_cv_f1_bar", "bar", "model", "best_cv_f1", None),
+}
 SECRET_WORDS = ("key", "token", "secret", "password")
 
 
 def parameter_rows(spark: SparkSession, context: str, params: Mapping[str, Mapping[str, Any]]) -> DataFrame:
-    """``context, model, parameter, value`` rows in parameter order, values as text."""
-    rows = [(context, m, p, str(to_plain(v))) for m, ps in params.items() for p, v in sorted(ps.items())]
+    """``context, model, parameter, value``: one row for each setting, by name, values as JSON text."""
+    names = [(m, p) for m in params for p in sorted(params[m])]
+    rows = [(context, m, p, to_json(params[m][p])) for m, p in names]
     return spark.createDataFrame(rows, "context string, model string, parameter string, value string")
 
 
@@ -39,42 +60,18 @@ class RunLog:
     # --- runs ---
 
     @classmethod
-    def start_run(
-        cls,
-        spark: SparkSession,
-        root: str | None,
-        run_id: str,
-        target: str,
-        random_state: int,
-        n_splits: int,
-        models: Mapping[str, Mapping[str, Any]],
-        test_size: float = 0.2,
-        paths: Mapping[str, str] | None = None,
-        settings: Mapping[str, Any] | None = None,
-        baseline: tuple[str, Mapping[str, Any]] | None = None,
-    ) -> "RunLog | None":
-        """Open a run; None (and no logging) where no root is configured."""
+    def start_run(cls, spark: SparkSession, root: str | None, run_id: str, models: Mapping[str, Mapping[str, Any]], **settings: Any) -> "RunLog | None":
+        """Open a run with any settings and the settings of its models; None (and no
+        logging) where no root is configured."""
         if not root:
             return None
         log = cls(spark, root, run_id)
-        config = {
-            "target": target,
-            "random_state": random_state,
-            "n_splits": n_splits,
-            "test_size": test_size,
-            "paths": dict(paths or {}),
-            "benchmark_models": list(models),
-            "settings": public_settings(settings or {}),
-        }
-        log.update_config(config, "started")
-        rows = parameter_rows(spark, "benchmark", models)
-        if baseline is not None:
-            rows = parameter_rows(spark, "baseline", {baseline[0]: baseline[1]}).unionByName(rows)
-        log.log_table("metadata/model_configs", rows)
+        log.update_config({"models": list(models), **public_settings(settings)}, "started")
+        log.log_tables("metadata", {"model_configs": parameter_rows(spark, "benchmark", models)})
         return log
 
     def update_config(self, config: Mapping[str, Any], state: str = "config") -> None:
-        row = [(self.run_id, state, to_plain_json(dict(config)))]
+        row = [(self.run_id, state, to_json(dict(config)))]
         out = self.spark.createDataFrame(row, "run_id string, state string, config string")
         out.withColumn("at", F.current_timestamp()).write.mode("append").parquet(f"{self.root}/runs")
 
@@ -85,123 +82,56 @@ class RunLog:
 
     def log_metrics(self, key: str, values: Mapping[str, float | None], step: int | None = None) -> None:
         """Append scalars under ``key/metric``; missing ones are skipped."""
-        rows = [(f"{key}/{m}", float(v), step) for m, v in values.items() if v is not None]
-        self._append_metrics(self.spark.createDataFrame(rows, "key string, value double, step int"))
-
-    def _append_metrics(self, rows: DataFrame) -> None:
-        out = rows.select(F.lit(self.run_id).alias("run_id"), "key", "value", "step")
+        rows = [(self.run_id, f"{key}/{m}", float(v), step) for m, v in values.items() if v is not None]
+        out = self.spark.createDataFrame(rows, "run_id string, key string, value double, step int")
         out.write.mode("append").partitionBy("run_id").parquet(f"{self.root}/metrics")
 
-    def log_table(
-        self, key: str, table: DataFrame, x: str | None = None, y: str | None = None, title: str = "", chart: str = "table"
-    ) -> None:
-        """Append a table under its key, and the axes of the chart it stands for."""
-        out = table.withColumn("run_id", F.lit(self.run_id))
-        out.write.mode("append").partitionBy("run_id").parquet(self.table_path(key))
-        row = [(self.run_id, key, chart, x, y, title)]
-        entry = self.spark.createDataFrame(row, "run_id string, key string, chart string, x string, y string, title string")
-        entry.write.mode("append").parquet(f"{self.root}/charts")
-
-    def log_bar(self, key: str, table: DataFrame, x: str, y: str, title: str) -> None:
-        self.log_table(key, table, x, y, title, "bar")
-
-    def log_line(self, key: str, table: DataFrame, x: str, y: str, title: str) -> None:
-        self.log_table(key, table, x, y, title, "line")
-
     def table_path(self, key: str) -> str:
         return f"{self.root}/tables/{key.replace('/', '.')}"
 
-    # --- bundles of one stage ---
-
-    def log_evaluation(self, key: str, held: DataFrame) -> None:
-        """Confusion matrix, and ROC points with both areas where there are scores."""
-        self.log_table(f"{key}/confusion_matrix", confusion_matrix(held), "label", "pred", chart="confusion")
-        scored = keep(held.where(F.col("score").isNotNull()))
-        self.log_line(f"{key}/roc_curve", roc_curve(scored).orderBy("fpr", "tpr"), "fpr", "tpr", f"{key} ROC curve")
-        areas = auc_trapezoid(scored).join(roc_auc(scored), "model").first()
-        if areas is not None:
-            self.log_metrics(key, {"roc_auc": areas["auc"], "roc_auc_score": areas["roc_auc"]})
-
-    def _log_folds(self, key: str, folds: DataFrame) -> None:
-        numbered = folds.withColumn("fold", F.col("fold") + 1).orderBy("fold")
-        self.log_line(f"{key}/cv_folds", numbered, "fold", "f1", f"{key} CV F1 by fold")
-
-    def log_baseline(self, folds: DataFrame, held: DataFrame) -> None:
-        row = score_metrics(held).join(folds.groupBy("model").agg(F.avg("f1").alias("m"), F.stddev_pop("f1").alias("s")), "model").first()
-        self.log_metrics(
-            "baseline",
-            {"holdout_accuracy": row["accuracy"], "holdout_f1": row["f1"], "cv_f1_mean": row["m"], "cv_f1_std": row["s"]},
-        )
-        self._log_folds("baseline", folds)
-        self.log_evaluation("baseline", held)
-
-    def log_tuning(self, results: DataFrame, space: Mapping[str, Any], best: Mapping[str, Any], best_cv_f1: float, held: DataFrame) -> None:
-        self.update_config({"search_space": space, "random_search_best_params": best, "random_search_best_score": best_cv_f1})
-        row = score_metrics(held).first()
-        self.log_metrics("tuning", {"best_cv_f1": best_cv_f1, "holdout_accuracy": row["accuracy"], "holdout_f1": row["f1"]})
-        self.log_table("tuning/search_results_table", results.orderBy("rank_test_score"))
-        self.log_table("tuning/best_model_config", parameter_rows(self.spark, "tuned_search", {row["model"]: best}))
-        ranking = results.select("rank_test_score", "mean_test_score").orderBy("rank_test_score")
-        self.log_line("tuning/search_ranking", ranking, "rank_test_score", "mean_test_score", "Mean test score by rank")
-        self.log_evaluation("tuning", held)
-
-    def log_importance(self, key: str, table: DataFrame | None, value: str = "importance", title: str = "") -> None:
-        """Top 20 of an importance table (``importance``, ``importance_mean``, ``mean_abs_shap``)."""
-        if table is not None:
-            self.log_bar(key, top_k(table, value, "feature", TOP), "feature", value, title or f"{key} (top {TOP})")
-
-    def log_tree(self, key: str, nodes: DataFrame | None) -> None:
-        if nodes is not None:
-            self.log_table(f"{key}/nodes", nodes.orderBy("node"))
-
-    def log_search(
-        self,
-        key: str,
-        result: Mapping[str, Any],
-        best: Mapping[str, Any],
-        held: DataFrame,
-        importance: DataFrame | None = None,
-        permutation: DataFrame | None = None,
-        permutation_encoded: DataFrame | None = None,
-        shapley: DataFrame | None = None,
-        nodes: DataFrame | None = None,
-    ) -> None:
-        scalars = {m: v for m, v in result.items() if m not in ("model", "search_type")}
-        self.log_metrics(key, scalars)
-        pairs = [(p, str(v)) for p, v in sorted(best.items())]
-        self.log_table(f"{key}/best_params", self.spark.createDataFrame(pairs, "parameter string, value string"))
-        self.log_evaluation(key, held)
-        self.log_importance(f"{key}/feature_importance", importance)
-        self.log_importance(f"{key}/permutation_importance", permutation, "importance_mean")
-        self.log_importance(f"{key}/permutation_importance_transformed", permutation_encoded, "importance_mean")
-        self.log_importance(f"{key}/shap", shapley, "mean_abs_shap")
-        self.log_tree(f"{key}/tree", nodes)
-
-    def log_benchmark_model(
+    def log_tables(self, stage: str, tables: Mapping[str, DataFrame | None]) -> None:
+        """Append tables of a stage; absent ones are skipped.
+
+        A name of :data:`TABLES` gets its key, order and chart from there; any other
+        name is a plain table. The charts of one call are one file.
+        """
+        charts = []
+        for name, table in tables.items():
+            if table is None:
+                continue
+            suffix, chart, x, y, order = TABLES.get(name, (name, "table", None, None, None))
+            key = f"{stage}/{suffix}"
+            if chart == "bar" and order:
+                table = top_k(table, order, x, TOP)
+            elif order:
+                table = table.orderBy(*order.split())
+            table.withColumn("run_id", F.lit(self.run_id)).write.mode("append").partitionBy("run_id").parquet(self.table_path(key))
+            charts.append((self.run_id, key, chart, x, y))
+        if charts:
+            out = self.spark.createDataFrame(charts, "run_id string, key string, chart string, x string, y string")
+            out.write.mode("append").parquet(f"{self.root}/charts")
+
+    def log_stage(
         self,
-        name: str,
-        params: Mapping[str, Any],
-        result: Mapping[str, Any],
-        folds: DataFrame,
-        held: DataFrame,
-        importance: DataFrame | None = None,
-        permutation: DataFrame | None = None,
-        nodes: DataFrame | None = None,
+        stage: str,
+        metrics: Mapping[str, Any] | None = None,
+        params: tuple[str, Mapping[str, Any]] | None = None,
+        held: DataFrame | None = None,
+        **tables: DataFrame | None,
     ) -> None:
-        key = f"benchmark/{name}"
-        self.log_metrics(key, {m: v for m, v in result.items() if m != "model"})
-        self.log_table(f"{key}/config", parameter_rows(self.spark, "benchmark", {name: params}))
-        self._log_folds(key, folds)
-        self.log_evaluation(key, held)
-        self.log_importance(f"{key}/feature_importance", importance)
-        self.log_importance(f"{key}/permutation_importance", permutation, "importance_mean")
-        self.log_tree(f"{key}/tree", nodes)
-
-    def log_summary(self, key: str, results: DataFrame, bars: Sequence[str]) -> None:
-        """Comparison table with one bar chart per measure (benchmark or family search)."""
-        self.log_table(f"{key}/summary_table", results)
-        for bar in bars:
-            self.log_bar(f"{key}/{bar}_bar", results.select("model", bar), "model", bar, f"{key} {bar}")
+        """Everything a stage leaves behind: numbers, settings, what its predictions show, tables."""
+        numbers = {m: v for m, v in (metrics or {}).items() if v is None or isinstance(v, (int, float))}
+        if params is not None:
+            tables["params"] = parameter_rows(self.spark, stage.split("/")[0], dict([params]))
+        if held is not None:
+            scored = keep(held.where(F.col("score").isNotNull()))
+            tables |= {"confusion": confusion_matrix(held), "roc": roc_curve(scored)}
+            areas = auc_trapezoid(scored).join(roc_auc(scored), "model").first()
+            if areas is not None:
+                numbers |= {"roc_auc": areas["auc"], "roc_auc_score": areas["roc_auc"]}
+        if numbers:
+            self.log_metrics(stage, numbers)
+        self.log_tables(stage, tables)
 
     # --- artifacts ---
 
@@ -211,7 +141,7 @@ class RunLog:
         """Record a saved model; nothing happens when the path is absent."""
         if not path_exists(self.spark, path):
             return False
-        row = [(self.run_id, name, "model", path, to_plain_json(dict(metadata or {})), list(aliases or ["latest"]))]
+        row = [(self.run_id, name, "model", path, to_json(dict(metadata or {})), list(aliases or ["latest"]))]
         schema = "run_id string, name string, type string, path string, metadata string, aliases array<string>"
         self.spark.createDataFrame(row, schema).write.mode("append").parquet(f"{self.root}/artifacts")
         return True

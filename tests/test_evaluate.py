@@ -124,11 +124,12 @@ def test_probability_like(spark):
 
 
 def test_weights(spark):
-    assert N.weight_list(None, 4) == [0.25] * 4
-    assert N.weight_list([1, 3], 2) == [0.25, 0.75]
-    for bad in ([1], [1, -1], [0, 0]):
-        with pytest.raises(ValueError):
-            N.weight_list(bad, 2)
+    votes = spark.createDataFrame([(1, "a", 0.2, 0), (1, "b", 0.9, 1)], "row_id int, model string, score double, pred int")
+    one = spark.createDataFrame([("a", 1.0)], "model string, weight double")
+    for kind in ("weighted_soft_vote", "weighted_hard_vote"):
+        for weights in ({"a": 1.0}, one):
+            with pytest.raises(Exception, match="no weight for model b"):
+                N.ensemble(votes, kind, weights).collect()
     models = spark.createDataFrame([("a",), ("b",)], "model string")
 
     def given(*rows):

@@ -1,5 +1,7 @@
 """Ordering operators against pandas, on tied, skewed and grouped data."""
 
+from functools import partial
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -44,12 +46,12 @@ def test_rank_min_and_numbering(spark):
     assert (numbered["id"] == numbered["n"]).all()
 
 
-@pytest.mark.parametrize("whole", [True, False])
-def test_exact_quantiles(spark, monkeypatch, whole):
-    if not whole:
-        monkeypatch.setattr(Q, "WHOLE", 10)
-        monkeypatch.setattr(Q, "ACCURACY", 200)
-        monkeypatch.setattr(Q, "MARGIN", 4.0 / 200)
+@pytest.mark.parametrize("ranges", [256, 7])
+def test_exact_quantiles(spark, monkeypatch, ranges):
+    monkeypatch.setattr(Q, "RANGES", ranges)
+    monkeypatch.setattr(Q, "ACCURACY", 10000 if ranges == 256 else 200)
+    if ranges != 256:
+        monkeypatch.setattr(Q, "MARGINS", [0.02, 0.2])
     pdf = skewed()
     probs = [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]
     got = Q.exact_quantiles(to_spark(spark, pdf), ["v"], probs, ["g"]).toPandas().set_index(["g", "prob"])["value"]
@@ -119,3 +121,37 @@ def test_rank_property(spark, values):
     pdf = pd.DataFrame({"id": range(len(values)), "v": values})
     got = W.rank_pct_average(spark.createDataFrame(pdf), "v").toPandas().sort_values("id")["rank_pct"]
     np.testing.assert_allclose(got, pdf["v"].rank(pct=True), atol=1e-12)
+
+
+@pytest.mark.parametrize("hot", [W.HOT, 100])
+def test_ranks_of_a_value_in_half_the_rows_and_missing_keys(spark, monkeypatch, hot):
+    monkeypatch.setattr(W, "HOT", hot)
+    monkeypatch.setattr(W, "join_values", partial(W.join_values, hot=hot))
+    monkeypatch.setattr(W, "ROWS", 20)
+    rng = np.random.default_rng(5)
+    rows = 3000
+    value = np.where(rng.random(rows) < 0.5, 7.0, np.round(rng.normal(7, 30, rows), 1))
+    value[rng.random(rows) < 0.2] = np.nan
+    pdf = pd.DataFrame({"id": np.arange(rows), "g": np.where(rng.random(rows) < 0.5, "a", None), "v": value})
+    df = to_spark(spark, pdf)
+    for got, want in (
+        (W.rank_min(df, "v"), pdf["v"].rank(method="min", ascending=False)),
+        (W.rank_pct_average(df, "v", ["g"]), pdf.groupby("g")["v"].rank(pct=True)),
+    ):
+        column = got.columns[-1]
+        found = got.toPandas().sort_values("id")[column].to_numpy(dtype=float)
+        np.testing.assert_allclose(found, want.reindex(pdf.index).to_numpy(), atol=1e-12)
+    numbered = W.sequence_number(df.select(F.when(F.col("id") % 2 == 0, F.col("id")).alias("id")), "id", "number").toPandas()
+    assert len(numbered) == rows and sorted(numbered.iloc[:, -1].dropna()) == list(range(1, rows // 2 + 1))
+    ranked = W.hash_rank(df.select(F.when(F.col("id") > 2, F.col("id")).alias("id")), "id", 1).collect()
+    assert sorted(r["rank"] for r in ranked) == list(range(1, rows + 1))
+
+
+def test_quantiles_of_small_and_constant_groups(spark):
+    rows = [("one", 5.0)] + [("two", x) for x in (1.0, 2.0)] + [("same", 3.0)] * 5000 + [("none", None)] + [(None, 1.0)] + [("many", float(i)) for i in range(30000)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    pdf = pd.DataFrame(rows, columns=["g", "v"])
+    got = Q.exact_quantiles(df, ["v"], [0.0, 0.25, 0.5, 1.0], ["g"]).collect()
+    assert len(got) == 16
+    for r in got:
+        assert r["value"] == pytest.approx(pdf[pdf.g == r["g"]]["v"].quantile(r["prob"]), abs=1e-9)
