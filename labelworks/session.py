@@ -1,8 +1,16 @@
-"""Sessions for tests and benchmarks on one machine."""
+"""Sessions for tests and benchmarks on one machine, and this package on the executors."""
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import io
+import zipfile
+from pathlib import Path
+
+from pyspark.sql import DataFrame, SparkSession
+
+from labelworks.operators.keep import shared_folder
+
+_shipped: set[str] = set()
 
 
 def local_session(app: str, cores: int | str = 8) -> SparkSession:
@@ -18,3 +26,27 @@ def local_session(app: str, cores: int | str = 8) -> SparkSession:
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark
+
+
+def on_executors(df: DataFrame) -> DataFrame:
+    """The same table, for Python functions of this package.
+
+    Tasks import those functions, so the package has to be on the executors. Where the
+    driver runs it from a folder, its files are sent along as a zip, once for each
+    application; where it came with the job (``--py-files``), it is there already.
+    """
+    spark = df.sparkSession
+    context, package = spark.sparkContext, Path(__file__).resolve().parent
+    if context.applicationId in _shipped or not package.is_dir():
+        return df
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, file.relative_to(package.parent))
+    target = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/code/{context.applicationId}/{package.name}.zip")
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(data.getvalue()))
+    stream.close()
+    context.addPyFile(target.toString())
+    _shipped.add(context.applicationId)
+    return df
