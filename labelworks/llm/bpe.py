@@ -21,6 +21,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from labelworks.session import on_executors
 
 MEMO = 1 << 18  # entries of a memo before its older half is let go
 
@@ -202,7 +203,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """``doc_id long, ids array<int>, n_tokens long, decoded_sha256 string`` of every row,
     the last of the bytes that the ids decode to; null and empty texts have no ids."""
     tokens, pattern = _encoder(docs, ranks_path, pattern)
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_run(tokens, pattern, _ids), "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string")
+    return on_executors(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(_run(tokens, pattern, _ids), "doc_id long, ids array<int>, n_tokens long, decoded_sha256 string")
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
@@ -214,7 +215,7 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
             raw = [b"".join([tokens.value[i] for i in ids.as_py() or []]) for ids in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(raw, pa.binary())], names=["doc_id", "bytes"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, bytes binary")
+    return on_executors(encoded.select("doc_id", "ids")).mapInArrow(run, "doc_id long, bytes binary")
 
 
 def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
@@ -222,4 +223,4 @@ def round_trip_digest(docs: DataFrame, ranks_path: str, pattern: str) -> DataFra
     numbers joined by one space, and the bytes that the ids decode to."""
     tokens, pattern = _encoder(docs, ranks_path, pattern)
     fields = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_run(tokens, pattern, _digest), fields)
+    return on_executors(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(_run(tokens, pattern, _digest), fields)

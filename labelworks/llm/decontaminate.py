@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from labelworks.llm.words import grams, slices, spans, word_hashes
+from labelworks.session import on_executors
 
 SHINGLE, THRESHOLD, BLOCK, FILTER_BITS = 5, 0.8, 20_000, 22
 _ASCII = np.arange(256, dtype=np.uint8)
@@ -119,7 +120,7 @@ def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -
                 columns = [[ids[r[0]] for r in rows], [item_ids[r[1]] for r in rows], [r[2] for r in rows], [r[3] for r in rows]]
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["doc_id", "item_id", "n_shingles", "n_shared"])
 
-        out = out.union(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, out.schema))
+        out = out.union(on_executors(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(run, out.schema))
     return out
 
 
@@ -135,5 +136,5 @@ def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
                 good[[r[0] for r in held.value.search(batch.column(at))]] = False
                 yield batch.filter(pa.array(good))
 
-        docs = docs.mapInArrow(run, docs.schema)
+        docs = on_executors(docs).mapInArrow(run, docs.schema)
     return docs

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from labelworks.llm.boosting import Trees, fit
+from labelworks.session import on_executors
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -319,4 +320,4 @@ def extract(pages: DataFrame, model: Trees | None = None, html_col: str = "html"
             columns = [*batch.columns, pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names, "text", "n_chars"])
 
-    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))
+    return on_executors(rest).mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())]))

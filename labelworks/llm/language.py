@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from labelworks.llm.words import U, slices
+from labelworks.session import on_executors
 
 SIZE, GRAM, SEED, ROWS, MOST_LANGUAGES = 1024, 3, 7, 256, 2000
 UNKNOWN = "und"
@@ -88,7 +89,7 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame) -> dict[str, np.ndarray]:
     """Prototypes from all rows with a text and a ``lang``; other columns are not read."""
     known = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-    parts = known.mapInArrow(_bundles, "lang string, bundle array<double>")
+    parts = on_executors(known).mapInArrow(_bundles, "lang string, bundle array<double>")
     sums = parts.select("lang", F.posexplode("bundle").alias("at", "x")).groupBy("lang", "at").agg(F.sum("x").alias("x"))
     whole = sums.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("at", "x"))).alias("v"))
     rows = whole.select("lang", F.transform("v", lambda x: x["x"]).alias("v")).limit(MOST_LANGUAGES + 1).collect()
@@ -141,7 +142,7 @@ def predict(docs: DataFrame, prototypes: dict[str, np.ndarray]) -> DataFrame:
             langs, scores = judged(batch.column(at))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=[*batch.schema.names, "lang_pred", "score"])
 
-    return rest.mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    return on_executors(rest).mapInArrow(run, T.StructType([*rest.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
 
 
 def accepted(docs: DataFrame) -> DataFrame:
@@ -154,7 +155,7 @@ def accepted(docs: DataFrame) -> DataFrame:
         for batch in batches:
             yield batch.filter(pa.array([lang != UNKNOWN for lang in judged(batch.column(at))[0]], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return on_executors(docs).mapInArrow(run, docs.schema)
 
 
 def language_digest(docs: DataFrame) -> DataFrame:

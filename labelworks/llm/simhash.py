@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from labelworks.llm.graph import components
 from labelworks.llm.words import mix
 from labelworks.operators.keep import keep
+from labelworks.session import on_executors
 
 BITS, PART, PIVOTS, SEED, PAIRS = 64, 2048, 16, 42, 1 << 18
 
@@ -58,7 +59,7 @@ def _fingerprints(shingle: int):
 
 def fingerprints(docs: DataFrame, shingle: int = 4) -> DataFrame:
     """``doc_id long, print long`` (the fingerprint's 64 bits) of every row."""
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fingerprints(shingle), "doc_id long, print long")
+    return on_executors(docs.select(F.col("doc_id").cast("long"), "text")).mapInArrow(_fingerprints(shingle), "doc_id long, print long")
 
 
 def _distances(prints: np.ndarray) -> np.ndarray:
@@ -151,7 +152,7 @@ def links(prints: DataFrame, max_bits: int = 4, agree: int = 2) -> DataFrame:
     group = low.cast("long") * F.col("parts") + high
     cut = cut.select("bucket", group.alias("pair"), F.when(low == high, -1).otherwise(F.col("own")).cast("long").alias("side"), "print")
     single = cut.repartition(F.xxhash64("bucket", "pair")).sortWithinPartitions("bucket", "pair")
-    return single.mapInArrow(_links(max_bits), "a long, b long").distinct()
+    return on_executors(single).mapInArrow(_links(max_bits), "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:

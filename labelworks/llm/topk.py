@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from labelworks.operators.keep import keep
+from labelworks.session import on_executors
 
 PART, ASKED, BLOCK, AT_ONCE = 4096, 4096, 64, 4
 LONG = (1 << 63) - 1
@@ -105,7 +106,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     groups = max(1, math.ceil(asked.count() / ASKED))
     spread = lambda n, seed: F.pmod(F.xxhash64("vec_id", "mark", F.lit(seed)), F.lit(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-    rows = held.withColumn("part", spread(parts, 1)).withColumn("asked", every(groups))
+    rows = on_executors(held).withColumn("part", spread(parts, 1)).withColumn("asked", every(groups))
     wanted = asked.withColumn("asked", spread(groups, 2)).withColumn("part", every(parts))
     by = ["size", "part", "asked"]
     found = rows.groupBy(*by).cogroup(wanted.groupBy(*by)).applyInArrow(_search(k), "query_id long, mark long, vec_id long, score long")
