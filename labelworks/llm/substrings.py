@@ -32,6 +32,7 @@ from pyspark.sql import types as T
 
 from labelworks.llm.words import grams, mix, run_hashes, slices, spans, word_hashes
 from labelworks.operators.keep import keep
+from labelworks.session import on_executors
 
 ANCHOR = 8
 HELD = 1_000_000
@@ -121,15 +122,19 @@ def _window_rows(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            ids, blocks = batch.column(0).to_numpy(), batch.column(2)
+            ids, blocks = (batch.column(batch.schema.get_field_index(name)) for name in ("__id", "__found"))
+            ids = ids.to_numpy(zero_copy_only=False)  # without an id there are no blocks
+            texts = batch.column(batch.schema.get_field_index("text"))
             list_at = np.asarray(blocks.offsets)
             inner = blocks.values
             b_start, b_n, b_kind = (np.asarray(inner.field(name)).astype(np.int64) for name in ("start", "n", "kind"))
-            for lo, hi, data, offsets in slices(batch.column(1)):
-                starts, ends, first = spans(data, offsets)
+            for lo, hi, data, offsets in slices(texts):
                 span = slice(list_at[lo], list_at[hi])
                 row = np.repeat(np.arange(hi - lo), np.diff(list_at[lo : hi + 1]))
                 part = b_kind[span] == PARTS
+                if not part.any():
+                    continue
+                starts, ends, first = spans(data, offsets)
                 row, s, n = row[part], b_start[span][part], b_n[span][part]
                 n = np.minimum(n, np.diff(first)[row] - window + 1 - s)  # of a repeated doc_id, its own words only
                 row, s, n = row[n > 0], s[n > 0], n[n > 0]
@@ -139,7 +144,7 @@ def _window_rows(window: int):
                 at = np.repeat(s, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
                 row = np.repeat(row, n)
                 place = first[row] + at
-                held.append((grams(words, window)[place], run_hashes(words, place, place + window), ids[lo:hi][row], at))
+                held.append((grams(words, window)[place], run_hashes(words, place, place + window), ids[lo:hi][row].astype(np.int64), at))
                 size += len(at)
                 if size >= HELD:
                     yield settle(held)
@@ -181,20 +186,16 @@ def _joined(window: int):
     return run
 
 
-def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
-    """``doc_id long, spans array<struct<low int, high int>>``: for each document with
-    repeated passages, the half-open word ranges covered by windows of ``window`` words
-    that start earlier. Spans are disjoint, ascending, and at least ``window`` words long.
+def _spans(docs: DataFrame, window: int) -> DataFrame:
+    """``__doc_id, __found`` for a table with ``__id`` and ``text``, whatever else it has.
 
-    Null or empty texts, and texts shorter than the window, have no spans. Rows without
-    an id take no part. Rows that share an id and a text are one document; of rows that
-    share an id but not the text, each window counts at its own word offset.
+    All its columns go along to the window search: the search and the caller's join with
+    the result then shuffle one and the same table, and Spark shuffles it once.
     """
     if window < 1:
         raise ValueError("window must be at least one word")
-    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    known = texts.where(F.col("doc_id").isNotNull() & F.col("text").isNotNull())
-    rows = known.mapInArrow(_block_rows(window), _ROW)
+    known = docs.where(F.col("__id").isNotNull() & F.col("text").isNotNull()).select(F.col("__id").alias("doc_id"), "text")
+    rows = on_executors(known).mapInArrow(_block_rows(window), _ROW)
     anchor = Window.partitionBy("k")
     place, clash = F.struct("doc_id", "start"), F.max(F.col("kind") == CLASH).over(anchor) | (F.min("ph").over(anchor) != F.max("ph").over(anchor))
     judged = (
@@ -203,12 +204,28 @@ def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .where(F.col("verdict").isNotNull() & (F.col("kind") != CLASH))
     )
     blocks = keep(judged.groupBy("doc_id").agg(F.collect_list(F.struct("start", "n", F.col("verdict").alias("kind"))).alias("blocks")))
-    asked = texts.join(blocks, "doc_id", "left").where(F.exists("blocks", lambda b: b["kind"] == PARTS))
-    looked = asked.select("doc_id", "text", "blocks").mapInArrow(_window_rows(window), "h1 long, h2 long, doc_id long, start int")
+    none = F.array().cast("array<struct<start:int,n:int,kind:int>>")
+    asked = docs.join(blocks.select(F.col("doc_id").alias("__doc_id"), F.col("blocks").alias("__found")), F.col("__id") == F.col("__doc_id"), "left")
+    asked = asked.select(*[f"`{c}`" for c in docs.columns], F.coalesce("__found", none).alias("__found"))
+    looked = on_executors(asked).mapInArrow(_window_rows(window), "h1 long, h2 long, doc_id long, start int")
     firsts = looked.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "start")).alias("at")).select("at.*")
     firsts = firsts.groupBy("doc_id").agg(F.collect_list("start").alias("firsts"))
     both = blocks.join(firsts, "doc_id", "left").select("doc_id", "blocks", F.coalesce("firsts", F.array().cast("array<int>")).alias("firsts"))
-    return both.mapInArrow(_joined(window), "doc_id long, spans array<struct<low int, high int>>").where(F.size("spans") > 0)
+    found = on_executors(both).mapInArrow(_joined(window), "doc_id long, spans array<struct<low int, high int>>").where(F.size("spans") > 0)
+    return found.select(F.col("doc_id").alias("__doc_id"), F.col("spans").alias("__found"))
+
+
+def duplicate_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 20) -> DataFrame:
+    """``doc_id long, spans array<struct<low int, high int>>``: for each document with
+    repeated passages, the half-open word ranges covered by windows of ``window`` words
+    that start earlier. Spans are disjoint, ascending, and at least ``window`` words long.
+
+    Null or empty texts, and texts shorter than the window, have no spans. Rows without
+    an id take no part. Rows that share an id and a text are one document; of rows that
+    share an id but not the text, each window counts at its own word offset.
+    """
+    found = _spans(docs.select(F.col(id_col).cast("long").alias("__id"), F.col(text_col).alias("text")), window)
+    return found.select(F.col("__doc_id").alias("doc_id"), F.col("__found").alias("spans"))
 
 
 def _kept(text: bytes, low: np.ndarray, high: np.ndarray) -> list[bytes]:
@@ -258,9 +275,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _with_spans(docs: DataFrame, window: int) -> DataFrame:
-    found = duplicate_spans(docs, window=window).select(F.col("doc_id").alias("__doc_id"), F.col("spans").alias("__found"))
+    base = docs.withColumn("__id", F.col("doc_id").cast("long"))
     none = F.array().cast("array<struct<low:int,high:int>>")
-    return docs.join(found, F.col("doc_id") == F.col("__doc_id"), "left").drop("__doc_id").withColumn("__spans", F.coalesce("__found", none)).drop("__found")
+    joined = base.join(_spans(base, window), F.col("__id") == F.col("__doc_id"), "left")
+    return joined.select(*[f"`{c}`" for c in base.columns], F.coalesce("__found", none).alias("__spans"))
 
 
 def cut_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
@@ -272,10 +290,10 @@ def cut_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     cut = _with_spans(docs, window)
     rest = [f for f in docs.schema.fields if f.name != "text"]
     shape = T.StructType([*rest, T.StructField("text", T.StringType())])
-    return cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans").mapInArrow(_cut, shape).select(*[f"`{c}`" for c in docs.columns])
+    return on_executors(cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans")).mapInArrow(_cut, shape).select(*[f"`{c}`" for c in docs.columns])
 
 
 def kept_digest(docs: DataFrame, window: int = 20) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` of every document (null text: no words)."""
     marked = _with_spans(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), window)
-    return marked.select("doc_id", "text", "__spans").mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return on_executors(marked.select("__id", "text", "__spans", "doc_id")).mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
