@@ -29,7 +29,18 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-@query("op1_substring_dedup")
+@query(
+    "op1_substring_dedup",
+    """WITH split AS (SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS key FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM split WHERE len(w) >= 20)),
+later AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY key ORDER BY doc_id, i) AS place FROM windows) WHERE place > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM later),
+words AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split WHERE len(w) > 0),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM split LEFT JOIN kept USING (doc_id) LEFT JOIN lost USING (doc_id)""",
+)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.kept_digest(read(spark, sf_dir, "documents"))
 
@@ -132,9 +143,28 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table, table.where(F.col("vec_id") % 100 == 0), 10)
 
 
-@query("op9_licence_scan")
+_TEMPLATES = licences.BASE + licences.FURTHER
+_TEMPLATES_SQL = ", ".join(f"({i}, {t.phrase.split()!r}, '{t.label}', {t.base})" for i, t in enumerate(_TEMPLATES))
+
+
+@query(
+    "op9_licence_scan",
+    f"""WITH split AS (SELECT doc_id, {_WORDS} AS w FROM documents), templates(id, phrase, label, base) AS (VALUES {_TEMPLATES_SQL}),
+words AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split WHERE len(w) > 0),
+parts AS (SELECT id, unnest(phrase) AS word FROM templates),
+idf AS (SELECT word, ln((1 + (SELECT count(*) FROM documents)) / (1.0 + count(DISTINCT doc_id))) + 1 AS x
+  FROM (SELECT DISTINCT word FROM parts) LEFT JOIN words USING (word) GROUP BY word),
+mass AS (SELECT id, sum(x) AS m FROM parts JOIN idf USING (word) GROUP BY id),
+places AS (SELECT doc_id, label, base, i - 1 AS start, m / (SELECT max(m) FROM mass) AS weight
+  FROM words JOIN templates ON word = phrase[1] AND w[i:i + len(phrase) - 1] = phrase JOIN mass USING (id)),
+found AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
+  string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(weight) AS score
+  FROM places GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word, coalesce(base_labels, '') AS base_labels,
+  coalesce(labels, '') AS labels, round(coalesce(score, 0), 6) AS score FROM split LEFT JOIN found USING (doc_id)""",
+)
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licences.licence_digest(read(spark, sf_dir, "documents"))
+    return licences.licence_digest(read(spark, sf_dir, "documents")).withColumn("score", F.round("score", 6))
 
 
 @query("op10_language_id")
