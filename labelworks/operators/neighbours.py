@@ -10,6 +10,8 @@ only the k best rows of each query.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -18,13 +20,19 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from labelworks.operators.split import bounded_sample
+from labelworks.session import on_executors
 
 PIVOTS = 64
 BLOCK_ROWS = 4096
-# Distances are compared after rounding; bounds keep rows within that rounding.
+# Places that distances are shown with, and the slack of the bounds.
 PLACES = 6
 
 
+def pivot_count(rows: int) -> int:
+    """Cells of about the square root of the rows each, at least PIVOTS and at most 4,096 of them."""
+    return max(PIVOTS, min(BLOCK_ROWS, math.isqrt(rows)))
+
+
 def _distances(a: np.ndarray, b: np.ndarray, p: int) -> np.ndarray:
     """Distance of every row of ``a`` to every row of ``b``, in slices of bounded memory."""
     out = np.empty((len(a), len(b)))
@@ -53,7 +61,7 @@ def _nearest_pivot(rows: DataFrame, pivots: np.ndarray, p: int) -> DataFrame:
 
 
 def _cell_facts(placed: DataFrame, k: int) -> pd.DataFrame:
-    """Size, radius and k smallest pivot distances of each cell: at most PIVOTS rows."""
+    """Size, radius and k smallest pivot distances of each cell: one row a pivot."""
     sizes = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.max("_away").alias("radius"))
     nearest = Window.partitionBy("_cell").orderBy("_away")
     # A top-k window filter is applied before the shuffle as well as after it.
@@ -63,21 +71,23 @@ def _cell_facts(placed: DataFrame, k: int) -> pd.DataFrame:
 
 
 def neighbour_join(
-    queries: DataFrame, train: DataFrame, query_key: str, train_key: str, features: str, k: int = 5, p: int = 2
+    queries: DataFrame, train: DataFrame, query_key: str, train_key: str, features: str, k: int = 5, p: int = 2, probes: int | None = None
 ) -> DataFrame:
     """Rows ``query_key, train_key, distance, place`` with place 1..k.
 
     ``features`` is an array column of both tables. Distances (city block for
-    ``p=1``, Euclidean for ``p=2``) are rounded to six places before ranking;
-    ties go to the smaller training key.
+    ``p=1``, Euclidean for ``p=2``) rank as they are and are shown with six places;
+    ties go to the smaller training key. In many dimensions few cells can be ruled out:
+    with ``probes`` each query looks into that many of the nearest cells only, and the
+    neighbours are approximate.
     """
     if p not in (1, 2):
         raise ValueError("p must be 1 or 2")
     spark = train.sparkSession
     point = F.col(features).cast("array<double>").alias("point")
     base = train.select(F.col(train_key).alias("_tk"), point)
-    asked = queries.select(F.col(query_key).alias("_qk"), point)
-    pivots = _matrix(bounded_sample(base, "_tk", PIVOTS, "pivots").toPandas()["point"])
+    asked = on_executors(queries).select(F.col(query_key).alias("_qk"), point)
+    pivots = _matrix(bounded_sample(base, "_tk", pivot_count(base.count()), "pivots").toPandas()["point"])
     schema = T.StructType(
         [
             T.StructField(query_key, queries.schema[query_key].dataType),
@@ -105,6 +115,8 @@ def neighbour_join(
         upper = (to_pivot[:, :, None] + reach[None, :, :]).reshape(len(to_pivot), -1)
         bound = np.partition(upper, k - 1, axis=1)[:, k - 1]
         near = to_pivot - radius[None, :] <= bound[:, None] + slack
+        if probes is not None:
+            near &= to_pivot.argsort(axis=1).argsort(axis=1) < probes
         return pd.Series([cells[row].tolist() for row in near])
 
     wanted = asked.withColumn("_cell", F.explode(candidates("point")))
@@ -139,7 +151,7 @@ def neighbour_join(
         qk, qm = q["_qk"].to_numpy(), _matrix(q["point"])
         found: list[pd.DataFrame] = []
         for i in range(0, len(q), 256):
-            d = np.round(_distances(qm[i : i + 256], tm, p), PLACES)
+            d = _distances(qm[i : i + 256], tm, p)
             # Training keys are sorted, so a stable sort breaks ties by key.
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
             found.append(
@@ -157,7 +169,7 @@ def neighbour_join(
     pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(closest, pair_schema)
     order = Window.partitionBy("_qk").orderBy("distance", "_tk")
     ranked = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
-    return ranked.select(F.col("_qk").alias(query_key), F.col("_tk").alias(train_key), "distance", "place")
+    return ranked.select(F.col("_qk").alias(query_key), F.col("_tk").alias(train_key), F.round("distance", PLACES).alias("distance"), "place")
 
 
 def neighbour_vote(neighbours: DataFrame, labels: DataFrame, query_key: str, train_key: str, label: str, weights: str = "uniform") -> DataFrame:

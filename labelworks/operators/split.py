@@ -13,11 +13,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from labelworks.functions.scalar import hash_order
+from labelworks.functions.scalar import hash_order, to_json
 from labelworks.operators.keep import keep
 from labelworks.operators.order import hash_rank
 
 SEED = 42
+MOST_VALUES = 1000
 
 
 def _class_quota(df: DataFrame, label: str, test_size: float) -> DataFrame:
@@ -109,29 +110,29 @@ def shuffle_column(df: DataFrame, key: str, column: str, repeats: int = 1, seed:
     return paired.select("repeat", *others)
 
 
-def grid_points(lists: Mapping[str, Column], sizes: Mapping[str, Column], source: DataFrame) -> DataFrame:
-    """Every combination of array columns, by counting in mixed radix instead of joining.
+def distinct_lists(df: DataFrame, columns: Sequence[str], most: int = MOST_VALUES) -> dict[str, list[object]]:
+    """The present values of each column in order, for use as a search space.
 
-    Point ``i`` takes element ``(i / stride) % size`` of each list.
+    A search space is small; a column with more than ``most`` values fails.
     """
-    total = F.lit(1)
-    for name in lists:
-        total = total * sizes[name].cast("long")
-    points = source.select("*", F.explode(F.sequence(F.lit(0).cast("long"), total - 1)).alias("_i")).where(total > 0)
-    stride: Column = F.lit(1).cast("long")
-    out = []
-    for name in reversed(list(lists)):
-        size = sizes[name].cast("long")
-        step = F.floor(F.col("_i") / stride) % size
-        out.append(F.get(lists[name], step.cast("int")).alias(name))
-        stride = stride * size
-    return points.select(F.col("_i").alias("point"), *reversed(out))
+    out = {}
+    for c in columns:
+        rows = df.select(c).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(most + 1).collect()
+        if len(rows) > most:
+            raise ValueError(f"{c} has more than {most} values")
+        out[c] = [r[0] for r in rows]
+    return out
+
+
+def param_cross(df: DataFrame, lists: Mapping[str, Sequence[object]]) -> DataFrame:
+    """Each row with every combination of the lists, one explode a list: rows never meet."""
+    for name, values in lists.items():
+        df = df.withColumn(name, F.explode(F.array(*[F.lit(v) for v in values])))
+    return df
 
 
 def parameter_grid(spark: SparkSession, space: Mapping[str, Sequence[object]]) -> DataFrame:
     """All points of a search space, values as text (JSON form), numbered from 0."""
-    from labelworks.functions.scalar import to_json
-
     size = prod(len(v) for v in space.values())
     names, stride = list(space), size
     out = []

@@ -33,11 +33,13 @@ class RidgeClassifier(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReada
 
     alpha: Param[float] = Param(Params._dummy(), "alpha", "penalty on squared coefficients", TypeConverters.toFloat)
     weightCol: Param[str] = Param(Params._dummy(), "weightCol", "row weight, none when empty", TypeConverters.toString)
+    maxIter: Param[int] = Param(Params._dummy(), "maxIter", "iterations with many features", TypeConverters.toInt)
+    tol: Param[float] = Param(Params._dummy(), "tol", "where the iterations stop", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, alpha=1.0, featuresCol="features", labelCol="label", weightCol=""):
+    def __init__(self, *, alpha=1.0, featuresCol="features", labelCol="label", weightCol="", maxIter=1000, tol=1e-9):
         super().__init__()
-        self._setDefault(alpha=1.0, weightCol="")
+        self._setDefault(alpha=1.0, weightCol="", maxIter=1000, tol=1e-9)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -52,7 +54,9 @@ class RidgeClassifier(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReada
             featuresCol=self.getFeaturesCol(),
             labelCol="_y",
             predictionCol="margin",
-            solver="normal",
+            solver="auto",  # the normal equations up to 4,096 features, iterations beyond
+            maxIter=self.getOrDefault(self.maxIter),
+            tol=self.getOrDefault(self.tol),
             regParam=float(self.getOrDefault(self.alpha) * deviation / row["total"]),
             elasticNetParam=0.0,
             standardization=False,
@@ -122,13 +126,16 @@ class FourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultP
     """Random features whose inner product approximates the Gaussian kernel.
 
     Rahimi & Recht, "Random features for large-scale kernel machines", 2007. The
-    kernel width is 1 / (features x variance of all entries).
+    kernel width ``width`` is ``scale``, 1 / (features x variance of all entries),
+    ``auto``, 1 / features, or a number.
     """
 
+    width: Param[str] = Param(Params._dummy(), "width", "scale, auto or a number", TypeConverters.toString)
+
     @keyword_only
-    def __init__(self, *, dims=128, seed=42, featuresCol="features"):
+    def __init__(self, *, dims=128, seed=42, width="scale", featuresCol="features"):
         super().__init__()
-        self._setDefault(dims=128, seed=42)
+        self._setDefault(dims=128, seed=42, width="scale")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "FourierFeaturesModel":
@@ -137,7 +144,11 @@ class FourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultP
         mean = np.array(row["mean"].toArray())
         squares = np.array(row["normL2"].toArray()) ** 2 / row["count"]
         variance = squares.mean() - mean.mean() ** 2
-        gamma = 1.0 / (len(mean) * variance) if variance > 0 else 1.0
+        width = self.getOrDefault(self.width)
+        if width == "scale":
+            gamma = 1.0 / (len(mean) * variance) if variance > 0 else 1.0
+        else:
+            gamma = 1.0 / len(mean) if width == "auto" else float(width)
         return self._copyValues(FourierFeaturesModel())._set(gamma=float(gamma), inputs=len(mean))
 
 
@@ -167,11 +178,14 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
     kernel: Param[str] = Param(Params._dummy(), "kernel", "rbf or linear", TypeConverters.toString)
     weightCol: Param[str] = Param(Params._dummy(), "weightCol", "row weight, none when empty", TypeConverters.toString)
     maxIter: Param[int] = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    gamma: Param[str] = Param(Params._dummy(), "gamma", "kernel width: scale, auto or a number", TypeConverters.toString)
+    dims: Param[int] = Param(Params._dummy(), "dims", "random features", TypeConverters.toInt)
+    tol: Param[float] = Param(Params._dummy(), "tol", "where the iterations stop", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, C=1.0, kernel="rbf", featuresCol="features", labelCol="label", weightCol="", maxIter=100):
+    def __init__(self, *, C=1.0, kernel="rbf", featuresCol="features", labelCol="label", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3):
         super().__init__()
-        self._setDefault(C=1.0, kernel="rbf", weightCol="", maxIter=100)
+        self._setDefault(C=1.0, kernel="rbf", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3)
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -180,7 +194,7 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
             raise ValueError(f"unknown kernel {kernel!r}")
         head, features = [], self.getFeaturesCol()
         if kernel == "rbf":
-            waves = FourierFeatures(featuresCol=features).fit(dataset)
+            waves = FourierFeatures(featuresCol=features, dims=self.getOrDefault(self.dims), width=self.getOrDefault(self.gamma)).fit(dataset)
             dataset, features, head = waves.transform(dataset), "fourier", [waves]
         total = dataset.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
         svc = LinearSVC(
@@ -189,7 +203,7 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
             regParam=1.0 / (self.getOrDefault(self.C) * total),
             standardization=False,
             maxIter=self.getOrDefault(self.maxIter),
-            tol=1e-3,
+            tol=self.getOrDefault(self.tol),
         )
         if weight:
             svc.setWeightCol(weight)

@@ -9,6 +9,7 @@ from pyspark.ml import Model, PipelineModel
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from labelworks.functions.metrics import metric
 from labelworks.functions.scalar import abs_mean, hash_order
@@ -124,8 +125,6 @@ def sampled_shapley(
     pool = background.select(vector_to_array("features").alias("_z"), F.col(KEY).alias("_bg"))
     size = background.agg(F.count(F.lit(1))).scalar()
     # The background is a bounded sample; its numbering is a window of that size.
-    from pyspark.sql.window import Window
-
     seats = pool.withColumn("_seat", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("_bg")) - 1).drop("_bg")
     drawn = rows.select("*", F.explode(F.sequence(F.lit(1), F.lit(draws))).alias("_draw")).withColumn("_size", size)
     tag = F.concat_ws("|", F.col(KEY).cast("string"), F.col("_draw"))
@@ -152,8 +151,9 @@ def sampled_shapley(
         array_to_vector(F.transform("_x", moved)).alias("features"),
     )
     scored = score(chain).select("_row", "_draw", "_step", "_moved", "score")
-    before = scored.select("_row", "_draw", (F.col("_step") + 1).alias("_step"), F.col("score").alias("_before"))
-    gains = scored.where(F.col("_step") > 0).join(before, ["_row", "_draw", "_step"])
+    # Scored once: a chain of d + 1 steps meets in one window.
+    chain_order = Window.partitionBy("_row", "_draw").orderBy("_step")
+    gains = scored.withColumn("_before", F.lag("score").over(chain_order)).where(F.col("_step") > 0)
     values = gains.groupBy("_row", "_moved").agg(F.avg(F.col("score") - F.col("_before")).alias("value"))
     label = F.get(F.array(*[F.lit(n) for n in names]), F.col("_moved"))
     return values.select(F.col("_row").alias(KEY), label.alias("feature"), "value")

@@ -65,6 +65,7 @@ def _forest(bootstrap: bool) -> Callable[[Params, int, str], Estimator]:
                 maxDepth=p["max_depth"] or DEEPEST,
                 minInstancesPerNode=_leaf(p),
                 featureSubsetStrategy=p["max_features"] or "all",
+                maxBins=p["max_bins"],
                 bootstrap=bootstrap,
                 seed=SEED,
             ),
@@ -84,6 +85,7 @@ def _boosted(p: Params, n: int, weight: str) -> Estimator:
         stepSize=p["learning_rate"],
         maxDepth=p["max_depth"],
         minInstancesPerNode=p["min_child_weight"],
+        maxBins=p["max_bins"],
         subsamplingRate=p["subsample"],
         featureSubsetStrategy=str(p["colsample_bytree"]) if p["colsample_bytree"] < 1 else "all",
         seed=SEED,
@@ -96,12 +98,12 @@ def _logistic(p: Params, n: int, weight: str) -> Estimator:
 
 
 def _linear_svc(p: Params, n: int, weight: str) -> Estimator:
-    return _weighted(LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, tol=1e-4), weight)
+    return _weighted(LinearSVC(regParam=1.0 / (p["C"] * n), standardization=False, tol=p["tol"], maxIter=p["max_iter"]), weight)
 
 
 def _tree(p: Params, n: int, weight: str) -> Estimator:
     model = DecisionTreeClassifier(
-        maxDepth=p["max_depth"] or DEEPEST, minInstancesPerNode=_leaf(p), minInfoGain=p["ccp_alpha"], seed=SEED
+        maxDepth=p["max_depth"] or DEEPEST, minInstancesPerNode=_leaf(p), minInfoGain=p["ccp_alpha"], maxBins=p["max_bins"], seed=SEED
     )
     return _weighted(model, weight)
 
@@ -114,7 +116,7 @@ FOREST_SPACE = {
     "min_samples_leaf": [1, 2, 4],
     "max_features": ["sqrt", "log2", None],
 }
-FOREST = {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": "sqrt"}
+FOREST = {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "max_features": "sqrt", "max_bins": 32}
 BASELINE_SPACE = {"n_estimators": [100, 200, 300], "max_depth": [None, 10, 20], "min_samples_split": [2, 5, 10]}
 BASELINE_DRAWS = 20
 FAMILY_LIST = [
@@ -130,6 +132,7 @@ FAMILY_LIST = [
             "min_child_weight": 1,
             "subsample": 0.8,
             "colsample_bytree": 0.8,
+            "max_bins": 32,
         },
         {
             "n_estimators": [100, 200, 300, 500],
@@ -162,20 +165,20 @@ FAMILY_LIST = [
     ),
     Family(
         "svc",
-        lambda p, n, weight: KernelSVC(C=p["C"], kernel=p["kernel"], weightCol=weight),
-        {"C": 1.0, "kernel": "rbf", "gamma": "scale", "class_weight": None},
+        lambda p, n, weight: KernelSVC(C=p["C"], kernel=p["kernel"], gamma=str(p["gamma"]), dims=p["dims"], maxIter=p["max_iter"], tol=p["tol"], weightCol=weight),
+        {"C": 1.0, "kernel": "rbf", "gamma": "scale", "dims": 128, "max_iter": 100, "tol": 1e-3, "class_weight": None},
         {"C": [0.5, 1.0, 5.0], "kernel": ["linear", "rbf"], "gamma": ["scale"], "class_weight": [None, "balanced"]},
     ),
     Family(
         "linear_svc",
         _linear_svc,
-        {"C": 1.0, "class_weight": None},
+        {"C": 1.0, "max_iter": 100, "tol": 1e-4, "class_weight": None},
         {"C": [0.1, 1.0, 10.0], "class_weight": [None, "balanced"]},
     ),
     Family(
         "decision_tree",
         _tree,
-        {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "ccp_alpha": 0.0, "class_weight": None},
+        {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "ccp_alpha": 0.0, "max_bins": 32, "class_weight": None},
         {
             "max_depth": [None, 5, 10],
             "min_samples_split": [2, 5],

@@ -25,11 +25,10 @@ META = "stacking"
 
 @dataclass
 class Stack:
-    """Meta-model, its out-of-fold scores, their AUC and the test scores."""
+    """Meta-model, its out-of-fold scores and the test scores."""
 
     model: Model
     oof: DataFrame
-    auc: DataFrame
     test: DataFrame
 
 
@@ -37,25 +36,39 @@ def _meta(df: DataFrame, models: Sequence[str]) -> DataFrame:
     return VectorAssembler(inputCols=list(models), outputCol="features").transform(df)
 
 
-def stack_fit(scores: DataFrame, labels: DataFrame, models: Sequence[str], k: int = 5) -> Stack:
-    """Logistic meta-model over the score columns, cross-validated, then fitted on all rows.
+def _labelled(scores: DataFrame, labels: DataFrame, models: Sequence[str]) -> DataFrame:
+    return _meta(label_join(scan_oof(scores, models, "oof"), labels, KEY, LABEL), models).select(KEY, LABEL, "features")
 
-    ``scores`` is a table as made by ``make_oof``; ``labels`` has ``row_id, label``.
-    """
-    spark = scores.sparkSession
-    wide = _meta(label_join(scan_oof(scores, models, "oof"), labels, KEY, LABEL), models)
-    folded = keep(stratified_kfold(wide.select(KEY, LABEL, "features"), LABEL, KEY, k))
-    logistic = FAMILIES["logistic_regression"]
+
+def _fit(train: DataFrame, n: int) -> Model:
+    return fit_family(FAMILIES["logistic_regression"], {"max_iter": 100}, train, n)
+
+
+def stack_oof(scores: DataFrame, labels: DataFrame, models: Sequence[str], k: int = 5) -> DataFrame:
+    """Out-of-fold scores of the meta-model: ``row_id, label, fold, model, score, pred``."""
+    folded = keep(stratified_kfold(_labelled(scores, labels, models), LABEL, KEY, k))
+    sizes = {r[FOLD]: r["n"] for r in folded.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n")).collect()}  # k rows
 
     def one(fold: int) -> DataFrame:
-        train = fold_train_rows(folded, fold)
-        model = fit_family(logistic, {"max_iter": 100}, train, train.count())
+        model = _fit(fold_train_rows(folded, fold), sum(sizes.values()) - sizes.get(fold, 0))
         return score_table(model, fold_valid_rows(folded, fold), META, [KEY, LABEL, FOLD])
 
-    oof = keep(union_rows(*run_all(spark, [lambda f=f: one(f) for f in range(k)])))
-    model = fit_family(logistic, {"max_iter": 100}, folded, folded.count())
-    test = stack_predict(model, scores, models)
-    return Stack(model, oof, roc_auc(oof), test)
+    return union_rows(*run_all(scores.sparkSession, [lambda f=f: one(f) for f in range(k)]))
+
+
+def stack_model(scores: DataFrame, labels: DataFrame, models: Sequence[str]) -> Model:
+    """The logistic meta-model fitted on all labelled rows."""
+    table = keep(_labelled(scores, labels, models))
+    return _fit(table, table.count())
+
+
+def stack_fit(scores: DataFrame, labels: DataFrame, models: Sequence[str], k: int = 5) -> Stack:
+    """Logistic meta-model over the score columns, cross-validated, then fitted on all rows.
+
+    ``scores`` is a table as made by ``make_oof``; ``labels`` has ``row_id, label``.
+    """
+    model = stack_model(scores, labels, models)
+    return Stack(model, stack_oof(scores, labels, models, k), stack_predict(model, scores, models))
 
 
 def stack_predict(model: Model, scores: DataFrame, models: Sequence[str]) -> DataFrame:
@@ -78,7 +91,7 @@ def run_stacking(
     """Stack the saved scores, write the test probabilities, return the cross-validated AUC."""
     stack = stack_fit(read_oof(spark, scores_path, models), labels, models, k)
     write_submission(stack.test.withColumnRenamed(KEY, key), output, key, "score", target, as_int=False)
-    return stack.auc.first()["roc_auc"]
+    return roc_auc(keep(stack.oof)).first()["roc_auc"]
 
 
 def run_blend(

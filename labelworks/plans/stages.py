@@ -10,7 +10,7 @@ from typing import Any
 
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Pipeline, PipelineModel, Transformer
-from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCols
@@ -221,33 +221,47 @@ class TabularEncoder(Estimator, DefaultParamsReadable, DefaultParamsWritable):
 
     Numeric block first, then the categories in sorted order; unseen categories
     become zeros. Columns in ``excludeCols`` (keys, label, fold) are no features.
+    Categories are held on the driver: a column with (about) more than
+    ``maxCategories`` of them fails, or is hashed to ``hashTo`` of them if that is set.
     """
 
     excludeCols: Param[list[str]] = Param(Params._dummy(), "excludeCols", "columns that are no features", TypeConverters.toListString)
+    maxCategories: Param[int] = Param(Params._dummy(), "maxCategories", "most categories of a column", TypeConverters.toInt)
+    hashTo: Param[int] = Param(Params._dummy(), "hashTo", "hashed categories of a column with too many, 0 to fail", TypeConverters.toInt)
 
     @keyword_only
-    def __init__(self, *, excludeCols=None):
+    def __init__(self, *, excludeCols=None, maxCategories=10000, hashTo=0):
         super().__init__()
-        self._setDefault(excludeCols=[])
+        self._setDefault(excludeCols=[], maxCategories=10000, hashTo=0)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
         numeric, text = select_by_type(dataset.drop(*self.getOrDefault(self.excludeCols)))
-        return Pipeline(stages=encoder_stages(numeric, text)).fit(dataset)
+        most, slots = self.getOrDefault(self.maxCategories), self.getOrDefault(self.hashTo)
+        counts = dataset.agg(*[F.approx_count_distinct(c).alias(c) for c in text]).first() if text else {}
+        wide = [c for c in text if counts[c] > most]
+        if wide and not slots:
+            raise ValueError(f"more than {most} categories in {wide}; raise maxCategories or set hashTo")
+        return Pipeline(stages=encoder_stages(numeric, text, dict.fromkeys(wide, slots))).fit(dataset)
 
 
-def encoder_stages(numeric: list[str], text: list[str]) -> list[Any]:
+def encoder_stages(numeric: list[str], text: list[str], hashed: dict[str, int] | None = None) -> list[Any]:
     stages: list[Any] = []
+    if hashed:
+        digits = [f"concat('h', CAST(pmod(xxhash64(`{c}`), {n}) AS STRING)) END AS `_hash_{c}`" for c, n in hashed.items()]
+        cases = ", ".join(f"CASE WHEN `{c}` IS NOT NULL THEN {d}" for c, d in zip(hashed, digits))
+        stages.append(SQLTransformer(statement=f"SELECT *, {cases} FROM __THIS__"))
     if numeric:
         stages += [MedianImputer(inputCols=numeric), PopulationScaler(inputCols=numeric)]
+    blocks = [f"num__{c}" for c in numeric] + [f"cat__{c}" for c in text]
     if text:
-        places, blocks = [f"_at_{c}" for c in text], [f"cat__{c}" for c in text]
+        sources = [f"_hash_{c}" if c in (hashed or {}) else c for c in text]
+        places = [f"_at_{c}" for c in text]
         stages += [
-            ModeImputer(inputCols=text),
-            StringIndexer(inputCols=text, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep"),
-            OneHotEncoder(inputCols=places, outputCols=blocks, dropLast=True),
+            ModeImputer(inputCols=sources),
+            StringIndexer(inputCols=sources, outputCols=places, stringOrderType="alphabetAsc", handleInvalid="keep"),
+            OneHotEncoder(inputCols=places, outputCols=[f"cat__{c}" for c in text], dropLast=True),
         ]
-    blocks = [f"num__{c}" for c in numeric] + [f"cat__{c}" for c in text]
     return [*stages, VectorAssembler(inputCols=blocks, outputCol="features")]
 
 

@@ -38,8 +38,6 @@ from labelworks.plans.stages import TabularEncoder
 KEY, LABEL, FOLD = "row_id", "label", "fold"
 NO_FEATURES = [KEY, LABEL, FOLD, "part"]
 PARALLEL_FITS = 8
-# Fewest encoded rows worth a task of their own in every iteration of a fit.
-ROWS_PER_TASK = 50_000
 
 
 def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], width: int = PARALLEL_FITS) -> list[Any]:
@@ -63,14 +61,12 @@ class Prepared:
 def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
     """Fit the preparation on ``train`` only and encode both tables."""
     encoder = Pipeline(stages=[*[s.copy() for s in feature_stages], TabularEncoder(excludeCols=NO_FEATURES)]).fit(train)
-    n = train.count()
 
     def encode(df: DataFrame) -> DataFrame:
-        # Fits pass over the rows many times; few rows should not mean many tiny tasks.
-        encoded = encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features")
-        return keep(encoded.coalesce(1 + n // ROWS_PER_TASK))
+        return keep(encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features"))
 
-    return Prepared(encoder, encode(train), encode(valid), n)
+    fitted = encode(train)
+    return Prepared(encoder, fitted, encode(valid), fitted.count())
 
 
 def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[Prepared]:
@@ -268,10 +264,10 @@ def select_and_tune(
         family = candidates[name][0]
         space = (spaces or {}).get(name, family.space)
         searches[name] = search(folds, bench.split, family, space, (draws or {}).get(name, family.draws))
-    rows = [family_result(s, bench.split, s.family.search) for s in searches.values()]
-    table = union_rows(*rows)
-    # One row per family: the ranking window is as small as the family list.
-    cv = F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.col("best_cv_f1").desc()))
+    # One row per family, measured once: the ranking window is as small as the family list.
+    rows = union_rows(*[family_result(s, bench.split, s.family.search) for s in searches.values()])
+    table = train.sparkSession.createDataFrame(rows.collect(), rows.schema)
+    cv = F.rank().over(Window.partitionBy(F.lit(1)).orderBy(F.round("best_cv_f1", 12).desc()))
     results = leaderboard(table.withColumn("cv_rank", cv), "holdout_f1", "best_cv_f1")
     return Selection(bench, searches, results, results.first()["model"])
 

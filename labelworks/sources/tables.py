@@ -35,14 +35,15 @@ def normalise_missing(df: DataFrame) -> DataFrame:
     return df.withColumns({c: null_if_nan(c) for c in floats}) if floats else df
 
 
-def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """CSV with a header and a declared schema; a bad value or header fails the query.
 
     ``NA`` and empty cells are missing, and doubled quotes inside a quoted cell
-    stand for one quote. A name with a line break may span lines.
+    stand for one quote. With ``multi_line`` a quoted cell may hold line breaks; each
+    file is then read by one task, so large tables should come in many files.
     """
     reader = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").option("enforceSchema", False)
-    reader = reader.option("escape", '"').option("nullValue", "NA").option("emptyValue", "")
+    reader = reader.option("escape", '"').option("nullValue", "NA").option("emptyValue", "").option("multiLine", multi_line)
     return normalise_missing(reader.csv(path))
 
 

@@ -4,11 +4,12 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from labelworks.operators import neighbours as D
+from labelworks.operators.evaluate import roc_auc
 from labelworks.operators.select import select_by_type
 from labelworks.plans import explain as X
 from labelworks.plans import stacking as S
 from labelworks.plans import training as M
-from labelworks.plans.classifiers import FourierFeatures, RidgeClassifier
+from labelworks.plans.classifiers import FourierFeatures, KernelSVC, RidgeClassifier
 from labelworks.plans.families import FAMILIES, fit_family, last_stage
 from labelworks.plans.stages import MedianImputer, ModeImputer, PopulationScaler, TabularEncoder, TitleFeatures, feature_names
 
@@ -185,7 +186,7 @@ def test_stacking_over_made_scores(spark, selection):
     labels = bench.split.train.select("row_id", "label")
     stack = S.stack_fit(scores, labels, ["logistic_regression", "decision_tree"], 3)
     assert stack.oof.count() == 144 and stack.test.count() == 36
-    assert 0.5 < stack.auc.first()["roc_auc"] <= 1
+    assert 0.5 < roc_auc(stack.oof).first()["roc_auc"] <= 1
     area, blended = S.blend(scores, labels, ["logistic_regression", "decision_tree"], [0.5, 0.5])
     assert 0.5 < area.first()["roc_auc"] <= 1 and blended.count() == 36
 
@@ -254,3 +255,43 @@ def test_tree_nodes(spark, tmp_path):
             both = nodes.loc[[int(row["left"]), int(row["right"])]]
             assert (both["depth"] == row["depth"] + 1).all()
             assert both["n_rows"].sum() == row["n_rows"]
+
+
+def test_kernel_width_and_iterations_are_parameters(spark):
+    df, x, _ = numeric_table(spark, 120)
+    widths = {w: FourierFeatures(width=w).fit(df).getOrDefault("gamma") for w in ("scale", "auto", "0.25")}
+    assert widths["auto"] == pytest.approx(1 / 3) and widths["0.25"] == 0.25
+    assert widths["scale"] == pytest.approx(1 / (3 * x.var()), rel=1e-6)
+    model = KernelSVC(gamma="0.5", dims=16, maxIter=3, tol=0.1).fit(df)
+    assert model.stages[0].getOrDefault("gamma") == 0.5 and model.transform(df).first()["fourier"].size == 16
+    family = FAMILIES["svc"]
+    assert family.estimator({"gamma": 2.0, "dims": 8}, 120).getOrDefault("gamma") == "2.0"
+
+
+def test_rows_without_label_or_key_stay(spark):
+    from labelworks.operators import split as P
+
+    df = spark.createDataFrame([(i if i else None, None if i % 5 == 4 else i % 2) for i in range(50)], "k int, y int")
+    for out, name in ((P.stratified_split(df, "y", "k"), "part"), (P.stratified_kfold(df, "y", "k", 4), "fold")):
+        rows = out.collect()
+        assert len(rows) == 50 and all((r["y"] is None) == (r[name] is None) for r in rows)
+
+
+def test_many_categories_fail_or_are_hashed(spark):
+    df = spark.createDataFrame([(i, i % 2, f"c{i}" if i % 10 else None) for i in range(300)], "row_id int, label int, s string")
+    with pytest.raises(ValueError, match="categories"):
+        TabularEncoder(excludeCols=["row_id", "label"], maxCategories=50).fit(df)
+    encoder = TabularEncoder(excludeCols=["row_id", "label"], maxCategories=50, hashTo=8).fit(df)
+    out = encoder.transform(df)
+    assert out.first()["features"].size == 8 and all(n.startswith("cat__s_h") for n in feature_names(out))
+
+
+def test_probes_bound_the_cells_of_a_query(spark):
+    rng = np.random.default_rng(4)
+    points = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(400)]
+    train = spark.createDataFrame(points, "t int, v array<double>")
+    asked = train.where("t < 40").withColumnRenamed("t", "q")
+    exact, near = (D.neighbour_join(asked, train, "q", "t", "v", 3, probes=n).toPandas() for n in (None, 4))
+    both = exact.merge(near, on=["q", "t"])
+    assert len(near) == len(exact) == 120 and len(both) >= 0.5 * len(exact)
+    assert (near[near.place == 1].sort_values("q")["distance"] == 0).all()  # a point's own cell is its nearest

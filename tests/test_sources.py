@@ -27,6 +27,14 @@ def test_csv_quirks(spark, tmp_path):
     assert rows == [(1, 'O"Hara, Mr. X', None), (2, "B, Mrs. Y", None), (3, None, None), (4, "C, Dr. Z", 7.5)]
 
 
+def test_cells_with_line_breaks(spark, tmp_path):
+    path = write(tmp_path / "m.csv", 'PassengerId,Name,Age\n1,"Two\nlines, Mr. X",3\n2,"B, Mrs. Y",4\n')
+    rows = [tuple(r) for r in A.scan_csv(spark, path, SCHEMA, multi_line=True).orderBy("PassengerId").collect()]
+    assert rows == [(1, "Two\nlines, Mr. X", 3.0), (2, "B, Mrs. Y", 4.0)]
+    with pytest.raises(Exception):
+        A.scan_csv(spark, path, SCHEMA).collect()
+
+
 def test_bad_csv_fails(spark, tmp_path):
     with pytest.raises(Exception):
         A.scan_csv(spark, write(tmp_path / "b.csv", "PassengerId,Name,Age\nx,y,z\n"), SCHEMA).collect()
@@ -114,18 +122,17 @@ def test_prediction_files(spark, saved, passengers, tmp_path):
 
 
 def test_run_log(spark, tmp_path):
-    assert RunLog.start_run(spark, None, "r", "y", 42, 5, {}) is None
-    log = RunLog.start_run(
-        spark, f"{tmp_path}/log", "r1", "y", 42, 5, {"m": {"b": 1, "a": None}}, settings={"project": "p", "api_key": "hidden"}
-    )
+    assert RunLog.start_run(spark, None, "r", {}) is None
+    log = RunLog.start_run(spark, f"{tmp_path}/log", "r1", {"m": {"b": 1, "a": None}}, target="y", project="p", api_key="hidden")
     log.log_metrics("baseline", {"f1": 0.5, "auc": None})
     rows = [(i, "m", i % 2, 0.1 * i, int(i > 4)) for i in range(10)]
     held = prediction_frame(spark.createDataFrame(rows, "row_id int, model string, label int, score double, pred int"))
-    folds = spark.createDataFrame([("m", 0, 0.4), ("m", 1, 0.6)], "model string, fold int, f1 double")
-    log.log_baseline(folds, held)
+    folds = spark.createDataFrame([("m", 1, 0.4), ("m", 2, 0.6)], "model string, fold int, f1 double")
+    log.log_stage("baseline", {"model": "m", "cv_f1_mean": 0.5}, held=held, folds=folds)
     importance = spark.createDataFrame([("m", f"f{i}", float(i)) for i in range(30)], "model string, feature string, importance double")
-    log.log_search("family_search/m", {"model": "m", "best_cv_f1": 0.5, "search_type": "grid"}, {"C": 1}, held, importance)
-    log.log_summary("benchmark", spark.createDataFrame([("m", 0.5)], "model string, holdout_f1 double"), ["holdout_f1"])
+    log.log_stage("family_search/m", {"best_cv_f1": 0.5, "search_type": "grid"}, ("m", {"C": 1}), held, importance=importance, nodes=None)
+    summary = spark.createDataFrame([("m", 0.5)], "model string, holdout_f1 double")
+    log.log_tables("benchmark", {"summary": summary, "by_holdout_f1": summary})
     log.finish_run()
     config = spark.read.parquet(f"{tmp_path}/log/runs")
     assert {r["state"] for r in config.collect()} == {"started", "finished"}
@@ -135,11 +142,13 @@ def test_run_log(spark, tmp_path):
     assert metrics["baseline/roc_auc"] == pytest.approx(metrics["baseline/roc_auc_score"])
     top = spark.read.parquet(log.table_path("family_search/m/feature_importance"))
     assert top.count() == 20 and top.agg(F.min("importance")).first()[0] == 10.0
+    charts = {r["key"]: r["chart"] for r in spark.read.parquet(f"{tmp_path}/log/charts").collect()}
+    assert charts["baseline/cv_folds"] == "line" and charts["benchmark/holdout_f1_bar"] == "bar" and "family_search/m/tree/nodes" not in charts
     assert not log.register_model(f"{tmp_path}/absent", "x")
     assert log.register_model(f"{tmp_path}/log", "x", {"n": 1}, ["latest", "best"])
     artifact = spark.read.parquet(f"{tmp_path}/log/artifacts").first()
     assert artifact["aliases"] == ["latest", "best"] and artifact["metadata"] == '{"n": 1}'
-    assert [r["parameter"] for r in parameter_rows(spark, "c", {"m": {"b": 1, "a": None}}).collect()] == ["a", "b"]
+    assert [(r["parameter"], r["value"]) for r in parameter_rows(spark, "c", {"m": {"b": 1, "a": None}}).collect()] == [("a", "null"), ("b", "1")]
 
 
 def test_ensemble_needs_only_the_long_table(spark):

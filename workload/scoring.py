@@ -42,7 +42,10 @@ def stratified_kfold(spark, sf):
     return folded(spark, sf).select("row_id", "label", "fold")
 
 
-@query("hashed_kfold")
+@query(
+    "hashed_kfold",
+    f"WITH {WIDE_SQL} SELECT row_id, label, CAST(CAST(concat('0x', substring(md5(concat('42|', row_id)), 1, 8)) AS BIGINT) % 5 AS INTEGER) AS fold FROM wide",
+)
 def hashed_kfold(spark, sf):
     return P.hashed_kfold(wide(spark, sf).select("row_id", "label"), "row_id")
 

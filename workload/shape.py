@@ -214,23 +214,20 @@ grid AS (
   FROM brands, types, flags)"""
 
 
-def value_lists(spark, sf):
-    """Lists of the values found in the tables, one row."""
-    part = read(spark, sf, "part").agg(
-        F.array_sort(F.collect_set("p_brand")).alias("brand"), F.array_sort(F.collect_set("p_type")).alias("type")
-    )
-    flags = read(spark, sf, "lineitem").agg(F.array_sort(F.collect_set("l_returnflag")))
-    return part.withColumn("flag", flags.scalar())
-
-
 def found_grid(spark, sf):
-    lists = {c: F.col(c) for c in ("brand", "type", "flag")}
-    return P.grid_points(lists, {c: F.size(c) for c in lists}, value_lists(spark, sf))
+    """Grid over the values found in the tables; the texts are JSON, so their quotes come off."""
+    part = P.distinct_lists(read(spark, sf, "part"), ["p_brand", "p_type"])
+    flags = P.distinct_lists(read(spark, sf, "lineitem"), ["l_returnflag"])
+    space = {"brand": part["p_brand"], "type": part["p_type"], "flag": flags["l_returnflag"]}
+    grid = P.parameter_grid(spark, space)
+    return grid.select("point", *[F.from_json(F.concat(F.lit('{"v":'), c, F.lit("}")), "v string")["v"].alias(c) for c in space])
 
 
 @query("model_param_cross", f"WITH {LISTS_SQL} SELECT brand, type, flag FROM grid")
 def model_param_cross(spark, sf):
-    return found_grid(spark, sf).drop("point")
+    part, line = read(spark, sf, "part"), read(spark, sf, "lineitem")
+    lists = {"type": P.distinct_lists(part, ["p_type"])["p_type"], "flag": P.distinct_lists(line, ["l_returnflag"])["l_returnflag"]}
+    return P.param_cross(part.select(F.col("p_brand").alias("brand")).distinct(), lists)
 
 
 @query("parameter_grid", f"WITH {LISTS_SQL} SELECT * FROM grid")
