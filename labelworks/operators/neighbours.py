@@ -24,8 +24,10 @@ from labelworks.session import on_executors
 
 PIVOTS = 64
 BLOCK_ROWS = 4096
-# Places that distances are shown with, and the slack of the bounds.
+# Places that distances are shown with (and the slack of the bounds), and those they
+# rank by: sums of the same gaps in another order differ beyond them.
 PLACES = 6
+RANKED = 12
 
 
 def pivot_count(rows: int) -> int:
@@ -76,7 +78,7 @@ def neighbour_join(
     """Rows ``query_key, train_key, distance, place`` with place 1..k.
 
     ``features`` is an array column of both tables. Distances (city block for
-    ``p=1``, Euclidean for ``p=2``) rank as they are and are shown with six places;
+    ``p=1``, Euclidean for ``p=2``) rank by twelve places and are shown with six;
     ties go to the smaller training key. In many dimensions few cells can be ruled out:
     with ``probes`` each query looks into that many of the nearest cells only, and the
     neighbours are approximate.
@@ -151,7 +153,7 @@ def neighbour_join(
         qk, qm = q["_qk"].to_numpy(), _matrix(q["point"])
         found: list[pd.DataFrame] = []
         for i in range(0, len(q), 256):
-            d = _distances(qm[i : i + 256], tm, p)
+            d = np.round(_distances(qm[i : i + 256], tm, p), RANKED)
             # Training keys are sorted, so a stable sort breaks ties by key.
             best = np.argsort(d, axis=1, kind="stable")[:, :k]
             found.append(

@@ -112,7 +112,7 @@ def test_neighbours_match_brute_force(spark, monkeypatch, p, k):
     asked = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(q)], "q long, v array<double>")
     got = D.neighbour_join(asked, train, "q", "t", "v", k, p).toPandas().sort_values(["q", "place"])
     gap = np.abs(q[:, None] - t[None])
-    d = np.round(gap.sum(2) if p == 1 else np.sqrt((gap**2).sum(2)), 6)
+    d = np.round(gap.sum(2) if p == 1 else np.sqrt((gap**2).sum(2)), 12)
     want = np.argsort(d, axis=1, kind="stable")[:, :k]
     np.testing.assert_array_equal(got["t"].to_numpy().reshape(-1, k), want)
 

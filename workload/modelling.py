@@ -231,7 +231,7 @@ NEAR_SQL = f"""vectors AS (SELECT vec_id AS row_id, CAST(embedding AS DOUBLE[])
   FROM embeddings), {PARTS_SQL.replace('FROM wide', 'FROM vectors')},
 near AS (SELECT q.row_id AS query_id, t.row_id AS train_id, t.label, round(list_distance(q.embedding, t.embedding), 6) AS distance
   FROM parts q, parts t WHERE q.part = 'test' AND t.part = 'train'
-  QUALIFY row_number() OVER (PARTITION BY q.row_id ORDER BY list_distance(q.embedding, t.embedding), t.row_id) <= 5)"""
+  QUALIFY row_number() OVER (PARTITION BY q.row_id ORDER BY round(list_distance(q.embedding, t.embedding), 12), t.row_id) <= 5)"""
 
 
 def near(spark, sf):
