@@ -180,11 +180,12 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     """
     judged = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id").isNotNull())
     names = keep(judged.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"), F.min("component_id").alias("__least")))
-    winners = names.where(F.col("__id") == F.col("__least"))
-    found = docs.join(winners, F.col("doc_id").cast("long") == F.col("__id"), "inner")
-    once = found.where("__n = 1").select(*[f"`{c}`" for c in docs.columns])
-    repeated = found.where("__n > 1").select(*[f"`{c}`" for c in docs.columns]).dropDuplicates(["doc_id"])
-    return once.unionByName(repeated).unionByName(docs.where(F.col("doc_id").isNull()))
+    # What goes is less than what stays: the texts are shuffled only where the list of it is long.
+    first = F.col("__id") == F.col("__least")
+    losers, repeated = keep(names.where(~first).select("__id")), keep(names.where(first & (F.col("__n") > 1)).select("__id"))
+    own = F.col("doc_id").cast("long") == F.col("__id")
+    stay = docs.join(losers.unionByName(repeated), own, "left_anti")
+    return stay.unionByName(docs.join(repeated, own, "left_semi").dropDuplicates(["doc_id"]))
 
 
 def component_digest(docs: DataFrame) -> DataFrame:
