@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Collection, Sequence
 
 import numpy as np
 from pyspark.ml import Model, PipelineModel
@@ -79,17 +79,46 @@ def permutation_importance(
 
 
 def permutation_importance_encoded(
-    name: str, predict: Predict, df: DataFrame, names: Sequence[str], repeats: int = 5, scoring: str = "f1", seed: int = SEED
+    name: str,
+    predict: Predict,
+    df: DataFrame,
+    names: Sequence[str],
+    repeats: int = 5,
+    scoring: str = "f1",
+    seed: int = SEED,
+    used: Collection[str] | None = None,
 ) -> DataFrame:
-    """The same on the slots of the encoded vector ``features``."""
+    """The same on the slots of the encoded vector ``features``.
+
+    A copy of a row carries its whole vector, so slots that the model does not look at,
+    named by leaving them out of ``used``, are not tried: shuffling them costs exactly 0.
+    """
+    tried = [(i, n) for i, n in enumerate(names) if used is None or n in used]
+    idle = df.sparkSession.createDataFrame(
+        [(name, n, 0.0, 0.0) for n in names if used is not None and n not in used],
+        "model string, feature string, importance_mean double, importance_std double",
+    )
+    if not tried:
+        return idle.orderBy("feature")
     values = df.select(KEY, LABEL, vector_to_array("features").alias("_v"))
     paired = donor_rows(values, KEY, ["_v"], repeats, seed)
-    texts = F.array(*[F.lit(n) for n in names])
-    copies = paired.select("*", F.posexplode(texts).alias("_slot", "feature"))
+    slots = F.explode(F.array(*[F.struct(F.lit(i).alias("slot"), F.lit(n).alias("feature")) for i, n in tried])).alias("_s")
+    copies = paired.select("*", slots).select("*", F.col("_s.slot").alias("_slot"), F.col("_s.feature").alias("feature"))
     swapped = F.transform("_v", lambda x, i: F.when(i == F.col("_slot"), F.get(F.col("donor._v"), i)).otherwise(x))
     unique = F.concat_ws("|", "repeat", "_slot", F.col(KEY).cast("string"))
     shuffled = copies.select("repeat", "feature", unique.alias(KEY), LABEL, array_to_vector(swapped).alias("features"))
-    return _drops(predict(shuffled), predict(df.select(KEY, LABEL, "features")), name, scoring)
+    found = _drops(predict(shuffled), predict(df.select(KEY, LABEL, "features")), name, scoring)
+    return found.unionByName(idle).orderBy(F.col("importance_mean").desc(), "feature")
+
+
+def used_features(model: Model, names: Sequence[str]) -> set[str] | None:
+    """Names of the slots a model looks at; None where it cannot tell."""
+    last = last_stage(model)
+    if hasattr(last, "featureImportances"):
+        weights = last.featureImportances.toArray()
+    elif (weights := _coefficients(model)) is None:
+        return None
+    return {n for n, w in zip(names, weights) if w != 0}
 
 
 def model_predict(model: Model) -> Predict:

@@ -70,7 +70,7 @@ def explain_model(
     return Explained(
         explain.feature_importance(spark, name, model, names),
         explain.permutation_importance(name, whole, test, raw, REPEATS),
-        explain.permutation_importance_encoded(name, explain.model_predict(model), split.valid, names, REPEATS) if encoded else None,
+        explain.permutation_importance_encoded(name, explain.model_predict(model), split.valid, names, REPEATS, used=explain.used_features(model, names)) if encoded else None,
         explain.shapley_summary(name, model, split.train, split.valid, names) if shapley else None,
         nodes,
     )

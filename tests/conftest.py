@@ -28,6 +28,9 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from labelworks.operators.keep import release
+
+    release(session)
     session.stop()
 
 

@@ -221,6 +221,8 @@ def test_encoded_permutation(spark, selection):
     split, model = selection.benchmark.split, selection.benchmark.models["decision_tree"]
     names = feature_names(split.train)
     got = X.permutation_importance_encoded("t", X.model_predict(model), split.valid, names, 2).toPandas().set_index("feature")
+    used = X.permutation_importance_encoded("t", X.model_predict(model), split.valid, names, 2, used=X.used_features(model, names))
+    assert used.toPandas().set_index("feature").sort_index().equals(got.sort_index())
     unused = [n for n, v in zip(names, last_stage(model).featureImportances.toArray()) if v == 0]
     assert len(got) == len(names) and unused and (got.loc[unused, "importance_mean"] == 0).all()
 

@@ -509,7 +509,7 @@ def _explained_tree(spark, sf) -> tuple[M.Prepared, object, list[str], set[str]]
     split = prepared(spark, sf)
     model = M.fit_family(FAMILIES["decision_tree"], {"max_depth": 5}, split.train, split.n)
     names = J.feature_names(split.train)
-    return split, model, names, {n for n, x in zip(names, model.featureImportances.toArray()) if x > 0}
+    return split, model, names, N.used_features(model, names)
 
 
 def unused_costs_nothing(table: DataFrame, used: set[str], *measures: str) -> DataFrame:
