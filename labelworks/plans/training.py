@@ -196,11 +196,11 @@ def search(
         def run() -> tuple[int, int, float, float]:
             fold = folds[j]
             model = fit_family(family, points[i], fold.train, fold.n)
-            f1 = [
-                score_table(model, part, family.name, [LABEL]).agg(f1_binary(LABEL, "pred")).first()[0]
-                for part in (fold.valid, fold.train)
-            ]
-            return i, j, f1[0], f1[1]
+            # Both parts in one job: the fits are many and their tables small.
+            parts = [p.select(KEY, LABEL, "features", F.lit(n).alias("_part")) for n, p in (("test", fold.valid), ("train", fold.train))]
+            scored = score_table(model, parts[0].unionByName(parts[1]), family.name, [LABEL, "_part"])
+            f1 = {r["_part"]: r["f1"] for r in scored.groupBy("_part").agg(f1_binary(LABEL, "pred").alias("f1")).collect()}
+            return i, j, f1["test"], f1["train"]
 
         return run
 
@@ -247,16 +247,19 @@ def select_and_tune(
     search_k: int = 3,
     spaces: Mapping[str, Mapping[str, Sequence[Any]]] | None = None,
     draws: Mapping[str, int] | None = None,
+    bench: Benchmark | None = None,
 ) -> Selection:
     """Benchmark, search the best family first and the others after, compare.
 
+    A benchmark of these (and perhaps further) candidates on the same parts can be given.
+
     The final choice goes by holdout F1, which is optimistic; ``cv_rank`` shows
     the order that cross-validation alone would give.
     """
     from pyspark.sql.window import Window
 
-    bench = benchmark_models(train, test, candidates, feature_stages, k)
-    first = bench.results.first()["model"]
+    bench = bench or benchmark_models(train, test, candidates, feature_stages, k)
+    first = bench.results.where(F.col("model").isin(*candidates)).first()["model"]
     order = [first, *[n for n in candidates if n != first]]
     folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, search_k)), search_k, feature_stages)
     searches = {}

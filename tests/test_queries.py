@@ -10,9 +10,8 @@ from workload import registry
 
 SF = "/root/testdata/sf0.001"
 SQL = registry.SQL
-# Nine families over five folds, or a hundred fits: minutes each, so only on request.
-SLOW = {"benchmark_models", "boosted_trees", "cross_validate", "make_oof", "predict_ensemble", "random_search", "score_column", "select_and_tune"}
-NAMES = sorted(SQL if os.environ.get("TEST_SLOW") else set(SQL) - SLOW)
+# The slow ones only on request.
+NAMES = sorted(SQL if os.environ.get("TEST_SLOW") else set(SQL) - registry.SLOW)
 
 
 @pytest.fixture(scope="module")

@@ -402,7 +402,7 @@ TUNED_SQL = "(VALUES " + ", ".join(f"('{n}', '{FAMILIES[n].search}')" for n in T
 @query("select_and_tune", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {TUNED_SQL} GROUP BY ALL")
 def select_and_tune(spark, sf):
     train, test = split_riders(spark, sf)
-    table = M.select_and_tune(train, test, M.defaults(TUNED), [title_stage()]).results
+    table = M.select_and_tune(train, test, M.defaults(TUNED), [title_stage()], bench=benchmark(spark, sf)).results
     ranked = F.col("cv_rank").between(1, len(TUNED))
     return table.select("model", "search_type", (within(table, SEARCHED) & ranked).alias("sound"))
 
