@@ -32,7 +32,8 @@ _ATTRIBUTE = re.compile(r"""(class|id|role|data-label)\s*=\s*(?:"([^"]*)"|'([^']
 _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())  # their content is no markup
-DROPPED = frozenset("head script style noscript template textarea title form select button iframe svg math object canvas audio video dialog xmp noframes".split())
+IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())  # any other tag ends an open head
+DROPPED = frozenset("head script style noscript template textarea title select button iframe svg object canvas audio video dialog xmp noframes".split())
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
@@ -41,7 +42,7 @@ _ENDS_SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"})
 _SCOPE = frozenset("table td th button article section aside nav header footer main div blockquote li".split())
 GROUPS = [
     {"article", "main"}, {"nav", "menu"}, {"aside"}, {"header"}, {"footer"}, {"p", "pre", "blockquote"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"div", "section", "center"}, {"ul", "ol", "dl"},
-    {"li", "dd", "dt"}, {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"a"}, {"figure", "figcaption"}, {"html", "body"},
+    {"li", "dd", "dt"}, {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"a"}, {"figure", "figcaption"}, {"html", "body"}, {"form"},
 ]
 GOOD = frozenset("content article post entry main story text body page prose".split())
 BAD = [
@@ -98,7 +99,9 @@ class Pages:
                 dropped -= tag in DROPPED
 
         def said(text: str) -> None:
-            if not dropped and stack and text:
+            if stack[-1][0] == "head" and text and not text.isspace():
+                close(len(stack) - 1)
+            if not dropped and text:
                 self.text.append((stack[-1][1], block, entities.unescape(text) if "&" in text else text))
 
         open_("html", "")
@@ -128,6 +131,13 @@ class Pages:
                 continue
             if tag == "html":
                 continue
+            if tag == "body" or (stack[-1][0] == "head" and tag not in IN_HEAD):
+                for i in range(len(stack) - 1, 0, -1):
+                    if stack[i][0] == "head":
+                        close(i)
+                        break
+                    if stack[i][0] == "template":
+                        break
             if tag in _ENDS_P:
                 for i in range(len(stack) - 1, 0, -1):
                     if stack[i][0] == "p":
@@ -243,7 +253,7 @@ def labelled_page(rng: random.Random) -> str:
         "notice": lambda: region(["div", "div", "section", "p"], named("cookie", "consent", "notice", "alert", "newsletter", "popup"), rng.choice([prose(1, 4), f"<p>{prose(1, 3)}</p><button>{word()}</button>"])),
         "comments": lambda: region(["section", "div", "ul", "aside"], named("comments", "comment", "replies", "discussion"), "".join(f"<div{named('comment', 'reply')}><b>{word()}</b><p>{prose(1, 6)}</p></div>" for _ in range(rng.randint(1, 6)))),
         "share": lambda: region(["div", "ul", "section"], named("share", "social"), f"<ul>{links(2, 4)}</ul>"),
-        "form": lambda: f'<form data-label="0"><p>{sentence()}</p><input name="q"><button>{word()}</button></form>',
+        "form": lambda: region(["form"], rng.choice(["", "", named("search", "login", "newsletter")]), rng.choice([f"<p>{sentence()}</p>", f"<p>{sentence()}</p>", f"<label>{words(1, 3)}</label>", f"<p>{prose(1, 3)}</p>", sentence()]) + f'<input name="q"><button>{word()}</button>'),
     }
     some = lambda names, p: "".join(boilerplate[n]() for n in names if rng.random() < p)
 
@@ -260,13 +270,15 @@ def labelled_page(rng: random.Random) -> str:
     inner = "".join(part() + some(["ad", "share", "side"], 0.04) for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 14, 25])))
     title = rng.choice([f"<h1>{words(1, 9)}</h1>", f"<h1>{words(1, 9)}</h1>", ""])
     head, tail = rng.choice([("<article>", "</article>")] * 4 + [("<main>", "</main>"), (f"<div{named('content', 'post', 'entry', 'story', 'article')}>", "</div>"), (f"<section{named('content', 'article')}>", "</section>"), ("<div>", "</div>"), (f"<main><article{named('post')}>", "</article></main>")])
-    inside = some(["comments", "share"], 0.08)
+    inside = some(["comments", "share", "form"], 0.08)
     body = head.replace(">", ' data-label="1">', 1) + title + inner + inside + tail
     before = some(["header", "bare header", "nav", "notice", "ad", "form"], 0.45)
     after = some(["side", "bare side", "comments", "ad", "notice", "share", "form"], 0.3) + some(["footer"], 0.4) + some(["bare footer"], 0.5)
     middle = f"{before}{body}{after}"
     if rng.random() < 0.3:
         middle = f'<div{rng.choice(["", named("page", "wrapper", "container")])}>{middle}</div>'
+    if rng.random() < 0.1:
+        middle = f'<form method="post" action="/{word()}"{rng.choice(["", named("page", "form")])}><input type="hidden" name="s">{middle}</form>'
     return f'<!DOCTYPE html><html lang="en"><head><title>{words(1, 8)}</title><style>p{{}}</style><script>var t="</p>";</script></head><body>{middle}</body></html>'
 
 

@@ -80,6 +80,30 @@ def test_page_cases(spark):
     assert html.extract(table.limit(0)).count() == 0
 
 
+SAID = "Some words in a long sentence, and more of it here."
+ARTICLE, MENU, FOOT = f"<article><h1>On rivers</h1>{f'<p>{SAID}</p>' * 6}</article>", "<nav><ul><li><a href='/'>Home</a></li></ul></nav>", "<footer>(c) 2020 Us.</footer>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><body>{MENU}{ARTICLE}{FOOT}</body></html>",
+        f"<head><meta charset=x><title>t</title><noscript><img src=x></noscript><body>{MENU}{ARTICLE}{FOOT}",
+        f"<head><title>t</title>{MENU}{ARTICLE}{FOOT}",
+        f"<head><title>t</title> {ARTICLE}",
+        f"<html><head></head><body><form method=post><input type=hidden>{MENU}{ARTICLE}{FOOT}</form></body></html>",
+        f"<html><head></head><body><form id=f method=post><div id='wrapper'>{MENU}{ARTICLE}<form class='search'><p>Search this site.</p></form>{FOOT}</div></form></body></html>",
+    ],
+)
+def test_open_head_and_page_wide_form(page):
+    assert html.main_texts([page], html.default_model()) == ["On rivers" + f"\n{SAID}" * 6]
+
+
+def test_math_is_text():
+    page = f"<body>{MENU}<article><p>Since <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, we stop.</p><p>{SAID}</p></article>"
+    assert html.main_texts([page], html.default_model()) == [f"Since x=2 holds, we stop.\n{SAID}"]
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
