@@ -57,9 +57,11 @@ _KIND = {tag: i for i, group in enumerate(GROUPS) for tag in group}
 
 
 class Pages:
-    """The elements of several pages in page order, one after another, and their texts."""
+    """The elements of several pages in page order, one after another, and their texts.
+    ``data-label`` is read on generated pages alone: on others it means something else."""
 
-    def __init__(self):
+    def __init__(self, generated: bool = True):
+        self.generated = generated
         self.parent, self.end, self.kind, self.depth, self.good, self.bad, self.asked, self.label = [], [], [], [], [], [], [], []
         self.text: list[tuple[int, int, str]] = []  # element, block, characters
         self.first: list[int] = []
@@ -75,7 +77,8 @@ class Pages:
                 for name, *value in _ATTRIBUTE.findall(attributes):
                     value = "".join(value)
                     if name.lower() == "data-label":
-                        label = int(value)
+                        if self.generated:
+                            label = int(value)
                         continue
                     for token in map(str.lower, _TOKEN.findall(value)):
                         good |= token in GOOD
@@ -300,7 +303,7 @@ def default_model(pages: int = 1000, seed: int = 11) -> Trees:
 
 
 def main_texts(pages: list[str | None], model: Trees) -> list[str]:
-    table = Pages()
+    table = Pages(generated=False)
     for page in pages:
         table.add(page or "")
     return table.texts(table.decoded(model)) if pages else []

@@ -104,6 +104,12 @@ def test_math_is_text():
     assert html.main_texts([page], html.default_model()) == [f"Since x=2 holds, we stop.\n{SAID}"]
 
 
+@pytest.mark.parametrize("label", ["Price", "", "0", "-1", "1"])
+def test_label_of_a_real_page_is_ignored(label):
+    page = f"<body>{MENU}{ARTICLE}{FOOT}</body>".replace("<article>", f'<article data-label="{label}">')
+    assert html.main_texts([page], html.default_model()) == ["On rivers" + f"\n{SAID}" * 6]
+
+
 RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"), ("allow", "com", "/fr/"), ("block", "com", "/de/")]
 
 
