@@ -6,7 +6,8 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as entry
-from workload import registry
+from labelworks.plans.families import FAMILIES
+from workload import modelling, registry
 
 SF = "/root/testdata/sf0.001"
 SQL = registry.SQL
@@ -27,3 +28,12 @@ def test_query_matches_sql(spark, duck, name):
 
 def test_every_query_has_sql():
     assert set(SQL) == set(registry.QUERIES) and set(SQL) <= set(entry.oracle_sql())
+
+
+def test_a_query_searches_every_family(monkeypatch, duck):
+    asked = []
+    monkeypatch.setattr(modelling, "_tuned", lambda spark, sf, names: asked.extend(names))
+    registry.QUERIES["select_and_tune_all"](None, SF)
+    rows = duck.execute(SQL["select_and_tune_all"]).fetchall()
+    assert sorted(asked) == sorted(FAMILIES) == sorted(r[0] for r in rows)
+    assert {(r[0], r[1]) for r in rows} == {(n, f.search) for n, f in FAMILIES.items()}

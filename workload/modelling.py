@@ -393,20 +393,32 @@ def family_search(spark, sf):
     return row.select("model", "search_type", within(row, SEARCHED))
 
 
-#: Boosting's 45 searched fits of up to 500 rounds take longer than all others together;
-#: it is benchmarked above and searched by the training run.
+#: ``select_and_tune_all`` below searches boosting too, and ranks all nine.
 TUNED = [n for n in FAMILIES if n != "boosted_trees"]
 TUNED_SQL = "(VALUES " + ", ".join(f"('{n}', '{FAMILIES[n].search}')" for n in TUNED) + ") tuned(model, search_type)"
 
 
-@query("select_and_tune", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {TUNED_SQL} GROUP BY ALL")
-def select_and_tune(spark, sf):
+def _tuned(spark, sf, names: list[str]) -> DataFrame:
     train, test = split_riders(spark, sf)
-    table = M.select_and_tune(train, test, M.defaults(TUNED), [title_stage()], bench=benchmark(spark, sf)).results
-    ranked = F.col("cv_rank").between(1, len(TUNED))
+    table = M.select_and_tune(train, test, M.defaults(names), [title_stage()], bench=benchmark(spark, sf)).results
+    ranked = F.col("cv_rank").between(1, len(names))
     return table.select("model", "search_type", (within(table, SEARCHED) & ranked).alias("sound"))
 
 
+@query("select_and_tune", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {TUNED_SQL} GROUP BY ALL")
+def select_and_tune(spark, sf):
+    return _tuned(spark, sf, TUNED)
+
+
+SEARCHES_SQL = "(VALUES " + ", ".join(f"('{n}', '{f.search}')" for n, f in FAMILIES.items()) + ") searches(model, search_type)"
+
+
+@query("select_and_tune_all", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {SEARCHES_SQL} GROUP BY ALL")
+def select_and_tune_all(spark, sf):
+    """Every family searched over its whole space with its own number of draws."""
+    return _tuned(spark, sf, list(FAMILIES))
+
+
 _EVENT_PARTS = f"WITH {WIDE_SQL}, {PARTS_SQL}"
 
 
