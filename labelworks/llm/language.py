@@ -12,7 +12,7 @@ judges rows alone. Only the prototypes, one vector a language, go to the tasks.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ from labelworks.llm.words import U, slices
 from labelworks.session import on_executors
 
 SIZE, GRAM, SEED, ROWS, MOST_LANGUAGES = 1024, 3, 7, 256, 2000
+GRAMS = 8192  # distinct trigrams whose vectors are held at once
 UNKNOWN = "und"
 
 
@@ -39,7 +40,7 @@ def _letters() -> tuple[np.ndarray, np.ndarray]:
     return letter, lower
 
 
-@cache
+@lru_cache(1 << 16)  # 64 MB
 def _vector(point: int, turn: int) -> np.ndarray:
     own = np.random.default_rng([SEED, point]).integers(0, 2, SIZE, dtype=np.int8) * 2 - 1
     return np.roll(own, turn).astype(np.int8)
@@ -70,6 +71,24 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return codes, row[middle]
 
 
+def _bundle(own: np.ndarray, at: np.ndarray, codes: np.ndarray, n: int) -> np.ndarray:
+    """The sums of the vectors of n bundles: of each n-gram its bundle and its place in the
+    ascending ``codes``. GRAMS codes at a time, so memory does not follow their number; the
+    numbers are whole and exact in whatever order they are added."""
+    out = np.zeros((n, SIZE))
+    if len(codes) > GRAMS:
+        order = np.argsort(at, kind="stable")
+        own, at = own[order], at[order]
+    for lo in range(0, len(codes), GRAMS):
+        part = codes[lo : lo + GRAMS]
+        span = slice(*np.searchsorted(at, [lo, lo + len(part)])) if len(codes) > GRAMS else slice(None)
+        counts = np.bincount(own[span] * len(part) + at[span] - lo, minlength=n * len(part)).reshape(n, -1)
+        # 32-bit floats are exact up to 2**24
+        kind = np.float32 if counts.sum(1).max(initial=0) < 1 << 24 else np.float64
+        out += counts.astype(kind) @ _bound(part).astype(kind)
+    return out
+
+
 def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total: dict[str, np.ndarray] = {}
     for batch in batches:
@@ -78,9 +97,8 @@ def _bundles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             codes, row = _grams(data, offsets)
             names, own = np.unique(np.array(langs[lo:hi], dtype=object).astype(str), return_inverse=True)
             codes, at = np.unique(codes, return_inverse=True)
-            counts = np.bincount(own[row] * len(codes) + at, minlength=len(names) * len(codes)).reshape(len(names), -1)
             if len(codes):
-                for name, part in zip(names.tolist(), counts.astype(np.float64) @ _bound(codes), strict=True):
+                for name, part in zip(names.tolist(), _bundle(own[row], at, codes, len(names)), strict=True):
                     total[name] = total.get(name, 0) + part
     if total:
         yield pa.RecordBatch.from_arrays([pa.array(list(total)), pa.array([v.tolist() for v in total.values()], pa.list_(pa.float64()))], names=["lang", "bundle"])
@@ -108,12 +126,16 @@ def _predict(prototypes: dict[str, np.ndarray]):
         for lo, hi, data, offsets in slices(column):
             codes, row = _grams(data, offsets)
             codes, at = np.unique(codes, return_inverse=True)
-            bound = _bound(codes).astype(np.float32)
+            bound = _bound(codes).astype(np.float32) if len(codes) <= GRAMS else None
             edges = np.searchsorted(row, np.arange(0, hi - lo + ROWS, ROWS))
             for i, first in enumerate(range(0, hi - lo, ROWS)):
                 span, n = slice(edges[i], edges[i + 1]), min(ROWS, hi - lo - first)
-                counts = np.bincount((row[span] - first) * len(codes) + at[span], minlength=n * len(codes)).reshape(n, -1)
-                texts = counts.astype(np.float32) @ bound if len(codes) else np.zeros((n, SIZE), np.float32)
+                if bound is None:
+                    here, place = np.unique(at[span], return_inverse=True)
+                    texts = _bundle(row[span] - first, place, codes[here], n).astype(np.float32)
+                else:
+                    counts = np.bincount((row[span] - first) * len(codes) + at[span], minlength=n * len(codes)).reshape(n, -1)
+                    texts = counts.astype(np.float32) @ bound if len(codes) else np.zeros((n, SIZE), np.float32)
                 length = np.sqrt((texts.astype(np.float64) ** 2).sum(1))
                 some = np.bincount(row[span] - first, minlength=n) > 0
                 cosine = (texts @ matrix.T) / np.maximum(length, 1)[:, None] if names else np.zeros((n, 1))

@@ -4,7 +4,9 @@ import base64
 import random
 import re
 
+import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from llm.helpers import SF, contains, sha, shingles
@@ -71,6 +73,25 @@ def test_language_cases(spark):
     assert [r.lang_pred for r in language.language_digest(untaught).collect()] == ["und"]
 
 
+def test_vectors_are_held_in_blocks(monkeypatch):
+    rng, held, bound = random.Random(3), [], language._bound
+    monkeypatch.setattr(language, "_bound", lambda codes: held.append(len(codes)) or bound(codes))
+    texts = pa.array(["".join(chr(rng.randrange(0x4E00, 0x9FA5)) for _ in range(n)) for n in (20000, 5, 3000)] + ["the dog", None])
+    batch = pa.RecordBatch.from_arrays([texts, pa.array(["a", "b", "a", "b", "a"])], names=["text", "lang"])
+
+    def learn():
+        (out,) = language._bundles([batch])
+        return {n: np.array(v) for n, v in zip(*(c.to_pylist() for c in out.columns), strict=True)}
+
+    parts = learn()
+    found = language._predict(parts)(texts)
+    assert max(held) <= 8192 and sum(held) > 40000
+    monkeypatch.setattr(language, "GRAMS", 1 << 30)
+    whole = learn()
+    assert all((parts[n] == whole[n]).all() for n in whole) and language._predict(whole)(texts) == found
+    assert found[0][:4] == ["a", "b", "a", "b"] and found[0][4] == "und"
+
+
 def test_contained_items_are_those_of_brute_force(spark, monkeypatch):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 4)))
