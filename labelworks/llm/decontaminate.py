@@ -10,8 +10,9 @@ verified with the shingles themselves, word for word.
 Words are runs of ASCII letters, digits and all non-ASCII characters, A-Z lower-cased.
 
 At scale: documents are judged where they are read, without a shuffle. Items come in
-blocks of at most ``BLOCK``, whose signatures (of known size) go to the tasks; one scan of
-the documents for each block.
+blocks of at most ``BLOCK`` items and ``BLOCK_BYTES`` bytes of text (a longer item is a
+block of its own), whose signatures go to the tasks; one scan of the documents for each
+block. The driver holds one block's texts at a time.
 """
 
 from __future__ import annotations
@@ -22,13 +23,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from labelworks.llm.words import grams, slices, spans, word_hashes
 from labelworks.session import on_executors
 
 SHINGLE, THRESHOLD, BLOCK, FILTER_BITS = 5, 0.8, 20_000, 22
+BLOCK_BYTES = 1 << 23
 _ASCII = np.arange(256, dtype=np.uint8)
 _ASCII[65:91] += 32
 _GAP = np.ones(256, bool)
@@ -92,16 +94,25 @@ class Signatures:
 
 
 def _blocks(items: DataFrame, threshold: float) -> Iterator[Signatures]:
-    """Blocks of at most BLOCK items in the order of item_id and text."""
+    """Blocks of at most BLOCK items and BLOCK_BYTES, one item at least, in the order of
+    item_id and the texts' digests. Sizes are collected first, texts once a block is cut."""
     table = items.where(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text").distinct()
+    keyed = table.select("item_id", "text", F.coalesce("item_id", F.lit(-(1 << 63))).alias("key"), F.sha2("text", 256).alias("digest"))
+    sizes = keyed.select("key", "digest", F.octet_length("text").cast("long").alias("size"))
     last: tuple | None = None
+
+    def after(row: tuple) -> Column:
+        return (F.col("key") > row[0]) | ((F.col("key") == row[0]) & (F.col("digest") > row[1]))
+
     while True:
-        left = table if last is None else table.where((F.coalesce("item_id", F.lit(-(1 << 63))) > last[0]) | ((F.coalesce("item_id", F.lit(-(1 << 63))) == last[0]) & (F.col("text") > last[1])))
-        rows = left.orderBy(F.coalesce("item_id", F.lit(-(1 << 63))), "text").limit(BLOCK).collect()
+        rows = (sizes if last is None else sizes.where(after(last))).orderBy("key", "digest").limit(BLOCK).collect()
         if not rows:
             return
-        yield Signatures([tuple(r) for r in rows], threshold)
-        last = (rows[-1]["item_id"] if rows[-1]["item_id"] is not None else -(1 << 63), rows[-1]["text"])
+        n = max(1, int(np.searchsorted(np.cumsum([r["size"] for r in rows]), BLOCK_BYTES, "right")))
+        end = (rows[n - 1]["key"], rows[n - 1]["digest"])
+        block = keyed.where(~after(end)) if last is None else keyed.where(after(last) & ~after(end))
+        yield Signatures([tuple(r) for r in block.select("item_id", "text").collect()], threshold)
+        last = end
 
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

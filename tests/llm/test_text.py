@@ -117,6 +117,22 @@ def test_contained_items_are_those_of_brute_force(spark, monkeypatch):
     assert decontaminate.clean(d, b.limit(0)).count() == len(docs)
 
 
+def test_blocks_of_items_are_bounded_by_bytes(spark, monkeypatch):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(10 + i))) for i in range(20)] + [(3, "one two three four five six"), (None, "a b c d e f"), (None, "a b c d e g")]
+    items += [(30, " ".join(f"long{j}" for j in range(400)))]
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    d = spark.createDataFrame([(n, f"before {t} after") for n, (_, t) in enumerate(items)], "doc_id long, text string")
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 600)
+    with monkeypatch.context() as only:
+        only.setattr(decontaminate, "Signatures", lambda rows, threshold: rows)
+        blocks = list(decontaminate._blocks(b, 0.8))
+    assert len(blocks) > 5 and sorted(map(str, sum(blocks, []))) == sorted(map(str, items))
+    assert all(sum(len(t) for _, t in x) <= 600 or len(x) == 1 for x in blocks)
+    found = decontaminate.contained(d, b).collect()
+    assert {(r.doc_id, r.item_id) for r in found} >= {(n, i) for n, (i, _) in enumerate(items)}
+    assert decontaminate.clean(d, b).count() == 0
+
+
 def places(text, phrase):
     w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     p = phrase.split()
