@@ -1,6 +1,7 @@
 """The corpus pipeline: stages over ``documents``, each written and read again by the next.
 
-1. language ID: documents in no learned language (null text, no letter) go;
+1. language ID: documents whose text is null or has no letter go; any other is given to
+   the nearest learned language and stays, whatever language it is in;
 2. SimHash near-dedup: of each group of near copies the smallest doc_id stays;
 3. substring dedup: passages of 20 words and more that stand earlier are cut out;
 4. benchmark decontamination: documents that contain a test item go;
