@@ -1,4 +1,6 @@
-"""Repeated passages by relative Lempel-Ziv parsing over content-defined blocks.
+"""Repeated passages by content-defined blocks and hashed window look-up.
+
+They replace the greedy relative Lempel-Ziv parse: no factor is extended word by word.
 
 The corpus is its own reference. Every document is parsed into blocks whose limits
 depend on content alone: each window of ``window`` words belongs to its smallest
@@ -6,12 +8,12 @@ eight-word hash (its anchor), and consecutive windows with one anchor form a blo
 Copies of a passage therefore fall into the same blocks wherever they stand.
 
 * Index: every block of every document is looked up by its anchor. A block that
-  stands earlier, word for word, is a factor.
+  stands earlier, with the same 64-bit hash of its words, is a factor.
 * Boundaries: where an anchor is known but the words around it differ, a copied
   passage may begin or end inside the block; its windows are looked up one by one.
 * Factors that touch or overlap are joined greedily into the longest duplicate spans.
 
-The result is exact: a word is covered if and only if a window over it starts earlier
+The result is exact apart from hash collisions: a word is covered if and only if a window over it starts earlier
 (smaller doc_id, or same document and earlier word).
 
 At scale: each task sends at most one row for an anchor (copies and clashes inside
