@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, chat, decontaminate, html, language, licences, simhash, substrings, topk, urls
+from labelworks.llm import bpe, chat, decontaminate, html, language, leaks, licences, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -170,3 +170,53 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_language_id")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.language_digest(read(spark, sf_dir, "documents"))
+
+
+def crc32_sql(text: str) -> str:
+    """CRC-32 of an ASCII text, bit by bit."""
+    bits = "[{}, 0, 0, 0, 0, 0, 0, 0, 0]"
+    byte = f"list_reduce({bits.format('xor(c, b)')}, lambda t, k: CASE WHEN t & 1 = 1 THEN xor(t >> 1, 3988292384) ELSE t >> 1 END)"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split({text}, ''), lambda h: CAST(ord(h) AS BIGINT))), lambda c, b: {byte}), 4294967295)"
+
+
+_DIGITS_62 = "'0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz'"
+_BASE_62 = "concat(" + ", ".join(f"substr({_DIGITS_62}, CAST(crc // {62**i} % 62 AS INTEGER) + 1, 1)" for i in range(5, -1, -1)) + ")"
+
+
+def _either_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+#: kind, its pattern, and what a match of it must fulfil
+_SECRETS = [
+    ("assign", "(" + "|".join(map(_either_case, ("password", "passwd", "secret", "token"))) + "|" + _either_case("api") + "_?" + _either_case("key") + """)["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", "len(regexp_extract(m, pattern, 2)) >= 8"),
+    ("access", "AKIA[A-Z0-9]+", "len(m) >= 16"),
+    ("hex", "[0-9a-f]+", "len(m) >= 32"),
+    ("github", "gh[pousr]_[0-9A-Za-z]+", None),
+    ("npm", "npm_[0-9A-Za-z]+", None),
+]
+
+
+def _secret_sql(place: int, kind: str, pattern: str, good: str | None) -> str:
+    """Matches of one kind with their places: the texts between them give the offsets."""
+    parts = f"""SELECT doc_id, m, pattern, list_sum(list_transform(between[:i], lambda x: len(x))) + coalesce(list_sum(list_transform(matches[:i - 1], lambda x: len(x))), 0) AS start
+    FROM (SELECT doc_id, pattern, matches, between, unnest(matches) AS m, generate_subscripts(matches, 1) AS i FROM (
+      SELECT doc_id, pattern, regexp_extract_all(text, pattern) AS matches, string_split_regex(text, pattern) AS between FROM texts, (SELECT '{pattern}' AS pattern)))"""
+    if good is None:
+        parts = f"SELECT *, {crc32_sql('substr(right(m, 36), 1, 30)')} AS crc FROM ({parts}) WHERE len(m) = 36 + len('{'npm_' if kind == 'npm' else 'ghp_'}')"
+        good = f"right(m, 6) = {_BASE_62}"
+    return f"SELECT doc_id, {place} AS place, '{kind}' AS kind, CAST(start AS BIGINT) AS start, CAST(start + len(m) AS BIGINT) AS stop FROM ({parts}) WHERE {good}"
+
+
+@query(
+    "op11_secret_scan",
+    f"""WITH texts AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+found AS ({" UNION ALL ".join(_secret_sql(i, *s) for i, s in enumerate(_SECRETS))}),
+gathered AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS a, count(*) FILTER (kind = 'access') AS c, count(*) FILTER (kind = 'hex') AS h,
+  string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, place) FILTER (place < 3) AS base,
+  string_agg(concat(kind, ':', start, ':', stop), ',' ORDER BY start, place) AS spans FROM found GROUP BY doc_id)
+SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(h, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans FROM texts LEFT JOIN gathered USING (doc_id)""",
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks.secret_digest(read(spark, sf_dir, "documents"))
