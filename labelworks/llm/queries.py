@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, chat, decontaminate, html, language, leaks, licences, simhash, substrings, topk, urls
+from labelworks.llm import bpe, chat, decontaminate, html, language, leaks, licences, repair, simhash, substrings, topk, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -220,3 +220,59 @@ SELECT doc_id, coalesce(a, 0) AS n_assign, coalesce(c, 0) AS n_access, coalesce(
 )
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.secret_digest(read(spark, sf_dir, "documents"))
+
+
+_KEY_CRC = crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")
+_BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_NEVER = "{'c': 1000000000, 'a': ''}"
+
+
+def _step_sql(state: int) -> str:
+    """The cheapest edits from a row on that begin with one of the row itself."""
+    kept = {0: "CASE initial WHEN 's' THEN b[2] WHEN 'u' THEN b[3] END", 1: "CASE initial WHEN 'u' THEN b[3] END", 2: "CASE initial WHEN 'a' THEN b[4] END", 3: "CASE initial WHEN 'u' THEN b[3] END"}[state]
+    then = 4 if state == 2 else 3
+    keep = f"coalesce(CASE WHEN live THEN {kept} END, {_NEVER})"
+    return f"""list_min([{{'c': 4 + b[{state + 1}].c, 'a': 'D' || b[{state + 1}].a}}, {{'c': more + ({keep}).c, 'a': 'K' || ({keep}).a}},
+      CASE WHEN live THEN {{'c': 3 + more + b[{then}].c, 'a': 'R' || b[{then}].a}} ELSE {_NEVER} END])"""
+
+
+def _inserted_sql(state: int) -> str:
+    """As good, or better with one or two rows inserted before."""
+    one, two = (3, 2) if state == 2 else (2, 3)
+    return f"list_min([s[{state + 1}], {{'c': 3 + s[{one + 1}].c, 'a': 'I' || s[{one + 1}].a}}, {{'c': 6 + s[{two + 1}].c, 'a': 'II' || s[{two + 1}].a}}])"
+
+
+@query(
+    "op13_conversation_repair",
+    f"""WITH RECURSIVE coded AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_KEY_CRC} % 20 AS fault FROM conversations),
+damaged AS (SELECT conv_id, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+    CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text, unnest(range(CASE fault WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM coded WHERE fault <> 0),
+placed AS (SELECT *, rtrim(text, {_BLANKS}) AS body, substr(role, 1, 1) AS initial, row_number() OVER w AS i, count(*) OVER (PARTITION BY conv_id) AS n,
+    lag(substr(role, 1, 1)) OVER w || substr(role, 1, 1) AS pair
+  FROM damaged WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy)),
+judged AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 'duplicate' WHEN right(body, 1) NOT IN ('.', '!', '?') THEN 'truncated' ELSE '' END AS wrong FROM placed),
+coded_rows AS (SELECT *, wrong NOT IN ('blank', 'duplicate') AS live, CASE wrong WHEN 'truncated' THEN 3 ELSE 0 END AS more FROM judged),
+best AS (
+  SELECT DISTINCT conv_id, n + 1 AS i, [{{'c': 0, 'a': ''}}, {{'c': 6, 'a': 'II'}}, {{'c': 3, 'a': 'I'}}, {{'c': 0, 'a': ''}}] AS b FROM coded_rows
+  UNION ALL
+  SELECT conv_id, i, [{", ".join(map(_inserted_sql, range(4)))}] AS b
+  FROM (SELECT r.conv_id, r.i, [{", ".join(map(_step_sql, range(4)))}] AS s FROM best JOIN coded_rows r ON r.conv_id IS NOT DISTINCT FROM best.conv_id AND r.i = best.i - 1)),
+answers AS (SELECT conv_id, b[1].c AS cost, b[1].a AS audit FROM best WHERE i = 1),
+edits AS (SELECT conv_id, audit, unnest(string_split(audit, '')) AS edit, generate_subscripts(string_split(audit, ''), 1) AS k FROM answers WHERE audit <> ''),
+stays AS (SELECT *, count(*) FILTER (edit <> 'I') OVER w AS i, count(*) FILTER (edit <> 'D') OVER w AS place FROM edits WINDOW w AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)),
+kept AS (SELECT s.conv_id, k, edit, place, CASE WHEN edit = 'K' THEN r.role END AS role, CASE WHEN edit = 'I' THEN '' ELSE r.text END AS text,
+    coalesce(bool_or(edit = 'K' AND place = 1 AND r.initial = 's') OVER (PARTITION BY s.conv_id), FALSE) AS led
+  FROM stays s LEFT JOIN coded_rows r ON r.conv_id IS NOT DISTINCT FROM s.conv_id AND r.i = s.i WHERE edit <> 'D'),
+texts AS (SELECT conv_id, string_agg(concat(coalesce(role, CASE WHEN (place - CAST(led AS INTEGER)) % 2 = 1 THEN 'user' ELSE 'assistant' END), ':', text), chr(10) ORDER BY k) AS repaired FROM kept GROUP BY conv_id),
+counts AS (SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps, count(*) FILTER (wrong = 'blank') AS blank, count(*) FILTER (wrong = 'duplicate') AS duplicate,
+  count(*) FILTER (wrong = 'truncated') AS truncated, count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal FROM coded_rows GROUP BY conv_id),
+every AS (SELECT DISTINCT conv_id FROM conversations)
+SELECT every.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+  coalesce(illegal, 0) AS illegal, CAST(coalesce(cost, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit, sha256(coalesce(repaired, '')) AS repaired_sha256
+FROM every LEFT JOIN counts ON counts.conv_id IS NOT DISTINCT FROM every.conv_id LEFT JOIN answers ON answers.conv_id IS NOT DISTINCT FROM every.conv_id
+  LEFT JOIN texts ON texts.conv_id IS NOT DISTINCT FROM every.conv_id""",
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = read(spark, sf_dir, "conversations")
+    return repair.summary(repair.damage(table), table)
