@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from labelworks.llm import bpe, chat, decontaminate, html, language, leaks, licences, repair, simhash, substrings, topk, urls
+from labelworks.llm import bpe, chat, decontaminate, html, language, leaks, licences, repair, simhash, substrings, topk, urls, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -222,6 +222,11 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks.secret_digest(read(spark, sf_dir, "documents"))
 
 
+@query("op12_embedding_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.component_rows(read(spark, sf_dir, "embeddings"), 16)
+
+
 _KEY_CRC = crc32_sql("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")
 _BLANKS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _NEVER = "{'c': 1000000000, 'a': ''}"
