@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +31,17 @@ def keep(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_released: Counter[str] = Counter()
+
+
+def releases(spark: SparkSession) -> int:
+    """How often this session's kept tables were deleted: what rests on them is gone when it changes."""
+    return _released[spark.sparkContext.applicationId]
+
+
 def release(spark: SparkSession) -> None:
     """Delete every table this session has kept; its results must have been used by then."""
     context = spark.sparkContext
+    _released[context.applicationId] += 1
     path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/tables/{context.applicationId}")
     path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 import numpy as np
 import pandas as pd
 from pyspark import keyword_only
@@ -17,6 +19,7 @@ from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.operators.keep import keep
 from labelworks.operators.neighbours import neighbour_join, neighbour_vote
 from labelworks.plans.stages import FrameModel
 
@@ -101,18 +104,37 @@ class NeighbourModel(FrameModel, _NeighbourParams):
     def __init__(self) -> None:
         super().__init__()
 
+    def _near(self, dataset: DataFrame, k: int) -> DataFrame:
+        """The k nearest training rows of every row with a key."""
+        key = self.getOrDefault(self.keyCol)
+        asked = dataset.where(F.col(key).isNotNull()).select(F.col(key).alias("query_key"), vector_to_array(self.getFeaturesCol()).alias("point"))
+        return neighbour_join(asked, self.frames["train"], "query_key", "train_key", "point", k, self.getOrDefault(self.p))
+
+    def _votes(self, near: DataFrame, votes: str) -> DataFrame:
+        return neighbour_vote(near, self.frames["train"], "query_key", "train_key", "label", votes)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        key, train = self.getOrDefault(self.keyCol), self.frames["train"]
-        asked = dataset.select(F.col(key).alias("query_key"), vector_to_array(self.getFeaturesCol()).alias("point"))
-        near = neighbour_join(asked, train, "query_key", "train_key", "point", self.getOrDefault(self.k), self.getOrDefault(self.p))
-        votes = neighbour_vote(near, train, "query_key", "train_key", "label", self.getOrDefault(self.votes))
+        """Keys must be unique. Rows without a key stay, without a score."""
+        key = self.getOrDefault(self.keyCol)
+        votes = self._votes(self._near(dataset, self.getOrDefault(self.k)), self.getOrDefault(self.votes))
         share = F.col("score")
         said = votes.select(
             F.col("query_key").alias(key),
             array_to_vector(F.array(1 - share, share)).alias("probability"),
             F.col("pred").cast("double").alias("prediction"),
         )
-        return dataset.join(said, key)
+        return dataset.join(said, key, "left")
+
+    def vote_scores(self, dataset: DataFrame, ballots: Sequence[tuple[int, str]], columns: Sequence[str]) -> DataFrame:
+        """``columns..., at, score, pred``: one row for each row and each (k, votes) of
+        ``ballots``, from one search for the neighbours."""
+        key = self.getOrDefault(self.keyCol)
+        near = keep(self._near(dataset, max(k for k, _ in ballots)))
+        said = [self._votes(near.where(F.col("place") <= k), votes).withColumn("at", F.lit(i)) for i, (k, votes) in enumerate(ballots)]
+        every = said[0]
+        for other in said[1:]:
+            every = every.unionByName(other)
+        return dataset.select(F.col(key).alias("query_key"), *columns).join(every, "query_key").select(*columns, "at", "score", "pred")
 
 
 class _FourierParams(HasFeaturesCol):

@@ -16,6 +16,7 @@ from labelworks.functions.scalar import abs_mean, hash_order
 from labelworks.operators.split import SEED, bounded_sample, donor_rows
 from labelworks.plans.classifiers import FourierFeaturesModel
 from labelworks.plans.families import last_stage, score_column
+from labelworks.plans.trees import Trees
 from labelworks.sources.tables import path_exists
 
 KEY, LABEL = "row_id", "label"
@@ -46,6 +47,18 @@ def feature_importance(spark: SparkSession, name: str, model: Model, names: Sequ
     return spark.createDataFrame(rows, "model string, feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 
 
+def gain_shares(trees: Trees, n_features: int) -> np.ndarray:
+    """Importances from the node tables: gains weighted by rows, as shares of each tree (not
+    in a boosted model, whose later trees matter less), and their sum as shares."""
+    total = np.zeros(n_features)
+    for tree in trees.trees:
+        inner = tree.left >= 0
+        own = np.bincount(tree.feature[inner], tree.gain[inner] * tree.n_rows[inner], n_features)
+        if own.sum() > 0:
+            total += own if trees.boosted else own / own.sum()
+    return total / total.sum() if total.sum() > 0 else total
+
+
 def _drops(shuffled: DataFrame, base: DataFrame, name: str, scoring: str) -> DataFrame:
     """Mean and population deviation of the score lost in each repeat."""
     baseline = base.agg(metric(scoring, LABEL, "pred")).scalar()

@@ -18,8 +18,10 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.functions.scalar import to_json
 from labelworks.operators.keep import keep
-from labelworks.plans.classifiers import KernelSVC, NeighbourClassifier, RidgeClassifier
+from labelworks.plans.classifiers import KernelSVC, NeighbourClassifier, NeighbourModel, RidgeClassifier
+from labelworks.plans.trees import TREE_MODELS, nested_scores
 
 SEED = 42
 WEIGHT = "_class_weight"
@@ -39,6 +41,10 @@ class Family:
     space: dict[str, list[Any]] = field(default_factory=dict)
     search: str = "grid"
     draws: int | None = None
+    #: Settings of which a fit at the largest holds the smaller ones.
+    nested: tuple[str, ...] = ()
+    #: Another form of the settings, the same for all that give the same model.
+    same: Callable[[Params], Params] = dict
 
     def estimator(self, params: Params, n: int, weight: str = "") -> Estimator:
         return self.build({**self.defaults, **params}, n, weight)
@@ -57,6 +63,11 @@ def _leaf(p: Params) -> int:
     return max(p.get("min_samples_leaf", 1), p.get("min_samples_split", 2) // 2)
 
 
+def _by_leaf(p: Params) -> Params:
+    """Split and leaf sizes act through the leaf limit alone."""
+    return {**p, "min_samples_leaf": _leaf(p), "min_samples_split": 2}
+
+
 def _forest(bootstrap: bool) -> Callable[[Params, int, str], Estimator]:
     def build(p: Params, n: int, weight: str) -> Estimator:
         return _weighted(
@@ -88,6 +99,7 @@ def _boosted(p: Params, n: int, weight: str) -> Estimator:
         maxBins=p["max_bins"],
         subsamplingRate=p["subsample"],
         featureSubsetStrategy=str(p["colsample_bytree"]) if p["colsample_bytree"] < 1 else "all",
+        checkpointInterval=50,
         seed=SEED,
     )
 
@@ -120,8 +132,8 @@ FOREST = {"max_depth": None, "min_samples_split": 2, "min_samples_leaf": 1, "max
 BASELINE_SPACE = {"n_estimators": [100, 200, 300], "max_depth": [None, 10, 20], "min_samples_split": [2, 5, 10]}
 BASELINE_DRAWS = 20
 FAMILY_LIST = [
-    Family("random_forest", _forest(True), {"n_estimators": 100, **FOREST}, FOREST_SPACE, "random", 15),
-    Family("extra_trees", _forest(False), {"n_estimators": 200, **FOREST}, FOREST_SPACE, "random", 15),
+    Family("random_forest", _forest(True), {"n_estimators": 100, **FOREST}, FOREST_SPACE, "random", 15, ("n_estimators", "max_depth"), _by_leaf),
+    Family("extra_trees", _forest(False), {"n_estimators": 200, **FOREST}, FOREST_SPACE, "random", 15, ("n_estimators", "max_depth"), _by_leaf),
     Family(
         "boosted_trees",
         _boosted,
@@ -144,6 +156,7 @@ FAMILY_LIST = [
         },
         "random",
         15,
+        ("n_estimators",),
     ),
     Family(
         "logistic_regression",
@@ -162,6 +175,7 @@ FAMILY_LIST = [
         lambda p, n, weight: NeighbourClassifier(k=p["n_neighbors"], p=p["p"], votes=p["weights"]),
         {"n_neighbors": 5, "weights": "uniform", "p": 2},
         {"n_neighbors": [3, 5, 7, 9], "weights": ["uniform", "distance"], "p": [1, 2]},
+        nested=("n_neighbors", "weights"),
     ),
     Family(
         "svc",
@@ -186,11 +200,52 @@ FAMILY_LIST = [
             "ccp_alpha": [0.0, 0.01],
             "class_weight": [None, "balanced"],
         },
+        nested=("max_depth",),
+        same=_by_leaf,
     ),
 ]
 FAMILIES = {f.name: f for f in FAMILY_LIST}
 
 
+@dataclass(frozen=True)
+class Shared:
+    """Settings that one fit serves: what to fit, and the points with their whole settings."""
+
+    fit: Params
+    points: list[int]
+    settings: list[dict[str, Any]]
+
+
+def shared_fits(family: Family, points: list[Params]) -> list[Shared]:
+    """The points by the fit they share: equal but for nested settings, which take their
+    largest value (None: no limit). Without nested settings every point is its own fit."""
+    groups: dict[str, list[int]] = {}
+    whole = [{**family.defaults, **p} for p in points]
+    for i, p in enumerate(whole):
+        form = {n: v for n, v in family.same(p).items() if n not in family.nested}
+        groups.setdefault(to_json(form), []).append(i)
+    out = []
+    for at in groups.values():
+        fit = dict(family.same(whole[at[0]]))
+        for n in family.nested:
+            values = [whole[i][n] for i in at]
+            fit[n] = None if None in values else max(values)
+        out.append(Shared(fit, at, [whole[i] for i in at]))
+    return out
+
+
+def shared_scores(family: Family, model: Model, encoded: DataFrame, settings: list[dict[str, Any]], keep: list[str]) -> DataFrame:
+    """``keep..., at, score, pred`` of the models of all ``settings`` that ``model`` holds."""
+    if isinstance(model, TREE_MODELS):
+        sizes = [(p.get("n_estimators"), p["max_depth"] if "max_depth" in family.nested else None) for p in settings]
+        return nested_scores(model, encoded, sizes, keep)
+    if isinstance(model, NeighbourModel):
+        return model.vote_scores(encoded, [(p["n_neighbors"], p["weights"]) for p in settings], keep)
+    if len(settings) > 1:
+        raise ValueError(f"one fit of {family.name} cannot serve {len(settings)} settings")
+    return score_table(model, encoded, family.name, keep).withColumnRenamed("model", "at").withColumn("at", F.lit(0))
+
+
 def fit_family(family: Family, params: Params, train: DataFrame, n: int) -> Model:
     """Fit on an encoded table (``features``, ``label``, ``row_id``) of n rows."""
     weight = ""

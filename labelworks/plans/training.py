@@ -1,15 +1,16 @@
 """Cross-validation, search and benchmark over the model families.
 
 The preparation stages are fitted once for each fold and shared by all models of
-that fold. Independent fits are submitted from a small pool of driver threads;
-the work itself runs as Spark jobs.
+that fold; settings that one fit holds share that fit. Independent fits are submitted
+from a small pool of driver threads; the work itself runs as Spark jobs.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from multiprocessing.pool import ThreadPool
 from typing import Any
 
@@ -31,9 +32,11 @@ from labelworks.operators.split import (
     stratified_kfold,
     stratified_split,
 )
-from labelworks.plans.families import FAMILIES, Family, Params, fit_family, score_table
 from labelworks.operators.keep import keep
+from labelworks.plans.families import FAMILIES, Family, Params, Shared, fit_family, score_table, shared_fits, shared_scores
+from labelworks.plans.ridge import margins, ridge_path
 from labelworks.plans.stages import TabularEncoder
+from labelworks.sources.ledger import Ledger
 
 KEY, LABEL, FOLD = "row_id", "label", "fold"
 NO_FEATURES = [KEY, LABEL, FOLD, "part"]
@@ -56,6 +59,8 @@ class Prepared:
     train: DataFrame
     valid: DataFrame
     n: int
+    #: Digest of the rows and stages both tables come from, where it was asked for.
+    rows: str | None = None
 
 
 def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
@@ -69,13 +74,24 @@ def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] =
     return Prepared(encoder, fitted, encode(valid), fitted.count())
 
 
+def fold_digests(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[str]:
+    """A digest for each left-out fold: of all rows, which of them are left out, and the stages."""
+    values = [F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))]
+    line = F.conv(F.substring(F.md5(F.concat(*values)), 1, 15), 16, 10).cast("decimal(38,0)")
+    sums = {r[FOLD]: (r["n"], r["sum"]) for r in df.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n"), F.sum(line).alias("sum")).collect()}
+    stages = [(type(s).__name__, sorted((p.name, str(v)) for p, v in s.extractParamMap().items())) for s in feature_stages]
+    whole = repr((sorted((str(f), v) for f, v in sums.items()), stages))
+    return [hashlib.md5(f"{whole}|{f}".encode()).hexdigest() for f in range(k)]
+
+
 def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[Prepared]:
     """One :class:`Prepared` for each value of ``fold``."""
 
     def one(fold: int) -> Callable[[], Prepared]:
         return lambda: prepare(fold_train_rows(df, fold), fold_valid_rows(df, fold), feature_stages)
 
-    return run_all(df.sparkSession, [one(f) for f in range(k)])
+    made = run_all(df.sparkSession, [one(f) for f in range(k)])
+    return [replace(p, rows=d) for p, d in zip(made, fold_digests(df, k, feature_stages), strict=True)]
 
 
 def labelled(df: DataFrame, key: str, target: str) -> DataFrame:
@@ -176,35 +192,68 @@ def settings(spark: SparkSession, space: Mapping[str, Sequence[Any]], draws: int
     return [{n: json.loads(r[n]) for n in space} for r in rows]
 
 
+def both_parts(fold: Prepared) -> DataFrame:
+    """Training and test rows of a fold in one table, told apart by ``_part``."""
+    parts = [p.select(KEY, LABEL, "features", F.lit(n).alias("_part")) for n, p in (("test", fold.valid), ("train", fold.train))]
+    return parts[0].unionByName(parts[1])
+
+
+def _f1_by_part(scored: DataFrame) -> dict[int, tuple[float, float]]:
+    """Test and train F1 of each ``at``."""
+    rows = scored.groupBy("at", "_part").agg(f1_binary(LABEL, "pred").alias("f1")).collect()
+    f1 = {(r["at"], r["_part"]): r["f1"] for r in rows}
+    return {at: (f1[at, "test"], f1[at, "train"]) for at, _ in f1}
+
+
 def search(
     folds: Sequence[Prepared],
     split: Prepared,
     family: Family,
     space: Mapping[str, Sequence[Any]] | None = None,
     draws: int | None = None,
+    ledger: Ledger | None = None,
 ) -> Search:
     """Try settings on every fold, rank by mean F1 and refit the best on all training rows.
 
-    Each fit yields two numbers, train and test F1, so the score table is as
-    large as settings x folds.
+    Settings that one fit holds share it: the trees and depths inside a forest, the rounds
+    inside a boosted model, the neighbours of one join; ridge settings need no fit but one
+    scan of all folds. Each setting and fold yields two numbers, test and train F1, which a
+    ``ledger`` keeps as soon as they are there: a search that is started again, on the same
+    rows and stages, fits only what is missing.
     """
     spark = split.train.sparkSession
     space = family.space if space is None else space
     points = settings(spark, space, draws)
-
-    def one(i: int, j: int) -> Callable[[], tuple[int, int, float, float]]:
-        def run() -> tuple[int, int, float, float]:
-            fold = folds[j]
-            model = fit_family(family, points[i], fold.train, fold.n)
-            # Both parts in one job: the fits are many and their tables small.
-            parts = [p.select(KEY, LABEL, "features", F.lit(n).alias("_part")) for n, p in (("test", fold.valid), ("train", fold.train))]
-            scored = score_table(model, parts[0].unionByName(parts[1]), family.name, [LABEL, "_part"])
-            f1 = {r["_part"]: r["f1"] for r in scored.groupBy("_part").agg(f1_binary(LABEL, "pred").alias("f1")).collect()}
-            return i, j, f1["test"], f1["train"]
+    names = [to_json({**family.defaults, **p}) for p in points]
+    if ledger is not None and any(f.rows is None for f in folds):
+        raise ValueError("a ledger needs folds with a digest of their rows")
+    known = ledger.read(family.name) if ledger is not None else {}
+    scores = {(i, j): known[n, f.rows] for i, n in enumerate(names) for j, f in enumerate(folds) if (n, f.rows) in known}
+
+    def found(f1: Mapping[tuple[int, int], tuple[float, float]]) -> None:
+        scores.update(f1)
+        if ledger is not None:
+            ledger.add([(family.name, names[i], folds[j].rows, *both) for (i, j), both in f1.items()])
+
+    def one(shared: Shared, j: int) -> Callable[[], None]:
+        def run() -> None:
+            model = fit_family(family, shared.fit, folds[j].train, folds[j].n)
+            f1 = _f1_by_part(shared_scores(family, model, both_parts(folds[j]), shared.settings, [LABEL, "_part"]))
+            found({(shared.points[at], j): both for at, both in f1.items()})
 
         return run
 
-    rows = run_all(spark, [one(i, j) for i in range(len(points)) for j in range(len(folds))])
+    if family.name == "ridge_classifier":
+        left = sorted({j for i in range(len(points)) for j in range(len(folds)) if (i, j) not in scores})
+        whole = [{**family.defaults, **p} for p in points]
+        for j, fitted in zip(left, ridge_path([folds[j].train for j in left], whole) if left else [], strict=True):
+            found({(i, j): both for i, both in _f1_by_part(margins(both_parts(folds[j]), fitted, [LABEL, "_part"])).items()})
+    else:
+        missing = [(s, j) for s in shared_fits(family, points) for j in range(len(folds)) if any((i, j) not in scores for i in s.points)]
+        # the longest fits first, so that the last of them do not run alone
+        run_all(spark, [one(s, j) for s, j in sorted(missing, key=lambda m: -(m[0].fit.get("n_estimators") or 0))])
+
+    rows = [(i, j, *both) for (i, j), both in sorted(scores.items())]
     table = spark.createDataFrame(rows, "point int, fold int, test_f1 double, train_f1 double")
     ranked = search_results(table, ["point"])
     top = ranked.orderBy("rank_test_score", "point").first()
@@ -248,6 +297,7 @@ def select_and_tune(
     spaces: Mapping[str, Mapping[str, Sequence[Any]]] | None = None,
     draws: Mapping[str, int] | None = None,
     bench: Benchmark | None = None,
+    ledger: Ledger | None = None,
 ) -> Selection:
     """Benchmark, search the best family first and the others after, compare.
 
@@ -266,7 +316,7 @@ def select_and_tune(
     for name in order:
         family = candidates[name][0]
         space = (spaces or {}).get(name, family.space)
-        searches[name] = search(folds, bench.split, family, space, (draws or {}).get(name, family.draws))
+        searches[name] = search(folds, bench.split, family, space, (draws or {}).get(name, family.draws), ledger)
     # One row per family, measured once: the ranking window is as small as the family list.
     rows = union_rows(*[family_result(s, bench.split, s.family.search) for s in searches.values()])
     table = train.sparkSession.createDataFrame(rows.collect(), rows.schema)

@@ -1,6 +1,7 @@
 """Every query against its SQL at the smallest scale."""
 
 import os
+from math import prod
 
 import pytest
 from oracle import compare, connect
@@ -30,10 +31,21 @@ def test_every_query_has_sql():
     assert set(SQL) == set(registry.QUERIES) and set(SQL) <= set(entry.oracle_sql())
 
 
-def test_a_query_searches_every_family(monkeypatch, duck):
+def test_every_family_is_searched_over_its_whole_space(monkeypatch, duck):
     asked = []
-    monkeypatch.setattr(modelling, "_tuned", lambda spark, sf, names: asked.extend(names))
-    registry.QUERIES["select_and_tune_all"](None, SF)
-    rows = duck.execute(SQL["select_and_tune_all"]).fetchall()
-    assert sorted(asked) == sorted(FAMILIES) == sorted(r[0] for r in rows)
+
+    def told(folds, split, family, space=None, draws=None, ledger=None):
+        asked.append((family.name, space, draws))
+        raise InterruptedError
+
+    monkeypatch.setattr(modelling, "_folds", lambda spark, sf, k: (None, None))
+    monkeypatch.setattr(modelling, "ledger", lambda spark: None)
+    monkeypatch.setattr(modelling.M, "search", told)
+    for name, family in FAMILIES.items():
+        query = "family_search" if name == "logistic_regression" else f"family_search_{name}"
+        with pytest.raises(InterruptedError):
+            registry.QUERIES[query](None, SF)
+        assert asked.pop() == (name, None, family.draws)
+        assert duck.execute(SQL[query]).fetchall() == [(name, family.search, min(family.draws or 999, prod(map(len, family.space.values()))), True)]
+    rows = duck.execute(SQL["select_and_tune"]).fetchall()
     assert {(r[0], r[1]) for r in rows} == {(n, f.search) for n, f in FAMILIES.items()}

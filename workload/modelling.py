@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from functools import partial
+from math import prod
 from uuid import uuid4
 
 from pyspark.ml.feature import VectorAssembler
@@ -19,9 +20,11 @@ from labelworks.plans import prediction as R
 from labelworks.plans import stacking as K
 from labelworks.plans import stages as J
 from labelworks.plans import training as M
+from labelworks.plans import trees as T
 from labelworks.plans.classifiers import RidgeClassifier
 from labelworks.plans.families import BASELINE_DRAWS, BASELINE_SPACE, FAMILIES, score_table
-from labelworks.operators.keep import keep, shared_folder
+from labelworks.operators.keep import keep, releases, shared_folder
+from labelworks.sources.ledger import Ledger
 from labelworks.sources.models import discover_models as discover
 from labelworks.sources.models import load_model, save_model
 from labelworks.sources.scores import scan_oof as scan
@@ -102,15 +105,16 @@ def sound(scored: DataFrame, *keys: str) -> DataFrame:
 
 
 def benchmark(spark, sf) -> M.Benchmark:
-    """All nine families with their defaults over five folds, fitted once in a session."""
-    key = (spark.sparkContext.applicationId, sf)
+    """All nine families with their defaults over five folds, fitted once until the
+    session's kept tables, which it rests on, are released."""
+    key = (spark.sparkContext.applicationId, sf, releases(spark))
     if key not in _benchmarks:
         _benchmarks.clear()
         _benchmarks[key] = M.benchmark_models(*split_riders(spark, sf), M.defaults(FAMILIES), [title_stage()])
     return _benchmarks[key]
 
 
-_benchmarks: dict[tuple[str, str], M.Benchmark] = {}
+_benchmarks: dict[tuple[str, str, int], M.Benchmark] = {}
 
 
 # --- feature preparation ---
@@ -284,18 +288,33 @@ def ridge_classifier(spark, sf):
     return out.select("row_id", F.round("margin", 4).alias("margin"), F.col("prediction").cast("int").alias("pred"))
 
 
+def beats_chance(scored: DataFrame) -> bool:
+    """Whether the scores order rows with labels better than a constant or shuffled score could."""
+    row = L.roc_auc(scored).first()
+    return row is not None and row["roc_auc"] > 0.6
+
+
+def table_agrees(model, encoded: DataFrame) -> bool:
+    """Whether walking the node table gives the model's own scores, and the gains in it, each
+    weighted by its rows, the model's importances."""
+    trees = T.trees_of(encoded.sparkSession, model)
+    own = score_table(model, encoded, "own", ["row_id"]).select("row_id", F.col("score").alias("_own"))
+    apart = T.table_scores(trees, encoded, ["row_id"]).join(own, "row_id").agg(F.max(F.abs(F.col("score") - F.col("_own")))).first()[0]
+    return apart < 1e-9 and abs(N.gain_shares(trees, model.numFeatures) - model.featureImportances.toArray()).max() < 1e-9
+
+
 def _family_query(name: str, spark, sf) -> DataFrame:
-    """Holdout rows of one family with its defaults. Importances must be shares of one, and
-    an unpenalised intercept must make the mean probability of the fitting rows their rate."""
+    """Holdout rows of one family with its defaults. Its scores must order the fitting rows,
+    the node table of a tree model must give the same scores and importances, and an
+    unpenalised intercept makes the mean probability of the fitting rows their rate."""
     split = prepared(spark, sf)
     model = M.fit_all(split, M.defaults([name]))[name]
-    good = True
+    known = keep(M.predictions({name: model}, split.train))
+    good = beats_chance(known)
     if hasattr(model, "featureImportances"):
-        shares = model.featureImportances.toArray()
-        good = bool((shares >= 0).all() and abs(shares.sum() - 1) < 1e-9)
+        good &= table_agrees(model, split.valid)
     if name == "logistic_regression":
-        fitted = M.predictions({name: model}, split.train).agg(F.avg("score") - F.avg("label")).first()[0]
-        good = abs(fitted) < 1e-3
+        good &= abs(known.agg(F.avg("score") - F.avg("label")).first()[0]) < 1e-3
     return sound(M.predictions({name: model}, split.valid), "row_id", "label").withColumn("sound", F.col("sound") & F.lit(good))
 
 
@@ -386,37 +405,42 @@ def random_search(spark, sf):
 SEARCHED = ["best_cv_f1", "holdout_f1", "holdout_accuracy", "holdout_roc_auc"]
 
 
-@query("family_search", f"{RIDERS_WITH} SELECT 'logistic_regression' AS model, 'grid' AS search_type, count(*) > 0 AS sound FROM parts WHERE part = 'test'")
-def family_search(spark, sf):
-    folds, split = _folds(spark, sf, 3)
-    row = M.family_result(M.search(folds, split, FAMILIES["logistic_regression"]), split, "grid")
-    return row.select("model", "search_type", within(row, SEARCHED))
+def ledger(spark) -> Ledger:
+    """What this application's searches have measured; one that was stopped goes on from here."""
+    return Ledger(spark, f"{shared_folder(spark)}/ledger/{spark.sparkContext.applicationId}")
 
 
-#: ``select_and_tune_all`` below searches boosting too, and ranks all nine.
-TUNED = [n for n in FAMILIES if n != "boosted_trees"]
-TUNED_SQL = "(VALUES " + ", ".join(f"('{n}', '{FAMILIES[n].search}')" for n in TUNED) + ") tuned(model, search_type)"
+def _family_search(name: str, spark, sf) -> DataFrame:
+    """One family over its whole space, with its own number of draws and three folds."""
+    folds, split = _folds(spark, sf, 3)
+    family = FAMILIES[name]
+    done = M.search(folds, split, family, draws=family.draws, ledger=ledger(spark))
+    row = M.family_result(done, split, family.search)
+    good = beats_chance(score_table(done.model, split.train, name, ["row_id", "label"]))
+    return row.select("model", "search_type", F.lit(done.results.count()).cast("long").alias("n_settings"), (within(row, SEARCHED) & F.lit(good)).alias("sound"))
 
 
-def _tuned(spark, sf, names: list[str]) -> DataFrame:
-    train, test = split_riders(spark, sf)
-    table = M.select_and_tune(train, test, M.defaults(names), [title_stage()], bench=benchmark(spark, sf)).results
-    ranked = F.col("cv_rank").between(1, len(names))
-    return table.select("model", "search_type", (within(table, SEARCHED) & ranked).alias("sound"))
+def _n_settings(family) -> int:
+    return min(prod(map(len, family.space.values())), family.draws or 10**9)
 
 
-@query("select_and_tune", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {TUNED_SQL} GROUP BY ALL")
-def select_and_tune(spark, sf):
-    return _tuned(spark, sf, TUNED)
+for _name, _family in FAMILIES.items():
+    query(
+        "family_search" if _name == "logistic_regression" else f"family_search_{_name}",
+        f"{RIDERS_WITH} SELECT '{_name}' AS model, '{_family.search}' AS search_type, {_n_settings(_family)} AS n_settings, count(*) > 0 AS sound FROM parts WHERE part = 'test'",
+    )(partial(_family_search, _name))
 
 
 SEARCHES_SQL = "(VALUES " + ", ".join(f"('{n}', '{f.search}')" for n, f in FAMILIES.items()) + ") searches(model, search_type)"
 
 
-@query("select_and_tune_all", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {SEARCHES_SQL} GROUP BY ALL")
-def select_and_tune_all(spark, sf):
+@query("select_and_tune", f"{RIDERS_WITH} SELECT model, search_type, count(*) > 0 AS sound FROM parts, {SEARCHES_SQL} GROUP BY ALL")
+def select_and_tune(spark, sf):
     """Every family searched over its whole space with its own number of draws."""
-    return _tuned(spark, sf, list(FAMILIES))
+    train, test = split_riders(spark, sf)
+    table = M.select_and_tune(train, test, M.defaults(FAMILIES), [title_stage()], bench=benchmark(spark, sf), ledger=ledger(spark)).results
+    ranked = F.col("cv_rank").between(1, len(FAMILIES))
+    return table.select("model", "search_type", (within(table, SEARCHED) & ranked).alias("sound"))
 
 
 _EVENT_PARTS = f"WITH {WIDE_SQL}, {PARTS_SQL}"
@@ -556,7 +580,10 @@ def feature_importance(spark, sf):
     model = M.fit_family(FAMILIES["random_forest"], {}, split.train, split.n)
     found = N.feature_importance(spark, "random_forest", model, J.feature_names(split.train))
     total = found.agg(F.round(F.sum("importance"), 9)).scalar()
-    return found.select("model", "feature", (F.col("importance") >= 0).alias("sound")).withColumn("total", total)
+    shares = N.gain_shares(T.trees_of(spark, model), model.numFeatures).tolist()
+    again = spark.createDataFrame(list(zip(J.feature_names(split.train), shares)), "feature string, again double")
+    told = F.abs(F.col("importance") - F.col("again")) < 1e-9
+    return found.join(again, "feature").select("model", "feature", told.alias("sound")).withColumn("total", total)
 
 
 @query(
@@ -607,9 +634,12 @@ def tree_nodes(spark, sf):
 
 @query("predict_batch", "SELECT doc_id AS row_id, TRUE AS sound FROM documents JOIN labels USING (doc_id)")
 def predict_batch(spark, sf):
-    path, _ = saved_tree(spark, sf)
-    out = R.predict_batch(load_model(spark, path), riders(spark, sf).drop("label"), "row_id", "quality")
-    return out.select("row_id", F.col("quality").isin(0, 1).alias("sound"))
+    path, split = saved_tree(spark, sf)
+    rows = riders(spark, sf)
+    out = R.predict_batch(load_model(spark, path), rows.drop("label"), "row_id", "quality")
+    encoded = split.encoder.transform(rows)
+    told = T.table_scores(T.trees_of(spark, load_model(spark, path).stages[-1]), encoded, ["row_id"])
+    return out.join(told, "row_id").select("row_id", (F.col("quality") == (F.round("score", 12) > 0.5).cast("int")).alias("sound"))
 
 
 @query("predict_ensemble", "SELECT doc_id AS row_id, TRUE AS sound FROM documents JOIN labels USING (doc_id)")

@@ -10,7 +10,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 SQL: dict[str, str] = {}
 #: Nine families over five folds, or a hundred fits and more: minutes each, so they come last.
-SLOW = {"benchmark_models", "boosted_trees", "cross_validate", "make_oof", "predict_ensemble", "random_search", "score_column", "select_and_tune", "select_and_tune_all"}
+SLOW = {"benchmark_models", "boosted_trees", "cross_validate", "make_oof", "predict_ensemble", "random_search", "score_column", "select_and_tune", "family_search_random_forest", "family_search_extra_trees", "family_search_boosted_trees"}
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
