@@ -10,6 +10,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.session import on_executors
+
 # Rows whose products are summed at a time.
 ROWS = 4096
 
@@ -23,7 +25,7 @@ def cross_products(df: DataFrame, by: Sequence[str], features: str = "features")
     bounds the groups.
     """
     by = list(by)
-    table = df.select(*by, vector_to_array(features).alias("_v"))
+    table = on_executors(df.select(*by, vector_to_array(features).alias("_v")))
     width = len(by)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

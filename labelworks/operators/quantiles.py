@@ -69,6 +69,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float
     wanted = wanted.select(*keys, (F.floor(at) - F.col("_below")).alias("_lo"), (F.ceil(at) - F.col("_below")).alias("_hi"), (at - F.floor(at)).alias("_share"))
     near = [F.when((c >= b["at"][j]["low"]) & (c <= b["at"][j]["high"]), F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), c.alias("value"))) for i, j, c, b in cells]
     inside = rows.select(*by, F.explode(F.array_compact(F.array(*near))).alias("_v")).groupBy(*by, "_v._i", "_v._j", "_v.value").agg(F.count(F.lit(1)).alias("_n"))
+    inside = keep(inside)  # read several times below
     # The bracket again, in ranges: one row for each, then the values of one or two of them.
     bounds = inside.groupBy(*keys).agg(F.percentile_approx("value", [k / RANGES for k in range(1, RANGES)], 8 * RANGES).alias("_bounds"))
     ranged = inside.join(bounds, keys).withColumn("_r", F.size(F.filter("_bounds", lambda x: x <= F.col("value")))).drop("_bounds")

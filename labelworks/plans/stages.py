@@ -34,6 +34,9 @@ from labelworks.operators.select import lookup_join, select_by_type
 from labelworks.operators.keep import keep
 
 
+NO_VALUE = "missing"
+
+
 class _FrameWriter(MLWriter):
     def __init__(self, instance: "FrameModel") -> None:
         super().__init__()
@@ -116,9 +119,28 @@ class TitleFeatures(Estimator, _TitleParams, DefaultParamsReadable, DefaultParam
         titled = dataset.select(self._title().alias("_title"), F.col(value).cast("double").alias("_value"))
         medians = keep(exact_quantiles(titled, ["_value"], [0.5], ["_title"]).select("_title", F.col("value").alias("_median")))
         overall = exact_quantiles(titled, ["_value"], [0.5]).select("value").first()
+        return self._model(medians, overall[0] if overall is not None else None)
+
+    def _model(self, medians: DataFrame, overall: float | None) -> "TitleFeaturesModel":
         model = self._copyValues(TitleFeaturesModel())
         model.frames = {"medians": medians}
-        return model._set(globalMedian=overall[0]) if overall is not None else model
+        return model._set(globalMedian=overall) if overall is not None else model
+
+    def fit_groups(self, dataset: DataFrame, group: str, groups: list[int]) -> tuple[list["TitleFeaturesModel"], DataFrame]:
+        """One model for each value of the column ``group``, fitted on its rows, and the table
+        as each row's own model makes it, with ``group``: one pass of statistics, one join."""
+        value = self.getOrDefault(self.valueCol)
+        titled = dataset.select(group, self._title().alias("_title"), F.col(value).cast("double").alias("_value"))
+        medians = keep(exact_quantiles(titled, ["_value"], [0.5], [group, "_title"]).select(group, "_title", F.col("value").alias("_median")))
+        overall = {r[group]: r["value"] for r in exact_quantiles(titled, ["_value"], [0.5], [group]).collect()}
+        models = [self._model(medians.where(F.col(group) == g).select("_title", "_median"), overall.get(g)) for g in groups]
+        known = F.create_map(*[F.lit(x) for g in groups for x in (g, overall.get(g))]).cast("map<int,double>")
+        # the title's median of the row's own group stands in for the lookup of one model
+        lookup = medians.withColumnRenamed("_title", "_t")
+        joined = dataset.withColumn("_t", self._title()).join(lookup, [group, "_t"], "left").drop("_t")
+        filled = joined.withColumn(value, coalesce_fill(F.col(value).cast("double"), F.col("_median"), known[F.col(group)])).drop("_median")
+        plain = self._model(medians.where(F.lit(False)).select("_title", "_median"), None)  # fills nothing
+        return models, plain.transform(filled.select(*dataset.columns))
 
 
 class TitleFeaturesModel(FrameModel, _TitleParams):
@@ -171,7 +193,8 @@ class MedianImputer(Estimator, _Fills, DefaultParamsReadable, DefaultParamsWrita
 
 
 class ModeImputer(Estimator, _Fills, DefaultParamsReadable, DefaultParamsWritable):
-    """Most frequent value of each string column, ties to the smallest."""
+    """Most frequent value of each string column, ties to the smallest; a column without
+    values becomes ``missing``, since a category needs a name."""
 
     @keyword_only
     def __init__(self, *, inputCols=None):
@@ -181,7 +204,7 @@ class ModeImputer(Estimator, _Fills, DefaultParamsReadable, DefaultParamsWritabl
     def _fit(self, dataset: DataFrame) -> FillModel:
         columns = self.getInputCols()
         modes = {r["column"]: r["mode"] for r in mode_value(dataset, columns).collect()}
-        return self._copyValues(FillModel())._set(fills={c: modes.get(c, "") for c in columns})
+        return self._copyValues(FillModel())._set(fills={c: modes.get(c, NO_VALUE) for c in columns})
 
 
 class _Scales(HasInputCols):

@@ -34,6 +34,7 @@ from labelworks.operators.split import (
 )
 from labelworks.operators.keep import keep
 from labelworks.plans.families import FAMILIES, Family, Params, Shared, fit_family, score_table, shared_fits, shared_scores
+from labelworks.plans.folds import fit_without_each_fold
 from labelworks.plans.ridge import margins, ridge_path
 from labelworks.plans.stages import TabularEncoder
 from labelworks.sources.ledger import Ledger
@@ -66,6 +67,11 @@ class Prepared:
 def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
     """Fit the preparation on ``train`` only and encode both tables."""
     encoder = Pipeline(stages=[*[s.copy() for s in feature_stages], TabularEncoder(excludeCols=NO_FEATURES)]).fit(train)
+    return encoded_parts(encoder, train, valid)
+
+
+def encoded_parts(encoder: PipelineModel, train: DataFrame, valid: DataFrame) -> Prepared:
+    """Both tables as a fitted preparation encodes them."""
 
     def encode(df: DataFrame) -> DataFrame:
         return keep(encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features"))
@@ -85,10 +91,13 @@ def fold_digests(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> l
 
 
 def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[Prepared]:
-    """One :class:`Prepared` for each value of ``fold``."""
+    """One :class:`Prepared` for each value of ``fold``, fitted without its rows; one pass of
+    statistics serves all folds where the stages allow it."""
+    encoders = fit_without_each_fold(df, k, feature_stages, TabularEncoder(excludeCols=NO_FEATURES))
 
     def one(fold: int) -> Callable[[], Prepared]:
-        return lambda: prepare(fold_train_rows(df, fold), fold_valid_rows(df, fold), feature_stages)
+        train, valid = fold_train_rows(df, fold), fold_valid_rows(df, fold)
+        return lambda: prepare(train, valid, feature_stages) if encoders is None else encoded_parts(encoders[fold], train, valid)
 
     made = run_all(df.sparkSession, [one(f) for f in range(k)])
     return [replace(p, rows=d) for p, d in zip(made, fold_digests(df, k, feature_stages), strict=True)]

@@ -5,12 +5,14 @@ from __future__ import annotations
 import io
 import zipfile
 from pathlib import Path
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 
 from labelworks.operators.keep import shared_folder
 
 _shipped: set[str] = set()
+_shipping = Lock()
 
 
 def local_session(app: str, cores: int | str = 8) -> SparkSession:
@@ -37,16 +39,18 @@ def on_executors(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     context, package = spark.sparkContext, Path(__file__).resolve().parent
-    if context.applicationId in _shipped or not package.is_dir():
-        return df
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w") as out:
-        for file in sorted(package.rglob("*.py")):
-            out.write(file, file.relative_to(package.parent))
-    target = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/code/{context.applicationId}/{package.name}.zip")
-    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
-    stream.write(bytearray(data.getvalue()))
-    stream.close()
-    context.addPyFile(target.toString())
-    _shipped.add(context.applicationId)
+    # Several driver threads may come here at once; a file written twice would not match its first copy.
+    with _shipping:
+        if context.applicationId in _shipped or not package.is_dir():
+            return df
+        data = io.BytesIO()
+        with zipfile.ZipFile(data, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, file.relative_to(package.parent))
+        target = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/code/{context.applicationId}/{package.name}.zip")
+        stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+        stream.write(bytearray(data.getvalue()))
+        stream.close()
+        context.addPyFile(target.toString())
+        _shipped.add(context.applicationId)
     return df

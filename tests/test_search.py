@@ -119,9 +119,12 @@ def test_shared_fits_cover_every_point(spark):
 
 
 def fold_tables(spark, points, k=3):
-    table = points.withColumn("fold", (F.col("row_id") % k).cast("int")).select("row_id", "label", "fold", "x0", "x1", "x2")
-    folds = M.prepare_folds(table, k)
-    return folds, M.prepare(table.where("row_id < 180"), table.where("row_id >= 180"))
+    """Folds of points that need no preparation."""
+    table = points.withColumn("fold", (F.col("row_id") % k).cast("int")).select("row_id", "label", "fold", "features").persist()
+    digests = M.fold_digests(table, k)
+    parts = [(table.where(F.col("fold") != f), table.where(F.col("fold") == f)) for f in range(k)]
+    folds = [M.Prepared(None, train, valid, train.count(), d) for (train, valid), d in zip(parts, digests)]
+    return folds, M.Prepared(None, table.where("row_id < 180"), table.where("row_id >= 180"), 180)
 
 
 def test_a_stopped_search_goes_on(spark, points, monkeypatch, tmp_path):
