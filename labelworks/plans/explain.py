@@ -16,7 +16,8 @@ from labelworks.functions.scalar import abs_mean, hash_order
 from labelworks.operators.split import SEED, bounded_sample, donor_rows
 from labelworks.plans.classifiers import FourierFeaturesModel
 from labelworks.plans.families import last_stage, score_column
-from labelworks.plans.trees import Trees
+from labelworks.plans.shapley import tree_shapley
+from labelworks.plans.trees import TREE_MODELS, Trees, trees_of
 from labelworks.sources.tables import path_exists
 
 KEY, LABEL = "row_id", "label"
@@ -210,11 +211,13 @@ def shapley_summary(
     rows: int = 200,
     draws: int = 20,
     seed: int = SEED,
+    exact: bool = True,
 ) -> DataFrame:
     """``model, feature, mean_abs_shap`` over at most ``rows`` background and evaluated rows.
 
-    Linear models are explained exactly on their margin, others by sampling the
-    score of class 1.
+    Linear models are explained exactly on their margin and tree models on their score
+    (boosted ones on their margin), others, or tree models without ``exact``, by sampling
+    the score of class 1.
     """
     background, evaluated = (bounded_sample(t.select(KEY, "features"), KEY, rows, seed) for t in (train, test))
     coefficients = _coefficients(model)
@@ -222,6 +225,8 @@ def shapley_summary(
         slots = [F.col("_v")[i].alias(n) for i, n in enumerate(names)]
         wide = [t.select(KEY, vector_to_array("features").alias("_v")).select(KEY, *slots) for t in (background, evaluated)]
         values = linear_shapley(wide[1], wide[0], dict(zip(names, coefficients)))
+    elif exact and isinstance(last_stage(model), TREE_MODELS):
+        values = tree_shapley(trees_of(train.sparkSession, last_stage(model)), evaluated, background, names, KEY)
     else:
 
         def score(df: DataFrame) -> DataFrame:

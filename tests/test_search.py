@@ -128,8 +128,8 @@ def fold_tables(spark, points, k=3):
 
 
 def test_a_stopped_search_goes_on(spark, points, monkeypatch, tmp_path):
-    folds, split = fold_tables(spark, points)
-    family, space = FAMILIES["logistic_regression"], {"C": [0.01, 0.1, 1.0], "class_weight": [None, "balanced"]}
+    folds, split = fold_tables(spark, points, 2)
+    family, space = FAMILIES["logistic_regression"], {"C": [0.01, 1.0], "class_weight": [None, "balanced"]}
     whole = M.search(folds, split, family, space)
     fit, done = M.fit_family, []
 
@@ -142,20 +142,20 @@ def test_a_stopped_search_goes_on(spark, points, monkeypatch, tmp_path):
     monkeypatch.setattr(M, "fit_family", counted)
     monkeypatch.setattr(M, "PARALLEL_FITS", 1)
     monkeypatch.setattr(M, "run_all", lambda spark, tasks, width=1: [t() for t in tasks])
-    limit, ledger = [7], Ledger(spark, str(tmp_path / "ledger"))
+    limit, ledger = [3], Ledger(spark, str(tmp_path / "ledger"))
     with pytest.raises(InterruptedError):
         M.search(folds, split, family, space, ledger=ledger)
-    assert ledger.table().count() == 7 == len(done)
+    assert ledger.table().count() == 3 == len(done)
     limit[0] = 10**6
     again = M.search(folds, split, family, space, ledger=ledger)
     fits = done[:-1]  # the last is the refit of the best
-    assert len(fits) == len(set(fits)) == 6 * 3 and ledger.table().count() == 18
+    assert len(fits) == len(set(fits)) == 4 * 2 and ledger.table().count() == 8
     assert (again.best, again.best_cv_f1) == (whole.best, whole.best_cv_f1)
     key = lambda s: sorted(map(tuple, s.results.select("point", "mean_test_score", "mean_train_score", "rank_test_score").collect()))
     assert key(again) == key(whole)
     # the same rows prepared again are known, other rows are not
-    assert [f.rows for f in fold_tables(spark, points)[0]] == [f.rows for f in folds]
-    assert not {f.rows for f in fold_tables(spark, points.where("row_id <> 17"))[0]} & {f.rows for f in folds}
+    assert [f.rows for f in fold_tables(spark, points, 2)[0]] == [f.rows for f in folds]
+    assert not {f.rows for f in fold_tables(spark, points.where("row_id <> 17"), 2)[0]} & {f.rows for f in folds}
 
 
 def test_a_ledger_needs_digests(spark, points):
@@ -167,8 +167,8 @@ def test_a_ledger_needs_digests(spark, points):
 
 def test_search_by_shared_fits_equals_single_ones(spark, points):
     """Rounds inside a boosted model and ridge paths rank as their own fits do."""
-    folds, split = fold_tables(spark, points)
-    for name, space in (("boosted_trees", {"n_estimators": [2, 5], "max_depth": [2]}), ("ridge_classifier", None), ("decision_tree", {"max_depth": [None, 2, 4], "class_weight": [None, "balanced"]})):
+    folds, split = fold_tables(spark, points, 2)
+    for name, space in (("boosted_trees", {"n_estimators": [2, 4], "max_depth": [2]}), ("ridge_classifier", None), ("decision_tree", {"max_depth": [None, 2, 4], "class_weight": [None, "balanced"]})):
         family = FAMILIES[name]
         found = M.search(folds, split, family, space)
         names = M.settings(spark, space or family.space, None)

@@ -17,6 +17,7 @@ from labelworks.operators import neighbours as D
 from labelworks.operators import split as P
 from labelworks.plans import explain as N
 from labelworks.plans import prediction as R
+from labelworks.plans import shapley as V
 from labelworks.plans import stacking as K
 from labelworks.plans import stages as J
 from labelworks.plans import training as M
@@ -610,10 +611,23 @@ def shapley_summary(spark, sf):
 @query("sampled_shapley", f"{RIDERS_WITH}, {SLOTS_SQL} SELECT 'decision_tree' AS model, feature, TRUE AS sound FROM slots")
 def sampled_shapley(spark, sf):
     split, model, names, used = _explained_tree(spark, sf)
-    found = N.shapley_summary("decision_tree", model, split.train, split.valid, names)
+    found = N.shapley_summary("decision_tree", model, split.train, split.valid, names, exact=False)
     return unused_costs_nothing(found, used, "mean_abs_shap")
 
 
+@query("tree_shapley", f"{RIDERS_WITH}, s AS (SELECT row_id FROM parts WHERE part = 'test' ORDER BY md5(concat('42|', row_id)), row_id LIMIT 200) SELECT row_id, TRUE AS sound FROM s")
+def tree_shapley(spark, sf):
+    """Exact values of a forest: they sum to the score minus the mean score of the background."""
+    split = prepared(spark, sf)
+    model = M.fit_family(FAMILIES["random_forest"], {"n_estimators": 20}, split.train, split.n)
+    background, rows = (keep(P.bounded_sample(t.select("row_id", "label", "features"), "row_id", 200)) for t in (split.train, split.valid))
+    values = V.tree_shapley(T.trees_of(spark, model), rows, background, J.feature_names(split.train), "row_id")
+    mean = M.predictions({"f": model}, background).agg(F.avg("score")).scalar()
+    told = values.groupBy("row_id").agg(F.sum("value").alias("_sum"), F.max(F.abs("value")).alias("_most"))
+    apart = F.abs(F.col("_sum") - (F.col("score") - F.col("_mean"))) < 1e-9
+    return M.predictions({"f": model}, rows).withColumn("_mean", mean).join(told, "row_id").select("row_id", (apart & (F.col("_most") > 0)).alias("sound"))
+
+
 def saved_tree(spark, sf) -> tuple[str, M.Prepared]:
     """A tree pipeline saved in the shared folder."""
     split, model, _, _ = _explained_tree(spark, sf)
