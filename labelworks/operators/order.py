@@ -9,7 +9,6 @@ number of distinct values asks for.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -26,38 +25,21 @@ BUCKET = "_bucket"
 HASH = "_hash"
 
 
-def range_width(rows: int) -> int:
-    """Side of the square number of ranges that a table of so many distinct values is cut into."""
-    return max(4, math.isqrt(max(0, rows - 1) // ROWS) + 1)
+def range_count(rows: int) -> int:
+    """Ranges that a table of so many distinct values is cut into."""
+    return max(16, -(-rows // ROWS))
 
 
-def _range_bounds(value: str, width: int) -> Column:
-    """Approximate quantile boundaries: exactness of results never depends on them."""
-    n = width * width
-    return F.percentile_approx(value, [i / n for i in range(1, n)], 8 * n)
+def with_range_bucket(df: DataFrame, value: str, by: Sequence[str] = (), ranges: int = 16) -> DataFrame:
+    """Add ``_bucket``, a value range that rises in the order of ``by`` and ``value``.
 
-
-def _range_of(bounds: Column, value: Column, width: int) -> Column:
-    """Number of boundaries at or below the value, looking at 2 * width of them."""
-    every = F.sequence(F.lit(width), F.lit(width * (width - 1)), F.lit(width))
-    coarse = F.size(F.filter(every, lambda i: F.element_at(bounds, i) <= value))
-    fine = F.slice(bounds, coarse * width + 1, F.lit(width - 1))
-    return coarse * width + F.size(F.filter(fine, lambda b: b <= value))
-
-
-def with_range_bucket(df: DataFrame, value: str, by: Sequence[str] = (), width: int = 16) -> DataFrame:
-    """Add ``_bucket``: the balanced value range of each row, counted per ``by`` group.
-
-    Equal values always share a range; there are ``width`` times ``width`` of them. The
-    boundaries are one array for each group, made by mergeable sketches, and broadcast
-    when they are measured to be small.
+    One range partitioning of the whole table by group and value: a large group has many
+    ranges, many small ones share one, and equal values always do. The bucket is the number
+    of the partition, written with the row, so nothing about the boundaries travels with
+    the rows and a task that runs again finds the buckets as they were.
     """
-    if by:
-        bounds = keep(df.groupBy(*by).agg(_range_bounds(value, width).alias("_bounds")))
-        joined = df.join(bounds, list(by))
-    else:
-        joined = df.withColumn("_bounds", df.agg(_range_bounds(value, width)).scalar())
-    return joined.withColumn(BUCKET, _range_of(F.col("_bounds"), F.col(value), width)).drop("_bounds")
+    parted = df.repartitionByRange(ranges, *by, value)
+    return keep(parted.withColumn(BUCKET, F.spark_partition_id()))
 
 
 def join_values(df: DataFrame, found: DataFrame, keys: Sequence[str], n: str, columns: Sequence[str], hot: int = HOT) -> DataFrame:
@@ -101,7 +83,7 @@ def ordered_runs(
         present = present.where(F.col(key).isNotNull())
     # Read three times below (boundaries, range totals, running totals): aggregate once.
     distinct = keep(present.groupBy(*by, value).agg(*[m.alias(n) for n, m in measures.items()]))
-    ranged = with_range_bucket(distinct, value, by, range_width(distinct.count()))
+    ranged = with_range_bucket(distinct, value, by, range_count(distinct.count()))
 
     def order(c: str) -> Column:
         return F.col(c).desc() if descending else F.col(c).asc()

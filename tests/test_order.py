@@ -155,3 +155,13 @@ def test_quantiles_of_small_and_constant_groups(spark):
     assert len(got) == 16
     for r in got:
         assert r["value"] == pytest.approx(pdf[pdf.g == r["g"]]["v"].quantile(r["prob"]), abs=1e-9)
+
+
+def test_ranges_rise_with_group_and_value(spark):
+    pdf = skewed()
+    rows = W.with_range_bucket(to_spark(spark, pdf).where("v IS NOT NULL"), "v", ["g"], 37)
+    assert all(not kind.startswith("array") for _, kind in rows.dtypes)
+    got = rows.toPandas().sort_values(["g", "v"])
+    assert got[W.BUCKET].is_monotonic_increasing and got[W.BUCKET].nunique() > 20
+    assert (got.groupby(["g", "v"])[W.BUCKET].nunique() == 1).all()
+    assert W.range_count(10**12) == -(-(10**12) // W.ROWS) and W.range_count(0) == 16
