@@ -11,6 +11,7 @@ only the k best rows of each query.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
@@ -24,6 +25,8 @@ from labelworks.session import on_executors
 
 PIVOTS = 64
 BLOCK_ROWS = 4096
+# Numbers that a worker holds at a time when it bounds distances.
+BOUND_CELLS = 2_000_000
 # Places that distances are shown with (and the slack of the bounds), and those they
 # rank by: sums of the same gaps in another order differ beyond them.
 PLACES = 6
@@ -72,6 +75,58 @@ def _cell_facts(placed: DataFrame, k: int) -> pd.DataFrame:
     return sizes.join(lists, "_cell").toPandas()
 
 
+def neighbour_schema(queries: DataFrame, train: DataFrame, query_key: str, train_key: str) -> T.StructType:
+    return T.StructType(
+        [
+            T.StructField(query_key, queries.schema[query_key].dataType),
+            T.StructField(train_key, train.schema[train_key].dataType),
+            T.StructField("distance", T.DoubleType()),
+            T.StructField("place", T.IntegerType()),
+        ]
+    )
+
+
+def closest_rows(k: int, p: int) -> Callable[[pd.DataFrame, pd.DataFrame], pd.DataFrame]:
+    """For a block of queries and one of training rows, the k closest of each query."""
+
+    def closest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
+        if q.empty or t.empty:
+            return pd.DataFrame({"_qk": [], "_tk": [], "distance": []})
+        t = t.sort_values("_tk", kind="stable")
+        tk, tm = t["_tk"].to_numpy(), _matrix(t["point"])
+        qk, qm = q["_qk"].to_numpy(), _matrix(q["point"])
+        found: list[pd.DataFrame] = []
+        for i in range(0, len(q), 256):
+            d = np.round(_distances(qm[i : i + 256], tm, p), RANKED)
+            # Training keys are sorted, so a stable sort breaks ties by key.
+            best = np.argsort(d, axis=1, kind="stable")[:, :k]
+            found.append(
+                pd.DataFrame(
+                    {
+                        "_qk": np.repeat(qk[i : i + 256], best.shape[1]),
+                        "_tk": tk[best.ravel()],
+                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
+                    }
+                )
+            )
+        return pd.concat(found)
+
+    return closest
+
+
+def _kth_bound(to_pivot: np.ndarray, reach: np.ndarray) -> np.ndarray:
+    """For each query a distance within which k training rows surely lie: the k-th smallest
+    of its distance to a pivot plus those of the pivot's k closest rows. Queries are taken a
+    few at a time, so that memory does not follow cells x k x batch."""
+    k = reach.shape[1]
+    out = np.empty(len(to_pivot))
+    step = max(1, BOUND_CELLS // max(1, reach.size))
+    for i in range(0, len(to_pivot), step):
+        upper = (to_pivot[i : i + step, :, None] + reach[None, :, :]).reshape(-1, reach.size)
+        out[i : i + step] = np.partition(upper, k - 1, axis=1)[:, k - 1]
+    return out
+
+
 def neighbour_join(
     queries: DataFrame, train: DataFrame, query_key: str, train_key: str, features: str, k: int = 5, p: int = 2, probes: int | None = None
 ) -> DataFrame:
@@ -90,14 +145,7 @@ def neighbour_join(
     base = train.select(F.col(train_key).alias("_tk"), point)
     asked = on_executors(queries).select(F.col(query_key).alias("_qk"), point)
     pivots = _matrix(bounded_sample(base, "_tk", pivot_count(base.count()), "pivots").toPandas()["point"])
-    schema = T.StructType(
-        [
-            T.StructField(query_key, queries.schema[query_key].dataType),
-            T.StructField(train_key, train.schema[train_key].dataType),
-            T.StructField("distance", T.DoubleType()),
-            T.StructField("place", T.IntegerType()),
-        ]
-    )
+    schema = neighbour_schema(queries, train, query_key, train_key)
     if not len(pivots):
         return spark.createDataFrame([], schema)
     # Cell facts are read once here and the placement is made again in the join:
@@ -114,8 +162,7 @@ def neighbour_join(
     @F.pandas_udf("array<int>")
     def candidates(points: pd.Series) -> pd.Series:
         to_pivot = _distances(_matrix(points), pivots[cells], p)
-        upper = (to_pivot[:, :, None] + reach[None, :, :]).reshape(len(to_pivot), -1)
-        bound = np.partition(upper, k - 1, axis=1)[:, k - 1]
+        bound = _kth_bound(to_pivot, reach)
         near = to_pivot - radius[None, :] <= bound[:, None] + slack
         if probes is not None:
             near &= to_pivot.argsort(axis=1).argsort(axis=1) < probes
@@ -145,30 +192,8 @@ def neighbour_join(
         ]
     )
 
-    def closest(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"_qk": [], "_tk": [], "distance": []})
-        t = t.sort_values("_tk", kind="stable")
-        tk, tm = t["_tk"].to_numpy(), _matrix(t["point"])
-        qk, qm = q["_qk"].to_numpy(), _matrix(q["point"])
-        found: list[pd.DataFrame] = []
-        for i in range(0, len(q), 256):
-            d = np.round(_distances(qm[i : i + 256], tm, p), RANKED)
-            # Training keys are sorted, so a stable sort breaks ties by key.
-            best = np.argsort(d, axis=1, kind="stable")[:, :k]
-            found.append(
-                pd.DataFrame(
-                    {
-                        "_qk": np.repeat(qk[i : i + 256], best.shape[1]),
-                        "_tk": tk[best.ravel()],
-                        "distance": np.take_along_axis(d, best, axis=1).ravel(),
-                    }
-                )
-            )
-        return pd.concat(found)
-
     keys = ["_cell", "_t", "_q"]
-    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(closest, pair_schema)
+    pairs = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(closest_rows(k, p), pair_schema)
     order = Window.partitionBy("_qk").orderBy("distance", "_tk")
     ranked = pairs.withColumn("place", F.row_number().over(order)).where(F.col("place") <= k)
     return ranked.select(F.col("_qk").alias(query_key), F.col("_tk").alias(train_key), F.round("distance", PLACES).alias("distance"), "place")
@@ -192,5 +217,3 @@ def neighbour_vote(neighbours: DataFrame, labels: DataFrame, query_key: str, tra
         score = F.sum(w * y) / F.sum(w)
     votes = labelled.groupBy(query_key).agg(F.round(score, 12).alias("score"))
     return votes.withColumn("pred", (F.col("score") > 0.5).cast("int"))
-
-

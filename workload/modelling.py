@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from labelworks.functions import scalar as S
 from labelworks.operators import evaluate as L
+from labelworks.operators import hashed_neighbours as A
 from labelworks.operators import neighbours as D
 from labelworks.operators import split as P
 from labelworks.plans import explain as N
@@ -251,6 +252,17 @@ def neighbour_join(spark, sf):
     return near(spark, sf)[0].select("query_id", "train_id", "distance")
 
 
+@query("hashed_neighbours", f"WITH {NEAR_SQL} SELECT count(*) AS n_exact, TRUE AS enough, TRUE AS sound FROM near")
+def hashed_neighbours(spark, sf):
+    """Recall of the hash join at least 0.9, and every neighbour it gives at its true distance or farther than a missed one."""
+    exact, _ = near(spark, sf)
+    test, train = embedded_parts(spark, sf)
+    found = keep(A.hashed_neighbour_join(test.withColumnRenamed("row_id", "query_id"), train.withColumnRenamed("row_id", "train_id"), "query_id", "train_id", "embedding", k=5))
+    exact = keep(exact)
+    worse = found.join(exact.select("query_id", "place", F.col("distance").alias("_best")), ["query_id", "place"]).agg(F.bool_and(F.col("distance") >= F.col("_best"))).scalar()
+    return A.recall(found, exact, "query_id", "train_id").select("n_exact", (F.col("recall") >= 0.9).alias("enough")).withColumn("sound", worse)
+
+
 @query(
     "knn_classifier",
     f"""WITH {NEAR_SQL} SELECT query_id, round(avg(label), 6) AS score, CASE WHEN avg(label) > 0.5 THEN 1 ELSE 0 END AS pred
