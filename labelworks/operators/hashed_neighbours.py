@@ -76,7 +76,7 @@ def hashed_neighbour_join(
     p: int = 2,
     tables: int = 4,
     bits: int = 8,
-    probes: int = 56,
+    probes: int = 64,
     seed: int = SEED,
 ) -> DataFrame:
     """Rows ``query_key, train_key, distance, place`` with place 1..k, as the exact join

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from labelworks.operators.keep import keep
 from labelworks.operators.neighbours import neighbour_join, neighbour_vote
+from labelworks.operators.split import bounded_sample
 from labelworks.plans.stages import FrameModel
 
 KEY = "row_id"
@@ -144,6 +145,19 @@ class _FourierParams(HasFeaturesCol):
     gamma: Param[float] = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
 
 
+def kernel_width(dataset: DataFrame, features: str, width: str) -> tuple[float, int]:
+    """gamma of the Gaussian kernel and the number of inputs: ``scale``, 1 / (features x
+    variance of all entries), ``auto``, 1 / features, or a number."""
+    stats = Summarizer.metrics("mean", "normL2", "count")
+    row = dataset.agg(stats.summary(F.col(features)).alias("s")).first()["s"]
+    mean = np.array(row["mean"].toArray())
+    squares = np.array(row["normL2"].toArray()) ** 2 / row["count"]
+    variance = squares.mean() - mean.mean() ** 2
+    if width == "scale":
+        return (float(1.0 / (len(mean) * variance)) if variance > 0 else 1.0), len(mean)
+    return (1.0 / len(mean) if width == "auto" else float(width)), len(mean)
+
+
 class FourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultParamsWritable):
     """Random features whose inner product approximates the Gaussian kernel.
 
@@ -161,17 +175,8 @@ class FourierFeatures(Estimator, _FourierParams, DefaultParamsReadable, DefaultP
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> "FourierFeaturesModel":
-        stats = Summarizer.metrics("mean", "normL2", "count")
-        row = dataset.agg(stats.summary(F.col(self.getFeaturesCol())).alias("s")).first()["s"]
-        mean = np.array(row["mean"].toArray())
-        squares = np.array(row["normL2"].toArray()) ** 2 / row["count"]
-        variance = squares.mean() - mean.mean() ** 2
-        width = self.getOrDefault(self.width)
-        if width == "scale":
-            gamma = 1.0 / (len(mean) * variance) if variance > 0 else 1.0
-        else:
-            gamma = 1.0 / len(mean) if width == "auto" else float(width)
-        return self._copyValues(FourierFeaturesModel())._set(gamma=float(gamma), inputs=len(mean))
+        gamma, inputs = kernel_width(dataset, self.getFeaturesCol(), self.getOrDefault(self.width))
+        return self._copyValues(FourierFeaturesModel())._set(gamma=gamma, inputs=inputs)
 
 
 class FourierFeaturesModel(Model, _FourierParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -193,21 +198,93 @@ class FourierFeaturesModel(Model, _FourierParams, DefaultParamsReadable, Default
         return dataset.withColumn("fourier", waves)
 
 
+class _LandmarkParams(HasFeaturesCol):
+    dims: Param[int] = Param(Params._dummy(), "dims", "landmarks", TypeConverters.toInt)
+    seed: Param[int] = Param(Params._dummy(), "seed", "choice of the landmarks", TypeConverters.toInt)
+    gamma: Param[float] = Param(Params._dummy(), "gamma", "kernel width", TypeConverters.toFloat)
+    keyCol: Param[str] = Param(Params._dummy(), "keyCol", "unique row key", TypeConverters.toString)
+    points: Param[list] = Param(Params._dummy(), "points", "the landmarks, row by row")
+    root: Param[list] = Param(Params._dummy(), "root", "inverse root of the landmarks' kernel, row by row")
+
+
+class LandmarkFeatures(Estimator, _LandmarkParams, DefaultParamsReadable, DefaultParamsWritable):
+    """Features whose inner product approximates the Gaussian kernel by that of landmarks.
+
+    Williams & Seeger, "Using the Nyström method to speed up kernel machines", 2000. The
+    landmarks are the first ``dims`` different points in hash order of the key, a distributed
+    top-n; with K their kernel, a row x becomes k(x, landmarks) K^(-1/2). The driver and
+    every task hold dims x (features + dims) numbers. Rows without a key come first in the
+    order; fewer different points than ``dims`` make fewer features.
+    """
+
+    width: Param[str] = Param(Params._dummy(), "width", "scale, auto or a number", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, dims=128, seed=42, width="scale", keyCol=KEY, featuresCol="features"):
+        super().__init__()
+        self._setDefault(dims=128, seed=42, width="scale", keyCol=KEY)
+        self._set(**self._input_kwargs)
+
+    def _fit(self, dataset: DataFrame) -> "LandmarkFeaturesModel":
+        gamma, _ = kernel_width(dataset, self.getFeaturesCol(), self.getOrDefault(self.width))
+        point = vector_to_array(self.getFeaturesCol()).alias("point")
+        first = dataset.select(point, F.col(self.getOrDefault(self.keyCol)).cast("string").alias("key")).groupBy("point").agg(F.min("key").alias("key"))
+        rows = bounded_sample(first, "key", self.getOrDefault(self.dims), self.getOrDefault(self.seed)).collect()
+        points = np.array([r["point"] for r in rows], float)
+        values, vectors = np.linalg.eigh(gaussian_kernel(points, points, gamma))
+        # directions that the landmarks hardly span carry rounding only
+        real = values > 1e-10 * values.max()
+        root = vectors[:, real] / np.sqrt(values[real])
+        return self._copyValues(LandmarkFeaturesModel())._set(gamma=gamma, points=points.tolist(), root=root.tolist())
+
+
+def gaussian_kernel(a: np.ndarray, b: np.ndarray, gamma: float) -> np.ndarray:
+    squares = (a * a).sum(axis=1)[:, None] + (b * b).sum(axis=1)[None, :] - 2 * a @ b.T
+    return np.exp(-gamma * np.maximum(squares, 0))
+
+
+class LandmarkFeaturesModel(Model, _LandmarkParams, DefaultParamsReadable, DefaultParamsWritable):
+    def __init__(self) -> None:
+        super().__init__()
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        points, root = np.array(self.getOrDefault(self.points)), np.array(self.getOrDefault(self.root))
+        gamma = self.getOrDefault(self.gamma)
+
+        @F.pandas_udf("array<double>")
+        def project(rows: pd.Series) -> pd.Series:
+            return pd.Series((gaussian_kernel(np.array(rows.tolist(), dtype=float), points, gamma) @ root).tolist())
+
+        return dataset.withColumn("landmarks", array_to_vector(project(vector_to_array(self.getFeaturesCol()))))
+
+
+def kernel_error(model: FourierFeaturesModel | LandmarkFeaturesModel, sample: DataFrame) -> float:
+    """Root mean square of (inner product of the features - Gaussian kernel) over all pairs of
+    a sample's rows, which the caller bounds."""
+    made = model.transform(sample)
+    name = "landmarks" if isinstance(model, LandmarkFeaturesModel) else "fourier"
+    rows = made.select(vector_to_array(model.getFeaturesCol()).alias("x"), vector_to_array(name).alias("z")).collect()
+    x, z = (np.array([r[c] for r in rows], float) for c in ("x", "z"))
+    return float(np.sqrt(np.square(z @ z.T - gaussian_kernel(x, x, model.getOrDefault(model.gamma))).mean()))
+
+
 class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Support vector classifier: linear, or Gaussian through random features."""
+    """Support vector classifier: linear, or Gaussian through ``approximation``, the
+    random features ``fourier`` or ``landmarks`` (Nyström)."""
 
     C: Param[float] = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
     kernel: Param[str] = Param(Params._dummy(), "kernel", "rbf or linear", TypeConverters.toString)
     weightCol: Param[str] = Param(Params._dummy(), "weightCol", "row weight, none when empty", TypeConverters.toString)
     maxIter: Param[int] = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
     gamma: Param[str] = Param(Params._dummy(), "gamma", "kernel width: scale, auto or a number", TypeConverters.toString)
-    dims: Param[int] = Param(Params._dummy(), "dims", "random features", TypeConverters.toInt)
+    dims: Param[int] = Param(Params._dummy(), "dims", "random features or landmarks", TypeConverters.toInt)
+    approximation: Param[str] = Param(Params._dummy(), "approximation", "fourier or landmarks", TypeConverters.toString)
     tol: Param[float] = Param(Params._dummy(), "tol", "where the iterations stop", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, C=1.0, kernel="rbf", featuresCol="features", labelCol="label", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3):
+    def __init__(self, *, C=1.0, kernel="rbf", featuresCol="features", labelCol="label", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3, approximation="fourier"):
         super().__init__()
-        self._setDefault(C=1.0, kernel="rbf", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3)
+        self._setDefault(C=1.0, kernel="rbf", weightCol="", maxIter=100, gamma="scale", dims=128, tol=1e-3, approximation="fourier")
         self._set(**self._input_kwargs)
 
     def _fit(self, dataset: DataFrame) -> PipelineModel:
@@ -216,8 +293,11 @@ class KernelSVC(Estimator, HasFeaturesCol, HasLabelCol, DefaultParamsReadable, D
             raise ValueError(f"unknown kernel {kernel!r}")
         head, features = [], self.getFeaturesCol()
         if kernel == "rbf":
-            waves = FourierFeatures(featuresCol=features, dims=self.getOrDefault(self.dims), width=self.getOrDefault(self.gamma)).fit(dataset)
-            dataset, features, head = waves.transform(dataset), "fourier", [waves]
+            kinds = {"fourier": FourierFeatures, "landmarks": LandmarkFeatures}
+            if (kind := self.getOrDefault(self.approximation)) not in kinds:
+                raise ValueError(f"unknown approximation {kind!r}")
+            waves = kinds[kind](featuresCol=features, dims=self.getOrDefault(self.dims), width=self.getOrDefault(self.gamma)).fit(dataset)
+            dataset, features, head = waves.transform(dataset), kind, [waves]
         total = dataset.agg(F.sum(weight) if weight else F.count(F.lit(1))).first()[0]
         svc = LinearSVC(
             featuresCol=features,

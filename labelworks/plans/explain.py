@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 from labelworks.functions.metrics import metric
 from labelworks.functions.scalar import abs_mean, hash_order
 from labelworks.operators.split import SEED, bounded_sample, donor_rows
-from labelworks.plans.classifiers import FourierFeaturesModel
+from labelworks.plans.classifiers import FourierFeaturesModel, LandmarkFeaturesModel
 from labelworks.plans.families import last_stage, score_column
 from labelworks.plans.shapley import tree_shapley
 from labelworks.plans.trees import TREE_MODELS, Trees, trees_of
@@ -26,7 +26,7 @@ Predict = Callable[[DataFrame], DataFrame]
 
 def _coefficients(model: Model) -> np.ndarray | None:
     """Linear coefficients over the named features, if the model has them."""
-    if isinstance(model, PipelineModel) and isinstance(model.stages[0], FourierFeaturesModel):
+    if isinstance(model, PipelineModel) and isinstance(model.stages[0], (FourierFeaturesModel, LandmarkFeaturesModel)):
         return None
     last = last_stage(model)
     return np.array(last.coefficients.toArray()) if hasattr(last, "coefficients") else None

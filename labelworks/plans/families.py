@@ -179,8 +179,8 @@ FAMILY_LIST = [
     ),
     Family(
         "svc",
-        lambda p, n, weight: KernelSVC(C=p["C"], kernel=p["kernel"], gamma=str(p["gamma"]), dims=p["dims"], maxIter=p["max_iter"], tol=p["tol"], weightCol=weight),
-        {"C": 1.0, "kernel": "rbf", "gamma": "scale", "dims": 128, "max_iter": 100, "tol": 1e-3, "class_weight": None},
+        lambda p, n, weight: KernelSVC(C=p["C"], kernel=p["kernel"], gamma=str(p["gamma"]), dims=p["dims"], maxIter=p["max_iter"], tol=p["tol"], weightCol=weight, approximation=p["approximation"]),
+        {"C": 1.0, "kernel": "rbf", "gamma": "scale", "dims": 128, "max_iter": 100, "tol": 1e-3, "class_weight": None, "approximation": "fourier"},
         {"C": [0.5, 1.0, 5.0], "kernel": ["linear", "rbf"], "gamma": ["scale"], "class_weight": [None, "balanced"]},
     ),
     Family(

@@ -9,7 +9,7 @@ from labelworks.operators.select import select_by_type
 from labelworks.plans import explain as X
 from labelworks.plans import stacking as S
 from labelworks.plans import training as M
-from labelworks.plans.classifiers import FourierFeatures, KernelSVC, RidgeClassifier
+from labelworks.plans.classifiers import FourierFeatures, KernelSVC, LandmarkFeatures, RidgeClassifier, gaussian_kernel, kernel_error
 from labelworks.plans.families import FAMILIES, fit_family, last_stage
 from labelworks.plans.stages import MedianImputer, ModeImputer, PopulationScaler, TabularEncoder, TitleFeatures, feature_names
 
@@ -297,3 +297,35 @@ def test_probes_bound_the_cells_of_a_query(spark):
     both = exact.merge(near, on=["q", "t"])
     assert len(near) == len(exact) == 120 and len(both) >= 0.5 * len(exact)
     assert (near[near.place == 1].sort_values("q")["distance"] == 0).all()  # a point's own cell is its nearest
+
+
+def test_landmarks_come_closer_to_the_kernel_than_random_features(spark, tmp_path):
+    df, x, _ = numeric_table(spark, 500, 4, seed=8)
+    sample = df.where("row_id < 150")
+    landmarks, waves = LandmarkFeatures(dims=128).fit(df), FourierFeatures(dims=128).fit(df)
+    errors = [kernel_error(m, sample) for m in (landmarks, waves)]
+    assert errors[0] < 0.02 < errors[1]
+    # with every point a landmark the kernel is exact
+    whole = LandmarkFeatures(dims=200).fit(sample)
+    assert kernel_error(whole, sample) < 1e-6
+    gamma = 1 / (4 * x[:150].var())
+    made = np.array([r[0].toArray() for r in whole.transform(sample).orderBy("row_id").select("landmarks").collect()])
+    np.testing.assert_allclose(made @ made.T, gaussian_kernel(x[:150], x[:150], gamma), atol=1e-5)
+    whole.write().save(str(tmp_path / "w"))
+    assert kernel_error(type(whole).load(str(tmp_path / "w")), sample) < 1e-6
+    # repeated points are one landmark
+    copies = df.where("row_id < 3").unionByName(df.where("row_id < 3").withColumn("row_id", F.col("row_id") + 1000))
+    assert len(LandmarkFeatures(dims=50).fit(copies).getOrDefault("points")) == 3
+
+
+def test_svc_on_landmarks(spark):
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, 2))
+    y = ((x**2).sum(axis=1) < 1.2).astype(int)
+    rows = [(i, int(y[i]), *map(float, x[i])) for i in range(300)]
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(spark.createDataFrame(rows, "row_id long, label int, a double, b double"))
+    model = fit_family(FAMILIES["svc"], {"approximation": "landmarks", "C": 10.0}, df, 300)
+    right = model.transform(df).where("prediction = label").count()
+    assert right > 270
+    with pytest.raises(ValueError, match="approximation"):
+        KernelSVC(approximation="none").fit(df)

@@ -23,7 +23,7 @@ from labelworks.plans import stacking as K
 from labelworks.plans import stages as J
 from labelworks.plans import training as M
 from labelworks.plans import trees as T
-from labelworks.plans.classifiers import RidgeClassifier
+from labelworks.plans.classifiers import FourierFeatures, LandmarkFeatures, RidgeClassifier, kernel_error
 from labelworks.plans.families import BASELINE_DRAWS, BASELINE_SPACE, FAMILIES, score_table
 from labelworks.operators.keep import keep, releases, shared_folder
 from labelworks.sources.ledger import Ledger
@@ -338,6 +338,17 @@ for _name in ("random_forest", "extra_trees", "boosted_trees", "logistic_regress
     )(partial(_family_query, _name))
 
 
+@query("landmark_features", f"{RIDERS_WITH} SELECT row_id, label, 'svc' AS model, TRUE AS sound FROM parts WHERE part = 'test'")
+def landmark_features(spark, sf):
+    """A Gaussian SVC on landmarks, whose kernel error must be below that of as many random features."""
+    split = prepared(spark, sf)
+    sample = P.bounded_sample(split.valid, "row_id", 200)
+    errors = [kernel_error(kind(dims=128).fit(split.train), sample) for kind in (LandmarkFeatures, FourierFeatures)]
+    model = M.fit_family(FAMILIES["svc"], {"approximation": "landmarks"}, split.train, split.n)
+    good = errors[0] < errors[1] and beats_chance(M.predictions({"svc": model}, split.train))
+    return sound(M.predictions({"svc": model}, split.valid), "row_id", "label").withColumn("sound", F.col("sound") & F.lit(good))
+
+
 @query("score_column", f"{RIDERS_WITH} SELECT row_id, label, model, TRUE AS sound FROM parts, {MODELS_SQL} WHERE part = 'test'")
 def score_column(spark, sf):
     """Probability, margin and share scores side by side, one model of each family."""
