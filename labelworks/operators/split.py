@@ -65,6 +65,32 @@ def stratified_kfold(
     return folded.unionByName(_unlabelled(df, label, name, "int"))
 
 
+def fitting_sample(df: DataFrame, label: str, key: str, rows: int, seed: object = SEED, name: str = "fit_weight") -> DataFrame:
+    """At most ``rows`` rows in md5 order, with the weight that restores the share of their class.
+
+    Half of the sample is dealt to the classes alike (a small one goes whole), the rest by
+    their size; a row counts as many rows of its class as there are for each drawn one. A
+    table that is no larger goes whole, every weight 1. Rows without a label are left out.
+
+    Counts of 65,536 hash prefixes for each class show where the sample ends; only rows up
+    to there are kept and ranked, so the table is read twice and never sorted.
+    """
+    known = df.where(F.col(label).isNotNull()).withColumn("_prefix", F.substring(F.coalesce(hash_order(key, seed), F.lit("")), 1, 4))
+    counts = keep(known.groupBy(label, "_prefix").agg(F.count(F.lit(1)).alias("_rows")))
+    everything = Window.partitionBy(F.lit(1))
+    classes = counts.groupBy(label).agg(F.sum("_rows").alias("_n")).withColumn("_k", F.count(F.lit(1)).over(everything))
+    alike = F.least(F.col("_n"), F.floor(F.lit(rows) / (2 * F.col("_k"))))
+    left, free = F.lit(rows) - F.sum("_alike").over(everything), F.sum(F.col("_n") - F.col("_alike")).over(everything)
+    more = F.least(F.col("_n") - F.col("_alike"), F.floor(F.coalesce(F.try_divide((F.col("_n") - F.col("_alike")) * left, free), F.lit(0.0))))
+    takes = keep(classes.withColumn("_alike", alike).withColumn("_take", (F.col("_alike") + more).cast("long")).select(label, "_n", "_take"))
+    before = Window.partitionBy(label).orderBy("_prefix").rowsBetween(Window.unboundedPreceding, -1)
+    reached = counts.withColumn("_before", F.coalesce(F.sum("_rows").over(before), F.lit(0))).join(takes, label)
+    last = keep(reached.where(F.col("_before") < F.col("_take")).groupBy(label, "_n", "_take").agg(F.max("_prefix").alias("_last")))
+    near = known.join(last, label).where(F.col("_prefix") <= F.col("_last"))
+    drawn = hash_rank(near, key, seed, [label], rank="_rank").where(F.col("_rank") <= F.col("_take"))
+    return drawn.select(*df.columns, (F.col("_n") / F.col("_take")).alias(name))
+
+
 def hashed_kfold(df: DataFrame, key: str, k: int = 5, seed: int = SEED, name: str = "fold") -> DataFrame:
     """Folds without any shuffle, from the first eight digits of md5(seed|key); balanced
     in expectation only. Rows without a key have a missing fold."""

@@ -25,6 +25,8 @@ from labelworks.plans.trees import TREE_MODELS, nested_scores
 
 SEED = 42
 WEIGHT = "_class_weight"
+#: Rows that a row of a fitting sample stands for.
+FIT_WEIGHT = "fit_weight"
 # Deepest tree Spark grows; stands in for "no limit".
 DEEPEST = 30
 
@@ -50,12 +52,15 @@ class Family:
         return self.build({**self.defaults, **params}, n, weight)
 
 
-def balanced_weights(df: DataFrame, label: str, name: str = "weight") -> DataFrame:
-    """Weight n / (classes x rows of the class) on every row."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+def balanced_weights(df: DataFrame, label: str, name: str = "weight", rows: str | None = None) -> DataFrame:
+    """Weight n / (classes x rows of the class) on every row; where ``rows`` names how many
+    rows a row stands for, they are counted so and the weight is that of all of them."""
+    each = F.lit(1) if rows is None else F.col(rows)
+    counts = df.groupBy(label).agg((F.count(each) if rows is None else F.sum(each)).alias("_n"))
     totals = counts.agg(F.struct(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))).scalar()
     weights = counts.withColumn("_t", totals).select(label, (F.col("_t.n") / (F.col("_t.k") * F.col("_n"))).alias(name))
-    return df.join(keep(weights), label)
+    weighted = df.join(keep(weights), label)
+    return weighted if rows is None else weighted.withColumn(name, F.col(name) * F.col(rows))
 
 
 def _leaf(p: Params) -> int:
@@ -91,7 +96,7 @@ def _weighted(estimator: Any, weight: str) -> Any:
 
 
 def _boosted(p: Params, n: int, weight: str) -> Estimator:
-    return GBTClassifier(
+    model = GBTClassifier(
         maxIter=p["n_estimators"],
         stepSize=p["learning_rate"],
         maxDepth=p["max_depth"],
@@ -102,6 +107,7 @@ def _boosted(p: Params, n: int, weight: str) -> Estimator:
         checkpointInterval=50,
         seed=SEED,
     )
+    return _weighted(model, weight)
 
 
 def _logistic(p: Params, n: int, weight: str) -> Estimator:
@@ -247,10 +253,13 @@ def shared_scores(family: Family, model: Model, encoded: DataFrame, settings: li
 
 
 def fit_family(family: Family, params: Params, train: DataFrame, n: int) -> Model:
-    """Fit on an encoded table (``features``, ``label``, ``row_id``) of n rows."""
-    weight = ""
+    """Fit on an encoded table (``features``, ``label``, ``row_id``) that stands for n rows;
+    the rows of a sample count by their ``fit_weight``."""
+    weight, sampled = "", FIT_WEIGHT in train.columns
     if {**family.defaults, **params}.get("class_weight") == "balanced":
-        train, weight = balanced_weights(train, "label", WEIGHT), WEIGHT
+        train, weight = balanced_weights(train, "label", WEIGHT, FIT_WEIGHT if sampled else None), WEIGHT
+    elif sampled:
+        weight = FIT_WEIGHT
     return family.estimator(params, n, weight).fit(train)
 
 

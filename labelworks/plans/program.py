@@ -32,6 +32,7 @@ from labelworks.plans.training import (
     search,
     select_and_tune,
 )
+from labelworks.sources.ledger import Ledger
 from labelworks.sources.models import save_model
 from labelworks.sources.runlog import TABLES, RunLog
 
@@ -99,9 +100,14 @@ def run_training(
     baseline_params: Params | None = None,
     k: int = 5,
     search_k: int = 3,
+    fit_rows: int | None = None,
 ) -> Training:
     """Run every step on one labelled table and save the results.
 
+    ``fit_rows`` bounds the rows of every fit. What the searches measure is kept in
+    ``search_ledger`` below ``models_dir``: a run that is started again on the same rows
+    goes on where it stopped.
+
     Family models are saved as ``family_search_<name>_final`` and the best of
     them once more as ``best_family_search_final``.
     """
@@ -113,8 +119,9 @@ def run_training(
     models = {"baseline_random_forest": forest, **configs}
     log = RunLog.start_run(spark, log_root, run_id, models, target=target, random_state=SEED, n_splits=k)
 
-    first = baseline(train, test, feature_stages, k, baseline_params)
-    tuned = search(first.folds, first.split, FAMILIES["random_forest"], *tuning)
+    first = baseline(train, test, feature_stages, k, baseline_params, fit_rows)
+    ledger = Ledger(spark, f"{models_dir}/search_ledger")
+    tuned = search(first.folds, first.split, FAMILIES["random_forest"], *tuning, ledger)
     if log is not None:
         log.log_stage("baseline", first.results.first().asDict(), held=first.held, folds=_fold_scores(first.oof))
         held = score_table(tuned.model, first.split.valid, "random_forest_tuned", [KEY, LABEL])
@@ -125,7 +132,7 @@ def run_training(
         ranking = tuned.results.select("rank_test_score", "mean_test_score")
         log.log_stage("tuning", numbers, ("random_forest_tuned", tuned.best), held, search=tuned.results, ranking=ranking, **vars(found))
 
-    chosen = select_and_tune(train, test, candidates, feature_stages, k, search_k, spaces, draws)
+    chosen = select_and_tune(train, test, candidates, feature_stages, k, search_k, spaces, draws, ledger=ledger, fit_rows=fit_rows)
     bench = chosen.benchmark
     pipelines = {n: s.pipeline(bench.split) for n, s in chosen.searches.items()}
     paths = {n: save_model(p, models_dir, f"family_search_{n}") for n, p in pipelines.items()}
@@ -160,6 +167,7 @@ def _log_selection(
         held = score_table(done.model, bench.split.valid, name, [KEY, LABEL])
         found = explain_model(name, done.model, bench.split, test, shapley=name == best_benchmark, path=paths[name])
         log.log_stage(f"family_search/{name}", results[name], (name, done.best), held, **vars(found))
+        # The metadata keys and artifact names of registered models.
         metadata = {"model_family": name, "result": results[name], "best_params": done.best}
         log.register_model(paths[name], f"family-search-{name}-model", metadata, [*ALIASES, "family-search", name])
     for stage, table, cv in (("benchmark", bench.results, "by_cv_f1"), ("family_search", chosen.results, "by_search_f1")):

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from labelworks.operators.moments import cross_products
 
+#: Rows that a row of a fitting sample stands for.
+FIT_WEIGHT = "fit_weight"
+
 
 def ridge_coefficients(products: Mapping[int, np.ndarray], alpha: float, balanced: bool = False) -> tuple[float, np.ndarray]:
     """Intercept and coefficients of least squares on labels -1 and 1 with penalty alpha.
@@ -32,14 +35,19 @@ def ridge_coefficients(products: Mapping[int, np.ndarray], alpha: float, balance
 def ridge_path(trains: Sequence[DataFrame], settings: Sequence[Mapping[str, Any]]) -> list[list[tuple[float, np.ndarray]]]:
     """For each table and each setting (``alpha``, ``class_weight``) the fitted intercept and
     coefficients: one scan of all tables, then a solve at the size of the features each."""
-    tagged = [t.select(F.lit(i).alias("_table"), F.col("label").cast("int").alias("label"), "features") for i, t in enumerate(trains)]
+    # The rows of a sample weigh alike within a class, so the weight is part of the group.
+    each = [F.col(FIT_WEIGHT) if FIT_WEIGHT in t.columns else F.lit(1.0) for t in trains]
+    tagged = [t.select(F.lit(i).alias("_table"), F.col("label").cast("int").alias("label"), w.alias("_w"), "features") for i, (t, w) in enumerate(zip(trains, each, strict=True))]
     every = tagged[0]
     for other in tagged[1:]:
         every = every.unionByName(other)
-    found = cross_products(every, ["_table", "label"])
+    found = cross_products(every, ["_table", "label", "_w"])
     out = []
     for i in range(len(trains)):
-        products = {label: m for (table, label), m in found.items() if table == i}
+        products = {}
+        for (table, label, weight), m in found.items():
+            if table == i:
+                products[label] = products.get(label, 0) + weight * m
         out.append([ridge_coefficients(products, p["alpha"], p.get("class_weight") == "balanced") for p in settings])
     return out
 

@@ -25,6 +25,7 @@ from labelworks.operators.evaluate import result_row, search_results
 from labelworks.operators.select import leaderboard, split_target, union_rows
 from labelworks.operators.split import (
     SEED,
+    fitting_sample,
     fold_train_rows,
     fold_valid_rows,
     parameter_grid,
@@ -33,14 +34,14 @@ from labelworks.operators.split import (
     stratified_split,
 )
 from labelworks.operators.keep import keep
-from labelworks.plans.families import FAMILIES, Family, Params, Shared, fit_family, score_table, shared_fits, shared_scores
+from labelworks.plans.families import FAMILIES, FIT_WEIGHT, Family, Params, Shared, fit_family, score_table, shared_fits, shared_scores
 from labelworks.plans.folds import fit_without_each_fold
 from labelworks.plans.ridge import margins, ridge_path
 from labelworks.plans.stages import TabularEncoder
 from labelworks.sources.ledger import Ledger
 
 KEY, LABEL, FOLD = "row_id", "label", "fold"
-NO_FEATURES = [KEY, LABEL, FOLD, "part"]
+NO_FEATURES = [KEY, LABEL, FOLD, "part", FIT_WEIGHT]
 PARALLEL_FITS = 8
 
 
@@ -54,7 +55,10 @@ def run_all(spark: SparkSession, tasks: Sequence[Callable[[], Any]], width: int
 
 @dataclass
 class Prepared:
-    """Encoded training and evaluation rows of one split, kept, with the encoder."""
+    """Encoded training and evaluation rows of one split, kept, with the encoder.
+
+    ``train`` may be a weighted sample; ``n`` counts the rows it stands for.
+    """
 
     encoder: PipelineModel
     train: DataFrame
@@ -64,43 +68,52 @@ class Prepared:
     rows: str | None = None
 
 
-def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = ()) -> Prepared:
+def prepare(train: DataFrame, valid: DataFrame, feature_stages: Sequence[Any] = (), fit_rows: int | None = None) -> Prepared:
     """Fit the preparation on ``train`` only and encode both tables."""
     encoder = Pipeline(stages=[*[s.copy() for s in feature_stages], TabularEncoder(excludeCols=NO_FEATURES)]).fit(train)
-    return encoded_parts(encoder, train, valid)
+    return encoded_parts(encoder, train, valid, fit_rows)
 
 
-def encoded_parts(encoder: PipelineModel, train: DataFrame, valid: DataFrame) -> Prepared:
-    """Both tables as a fitted preparation encodes them."""
+def encoded_parts(encoder: PipelineModel, train: DataFrame, valid: DataFrame, fit_rows: int | None = None) -> Prepared:
+    """Both tables as a fitted preparation encodes them.
+
+    ``fit_rows`` bounds the rows that models are fitted on: a sample by class in hash order,
+    weighted so that class shares and penalties stay those of all rows (neighbours vote
+    unweighted). What a tree model holds on the driver is then bounded by twice the sample's
+    rows a tree. None, the default, fits on all rows; the preparation always does.
+    """
 
     def encode(df: DataFrame) -> DataFrame:
         return keep(encoder.transform(df).select(*[c for c in NO_FEATURES if c in df.columns], "features"))
 
-    fitted = encode(train)
-    return Prepared(encoder, fitted, encode(valid), fitted.count())
+    if fit_rows is None:
+        fitted = encode(train)
+        return Prepared(encoder, fitted, encode(valid), fitted.count())
+    sample = fitting_sample(train, LABEL, KEY, fit_rows, name=FIT_WEIGHT)
+    return Prepared(encoder, encode(sample), encode(valid), train.where(F.col(LABEL).isNotNull()).count())
 
 
-def fold_digests(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[str]:
-    """A digest for each left-out fold: of all rows, which of them are left out, and the stages."""
+def fold_digests(df: DataFrame, k: int, feature_stages: Sequence[Any] = (), fit_rows: int | None = None) -> list[str]:
+    """A digest for each left-out fold: of all rows, which of them are left out, the stages and the sample."""
     values = [F.to_json(F.struct(*[F.col(c) for c in sorted(df.columns)]))]
     line = F.conv(F.substring(F.md5(F.concat(*values)), 1, 15), 16, 10).cast("decimal(38,0)")
     sums = {r[FOLD]: (r["n"], r["sum"]) for r in df.groupBy(FOLD).agg(F.count(F.lit(1)).alias("n"), F.sum(line).alias("sum")).collect()}
     stages = [(type(s).__name__, sorted((p.name, str(v)) for p, v in s.extractParamMap().items())) for s in feature_stages]
-    whole = repr((sorted((str(f), v) for f, v in sums.items()), stages))
+    whole = repr((sorted((str(f), v) for f, v in sums.items()), stages, fit_rows))
     return [hashlib.md5(f"{whole}|{f}".encode()).hexdigest() for f in range(k)]
 
 
-def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = ()) -> list[Prepared]:
+def prepare_folds(df: DataFrame, k: int, feature_stages: Sequence[Any] = (), fit_rows: int | None = None) -> list[Prepared]:
     """One :class:`Prepared` for each value of ``fold``, fitted without its rows; one pass of
     statistics serves all folds where the stages allow it."""
     encoders = fit_without_each_fold(df, k, feature_stages, TabularEncoder(excludeCols=NO_FEATURES))
 
     def one(fold: int) -> Callable[[], Prepared]:
         train, valid = fold_train_rows(df, fold), fold_valid_rows(df, fold)
-        return lambda: prepare(train, valid, feature_stages) if encoders is None else encoded_parts(encoders[fold], train, valid)
+        return lambda: prepare(train, valid, feature_stages, fit_rows) if encoders is None else encoded_parts(encoders[fold], train, valid, fit_rows)
 
     made = run_all(df.sparkSession, [one(f) for f in range(k)])
-    return [replace(p, rows=d) for p, d in zip(made, fold_digests(df, k, feature_stages), strict=True)]
+    return [replace(p, rows=d) for p, d in zip(made, fold_digests(df, k, feature_stages, fit_rows), strict=True)]
 
 
 def labelled(df: DataFrame, key: str, target: str) -> DataFrame:
@@ -161,10 +174,12 @@ def benchmark_models(
     candidates: Mapping[str, tuple[Family, Params]],
     feature_stages: Sequence[Any] = (),
     k: int = 5,
+    fit_rows: int | None = None,
 ) -> Benchmark:
-    """Cross-validate, refit and measure on the holdout every candidate."""
-    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, k)), k, feature_stages)
-    split = prepare(train, test, feature_stages)
+    """Cross-validate, refit and measure on the holdout every candidate, each fit on at most
+    ``fit_rows`` rows (see :func:`encoded_parts`)."""
+    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, k)), k, feature_stages, fit_rows)
+    split = prepare(train, test, feature_stages, fit_rows)
     models = fit_all(split, candidates)
     # Narrow tables that several measures read: predict once, not once per measure.
     oof = keep(cross_validate(folds, candidates))
@@ -173,9 +188,9 @@ def benchmark_models(
     return Benchmark(leaderboard(result_row(scores, held)), oof, held, models, split, folds)
 
 
-def baseline(train: DataFrame, test: DataFrame, feature_stages: Sequence[Any] = (), k: int = 5, params: Params | None = None) -> Benchmark:
+def baseline(train: DataFrame, test: DataFrame, feature_stages: Sequence[Any] = (), k: int = 5, params: Params | None = None, fit_rows: int | None = None) -> Benchmark:
     """Default forest: fit, holdout report, cross-validation."""
-    return benchmark_models(train, test, {"random_forest": (FAMILIES["random_forest"], params or {})}, feature_stages, k)
+    return benchmark_models(train, test, {"random_forest": (FAMILIES["random_forest"], params or {})}, feature_stages, k, fit_rows)
 
 
 @dataclass
@@ -307,6 +322,7 @@ def select_and_tune(
     draws: Mapping[str, int] | None = None,
     bench: Benchmark | None = None,
     ledger: Ledger | None = None,
+    fit_rows: int | None = None,
 ) -> Selection:
     """Benchmark, search the best family first and the others after, compare.
 
@@ -317,10 +333,10 @@ def select_and_tune(
     """
     from pyspark.sql.window import Window
 
-    bench = bench or benchmark_models(train, test, candidates, feature_stages, k)
+    bench = bench or benchmark_models(train, test, candidates, feature_stages, k, fit_rows)
     first = bench.results.where(F.col("model").isin(*candidates)).first()["model"]
     order = [first, *[n for n in candidates if n != first]]
-    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, search_k)), search_k, feature_stages)
+    folds = prepare_folds(keep(stratified_kfold(train, LABEL, KEY, search_k)), search_k, feature_stages, fit_rows)
     searches = {}
     for name in order:
         family = candidates[name][0]

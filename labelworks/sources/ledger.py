@@ -15,7 +15,7 @@ _FIELDS = "family string, setting string, rows string, test_f1 double, train_f1
 
 
 class Ledger:
-    """Rows ``family, setting, rows, test_f1, train_f1``: the setting as text and the digest of
+    """Rows ``family, setting, rows, test_f1, train_f1``: the whole setting as text and the digest of
     the rows it was fitted and measured on.
 
     Every finished fit writes a folder of its own, which Spark commits whole or not at all,
