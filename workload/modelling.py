@@ -210,7 +210,9 @@ def build_pipeline(spark, sf):
     train, test = split_riders(spark, sf)
     family = FAMILIES["logistic_regression"]
     pipeline = J.build_pipeline(family.estimator({}, train.count()), title_stage(), M.NO_FEATURES)
-    return sound(score_table(pipeline.fit(train), test, family.name, ["row_id", "label"]), "row_id", "label")
+    model = pipeline.fit(train)
+    good = beats_chance(score_table(model, train, family.name, ["row_id", "label"]))
+    return sound(score_table(model, test, family.name, ["row_id", "label"]), "row_id", "label").withColumn("sound", F.col("sound") & F.lit(good))
 
 
 @query("feature_names", f"{RIDERS_WITH}, {SLOTS_SQL} SELECT feature, total FROM slots")
@@ -222,6 +224,20 @@ def feature_names(spark, sf):
     return named.groupBy("feature").agg((F.round(F.sum("value"), 6) + F.lit(0.0)).alias("total"))
 
 
+FIT_ROWS = 1000
+
+
+@query(
+    "fitting_sample",
+    f"""WITH {WIDE_SQL}, classes AS (SELECT label, count(*) AS n, least(count(*), {FIT_ROWS} // (2 * count(*) OVER ())) AS alike FROM wide WHERE label IS NOT NULL GROUP BY label),
+takes AS (SELECT label, n, alike + least(n - alike, CAST(floor((n - alike) * ({FIT_ROWS} - sum(alike) OVER ()) / sum(n - alike) OVER ()) AS BIGINT)) AS take FROM classes),
+ordered AS (SELECT row_id, label, row_number() OVER (PARTITION BY label ORDER BY md5(concat('42|', row_id)), row_id) AS place FROM wide)
+SELECT row_id, label, round(n / take, 6) AS fit_weight FROM ordered JOIN takes USING (label) WHERE place <= take""",
+)
+def fitting_sample(spark, sf):
+    return P.fitting_sample(wide(spark, sf), "label", "row_id", FIT_ROWS).select("row_id", "label", six("fit_weight"))
+
+
 # --- neighbours ---
 
 
@@ -307,6 +323,12 @@ def beats_chance(scored: DataFrame) -> bool:
     return row is not None and row["roc_auc"] > 0.6
 
 
+def orderly(facts: DataFrame, scored: DataFrame) -> DataFrame:
+    """``sound`` of a model holds only if its scores order the labelled rows of ``scored``."""
+    areas = keep(L.roc_auc(scored).select("model", (F.col("roc_auc") > 0.6).alias("_orders")))
+    return facts.join(areas, "model", "left").withColumn("sound", F.col("sound") & F.coalesce("_orders", F.lit(False))).drop("_orders")
+
+
 def table_agrees(model, encoded: DataFrame) -> bool:
     """Whether walking the node table gives the model's own scores, and the gains in it, each
     weighted by its rows, the model's importances."""
@@ -351,8 +373,10 @@ def landmark_features(spark, sf):
 
 @query("score_column", f"{RIDERS_WITH} SELECT row_id, label, model, TRUE AS sound FROM parts, {MODELS_SQL} WHERE part = 'test'")
 def score_column(spark, sf):
-    """Probability, margin and share scores side by side, one model of each family."""
-    return sound(benchmark(spark, sf).held, "row_id", "label")
+    """Probability, margin and share scores side by side, one model of each family; each must
+    order the rows it was fitted on."""
+    bench = benchmark(spark, sf)
+    return orderly(sound(bench.held, "row_id", "label"), M.predictions(bench.models, bench.split.train))
 
 
 # --- training, search and selection ---
@@ -379,7 +403,8 @@ def benchmark_facts(bench: M.Benchmark) -> DataFrame:
     held = bench.held.groupBy("model").agg(F.count(F.lit(1)).alias("n_held"), F.avg((F.col("label") == F.col("pred")).cast("double")).alias("_right"))
     again = F.abs(F.col("_right") - F.col("holdout_accuracy")) < 1e-9
     table = bench.results.join(oof, "model").join(held, "model")
-    return table.select("model", "n_folds", "n_oof", "n_held", (within(table, MEASURES) & again).alias("sound"))
+    facts = table.select("model", "n_folds", "n_oof", "n_held", (within(table, MEASURES) & again).alias("sound"))
+    return orderly(facts, M.predictions(bench.models, bench.split.train))
 
 
 _COUNTS = "5 AS n_folds, count(*) FILTER (part = 'train') AS n_oof, count(*) FILTER (part = 'test') AS n_held, TRUE AS sound"
@@ -392,7 +417,8 @@ def baseline(spark, sf):
 
 @query("cross_validate", f"{RIDERS_WITH}, {KNOWN_FOLDS_SQL} SELECT row_id, label, fold, model, TRUE AS sound FROM folded, {MODELS_SQL}")
 def cross_validate(spark, sf):
-    return sound(benchmark(spark, sf).oof, "row_id", "label", "fold")
+    bench = benchmark(spark, sf)
+    return orderly(sound(bench.oof, "row_id", "label", "fold"), M.predictions(bench.models, bench.split.train))
 
 
 @query("benchmark_models", f"{RIDERS_WITH} SELECT model, {_COUNTS} FROM parts, {MODELS_SQL} GROUP BY model")
@@ -426,6 +452,18 @@ def random_search(spark, sf):
     return table.select(*values, (within(table, measures) & ranked).alias("sound"))
 
 
+@query(
+    "to_json",
+    """SELECT model, concat('{"model": "', model, '", "settings": {"depth": ', coalesce(CAST(depth AS VARCHAR), 'null'), ', "trees": [', n, ', ', 2 * n, ']}}') AS text
+FROM (SELECT DISTINCT concat(lang, ' ', source) AS model, CASE WHEN lang = 'en' THEN NULL ELSE len(lang) END AS depth, len(source) AS n FROM documents)""",
+)
+def to_json(spark, sf):
+    """Settings of models named after the documents' languages and sources, as JSON text."""
+    named = read(spark, sf, "documents").select("lang", "source").distinct().collect()
+    rows = [(f"{r['lang']} {r['source']}", {"depth": None if r["lang"] == "en" else len(r["lang"]), "trees": (len(r["source"]), 2 * len(r["source"]))}) for r in named]
+    return spark.createDataFrame([(m, S.to_json({"model": m, "settings": p})) for m, p in rows], "model string, text string")
+
+
 SEARCHED = ["best_cv_f1", "holdout_f1", "holdout_accuracy", "holdout_roc_auc"]
 
 
@@ -472,8 +510,19 @@ _EVENT_PARTS = f"WITH {WIDE_SQL}, {PARTS_SQL}"
 
 @query("stack_fit", f"{_EVENT_PARTS}, {KNOWN_FOLDS_SQL} SELECT row_id, label, fold, 'stacking' AS model, TRUE AS sound FROM folded")
 def stack_fit(spark, sf):
+    """Out-of-fold scores, which must go with those of the model fitted on all rows."""
     table = wide(spark, sf)
-    return sound(K.stack_oof(event_scores(table), table.select("row_id", "label"), MODELS), "row_id", "label", "fold")
+    scores, labels = event_scores(table), table.select("row_id", "label")
+    oof = keep(K.stack_oof(scores, labels, MODELS))
+    whole = _linear_score(K.stack_model(scores, labels, MODELS))
+    good = oof.join(scan(scores, MODELS, "oof"), "row_id").agg(F.corr("score", whole)).first()[0] > 0.5
+    return sound(oof, "row_id", "label", "fold").withColumn("sound", F.col("sound") & F.lit(good))
+
+
+def _linear_score(model):
+    """Probability from the coefficients of a meta-model."""
+    linear = sum((F.lit(float(w)) * F.col(m) for w, m in zip(model.coefficients, MODELS)), F.lit(float(model.intercept)))
+    return 1 / (1 + F.exp(-linear))
 
 
 @query("stack_predict", f"{_EVENT_PARTS} SELECT row_id, TRUE AS sound FROM parts WHERE part = 'test'")
@@ -481,7 +530,15 @@ def stack_predict(spark, sf):
     table = wide(spark, sf)
     scores = event_scores(table)
     model = K.stack_model(scores, table.select("row_id", "label"), MODELS)
-    return K.stack_predict(model, scores, MODELS).select("row_id", F.col("score").between(0, 1).alias("sound"))
+    # What the model says, from its coefficients; and on the labelled rows the penalised loss
+    # is flat in every coefficient, as at its minimum only.
+    known = scan(scores, MODELS, "oof").join(table.select("row_id", "label"), "row_id")
+    residual = _linear_score(model) - F.col("label")
+    slopes = known.agg(F.count(F.lit(1)).alias("n"), F.avg(residual).alias("b"), *[F.avg(residual * F.col(m)).alias(m) for m in MODELS]).first()
+    flat = abs(slopes["b"]) < 1e-4 and all(abs(slopes[m] + w / slopes["n"]) < 1e-4 for w, m in zip(model.coefficients, MODELS))
+    test = scan(scores, MODELS, "test").withColumn("_told", _linear_score(model))
+    told = K.stack_predict(model, scores, MODELS).join(test, "row_id")
+    return told.select("row_id", ((F.abs(F.col("score") - F.col("_told")) < 1e-9) & F.lit(flat)).alias("sound"))
 
 
 @query(
@@ -490,8 +547,9 @@ def stack_predict(spark, sf):
 SELECT row_id, 'test', model, CAST(NULL AS INTEGER), TRUE FROM parts, {MODELS_SQL} WHERE part = 'test'""",
 )
 def make_oof(spark, sf):
+    bench = benchmark(spark, sf)
     ranged = F.when(F.col("model").isin(*MARGINS), F.col("score").isNotNull()).otherwise(F.col("score").between(0, 1))
-    return M.make_oof(benchmark(spark, sf)).select("row_id", "split", "model", "fold", ranged.alias("sound"))
+    return orderly(M.make_oof(bench).select("row_id", "split", "model", "fold", ranged.alias("sound")), M.predictions(bench.models, bench.split.train))
 
 
 def event_scores(table: DataFrame) -> DataFrame:
@@ -684,6 +742,9 @@ def predict_ensemble(spark, sf):
     """All nine families, weighted by their place in the list."""
     pipelines = benchmark(spark, sf).pipelines
     weights = [float(len(pipelines) - i) for i in range(len(pipelines))]
-    votes, _ = R.predict_ensemble(pipelines, riders(spark, sf).drop("label"), "row_id", "weighted_soft_vote", weights)
-    score = F.col("ensemble_score")
-    return votes.select("row_id", (score.between(0, 1) & ((score >= 0.5) == (F.col("ensemble_pred") == 1))).alias("sound"))
+    rows = riders(spark, sf)
+    votes, _ = R.predict_ensemble(pipelines, rows.drop("label"), "row_id", "weighted_soft_vote", weights)
+    votes, score = keep(votes), F.col("ensemble_score")
+    labelled = votes.join(rows.select("row_id", "label"), "row_id").select("row_id", "label", F.lit("ensemble").alias("model"), score.alias("score"))
+    good = beats_chance(labelled)
+    return votes.select("row_id", (score.between(0, 1) & ((score >= 0.5) == (F.col("ensemble_pred") == 1)) & F.lit(good)).alias("sound"))
