@@ -46,26 +46,48 @@ def _brackets(column: str, probs: Sequence[float]) -> Column:
     return F.struct(n.alias("n"), F.array(*pairs).alias("at"))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def _known(brackets: Sequence[tuple[int, Sequence[tuple[float, float]]]]) -> Column:
+    """Brackets that a kept profile gives: for each column its count and (low, high) for each prob."""
+
+    def one(n: int, pairs: Sequence[tuple[float, float]]) -> Column:
+        return F.struct(F.lit(n).cast("long").alias("n"), F.array(*[F.struct(F.lit(a).alias("low"), F.lit(b).alias("high")) for a, b in pairs]).alias("at"))
+
+    return F.struct(*[one(*b).alias(f"b{i}") for i, b in enumerate(brackets)])
+
+
+def exact_quantiles(
+    df: DataFrame,
+    columns: Sequence[str],
+    probs: Sequence[float],
+    by: Sequence[str] = (),
+    brackets: Sequence[tuple[int, Sequence[tuple[float, float]]]] | None = None,
+) -> DataFrame:
     """Rows ``by, column, prob, value``: linear interpolation between the two nearest ranks.
 
-    Missing values do not count, and missing group keys form no group.
+    Missing values do not count, and missing group keys form no group. Where ``brackets``
+    are known, for an ungrouped table, the pass that finds them is left out.
     """
     by, columns = list(by), list(columns)
     rows = df.select(*by, *[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
     for key in by:
         rows = rows.where(F.col(key).isNotNull())
-    brackets = F.struct(*[_brackets(f"_c{i}", probs).alias(f"b{i}") for i in range(len(columns))])
-    if by:
-        rows = rows.join(keep(rows.groupBy(*by).agg(brackets.alias("_b"))), by)
+    found = F.struct(*[_brackets(f"_c{i}", probs).alias(f"b{i}") for i in range(len(columns))])
+    if brackets is not None:
+        if by:
+            raise ValueError("known brackets are those of a whole table")
+        rows = rows.withColumn("_b", _known(brackets))
+    elif by:
+        rows = rows.join(keep(rows.groupBy(*by).agg(found.alias("_b"))), by)
     else:
-        rows = rows.withColumn("_b", rows.agg(brackets).scalar())
+        rows = rows.withColumn("_b", rows.agg(found).scalar())
     cells = [(i, j, F.col(f"_c{i}"), F.col(f"_b.b{i}")) for i in range(len(columns)) for j in range(len(probs))]
     # Two aggregates without a copy of a row for each column: what lies below, and what lies inside.
-    counts = [F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.max(b["n"]).alias("_total"), F.count_if(c < b["at"][j]["low"]).alias("_below")) for i, j, c, b in cells]
+    counts = [F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.max(b["n"]).alias("_total"), F.count(c).alias("_n"), F.count_if(c < b["at"][j]["low"]).alias("_below")) for i, j, c, b in cells]
     keys = [*by, "_i", "_j"]
     wanted = rows.groupBy(*by).agg(F.array(*counts).alias("_s")).select(*by, F.explode("_s").alias("_s")).select(*by, "_s.*").where(F.col("_total") > 0)
     at = F.get(F.array(*map(F.lit, probs)), F.col("_j")) * (F.col("_total") - 1)
+    other = F.raise_error(F.lit("brackets of other rows: the counts differ")).cast("long")
+    wanted = wanted.withColumn("_below", F.when(F.col("_n") == F.col("_total"), F.col("_below")).otherwise(other))
     wanted = wanted.select(*keys, (F.floor(at) - F.col("_below")).alias("_lo"), (F.ceil(at) - F.col("_below")).alias("_hi"), (at - F.floor(at)).alias("_share"))
     near = [F.when((c >= b["at"][j]["low"]) & (c <= b["at"][j]["high"]), F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), c.alias("value"))) for i, j, c, b in cells]
     inside = rows.select(*by, F.explode(F.array_compact(F.array(*near))).alias("_v")).groupBy(*by, "_v._i", "_v._j", "_v.value").agg(F.count(F.lit(1)).alias("_n"))

@@ -8,6 +8,8 @@ from labelworks.functions import scalar as S
 from labelworks.operators import order as W
 from labelworks.operators import profile as E
 from labelworks.operators import quantiles as Q
+from labelworks.operators import states as M
+from labelworks.operators.keep import keep
 from workload.registry import query
 from workload.shape import BIN_SQL, value_bin
 from workload.tables import LONG_SQL, PEOPLE_SQL, TITLE_SQL, people, raw_scores, read, six
@@ -120,6 +122,25 @@ def describe_numeric(spark, sf):
     return out.select("column", "n", *[six(c) for c in NUMBERS[1:]])
 
 
+PRICED = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+
+
+@query(
+    "profile_states",
+    f"""SELECT "column", n, round(mean, 4) AS mean, round(std, 4) AS std, min, max, q25, q50, q75
+FROM ({" UNION ALL ".join(_describe_sql("lineitem", c) for c in PRICED)})""",
+)
+def profile_states(spark, sf):
+    """The same facts from the states of three parts, merged; the quartiles from the merged brackets."""
+    table = read(spark, sf, "lineitem")
+    parts = [table.where(F.col("l_orderkey") % 3 == i) for i in range(3)]
+    state = keep(M.merge_states(*[M.profile_state(p, PRICED) for p in parts]))
+    quartiles = E.quartile_columns(M.quantiles_from_state(table, state, PRICED, list(E.QUARTILES)), ["column"])
+    # A mean put together from parts differs in its last digits: four places tell it.
+    told = M.state_summary(state).join(quartiles, "column").select("column", "n", *[six(c) for c in NUMBERS[1:]])
+    return told.withColumns({c: F.round(c, 4) for c in ("mean", "std")})
+
+
 @query("describe_grouped", _describe_sql("orders", "o_totalprice", "o_orderstatus"))
 def describe_grouped(spark, sf):
     out = E.describe_grouped(read(spark, sf, "orders"), "o_orderstatus", "o_totalprice")
