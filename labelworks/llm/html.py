@@ -1,7 +1,7 @@
 """Main text of web pages: gradient-boosted trees over DOM-node features, decoded as a tree.
 
-A page becomes a tree of elements. Each element has features of itself (tag, tokens of
-class, id and role, depth), of its subtree (text, links, density, sentences), of its
+A page becomes a tree of elements. Each element has features of itself (tag, words of
+class, id and role, alone or in a longer name, depth), of its subtree (text, links, density, sentences), of its
 siblings and of its ancestors. Trees give the probability that an element belongs to
 the main text. Decoding takes the most likely choice in which no element is kept inside
 a dropped one: bottom up, an element is kept only if keeping it, with the best choice
@@ -33,7 +33,8 @@ _TOKEN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp noframes".split())  # their content is no markup
 IN_HEAD = frozenset("base basefont bgsound link meta title noscript noframes style script template".split())  # any other tag ends an open head
-DROPPED = frozenset("head script style noscript template textarea title select button iframe svg object canvas audio video dialog xmp noframes".split())
+DROPPED = frozenset("head script style template textarea title select button iframe xmp noframes".split())  # scripts, styles, templates, controls
+JUDGED = frozenset("noscript canvas audio video object svg dialog".split())  # not blocks, but the trees decide on them
 BLOCK = frozenset(
     "html body address article aside blockquote center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split()
 )
@@ -42,7 +43,7 @@ _ENDS_SAME = {"li": ({"li"}, {"ul", "ol", "menu"}), "dd": ({"dd", "dt"}, {"dl"})
 _SCOPE = frozenset("table td th button article section aside nav header footer main div blockquote li".split())
 GROUPS = [
     {"article", "main"}, {"nav", "menu"}, {"aside"}, {"header"}, {"footer"}, {"p", "pre", "blockquote"}, {"h1", "h2", "h3", "h4", "h5", "h6"}, {"div", "section", "center"}, {"ul", "ol", "dl"},
-    {"li", "dd", "dt"}, {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"a"}, {"figure", "figcaption"}, {"html", "body"}, {"form"},
+    {"li", "dd", "dt"}, {"table", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}, {"a"}, {"figure", "figcaption"}, {"html", "body"}, {"form"}, {"noscript", "canvas", "audio", "video"}, {"object", "svg"}, {"dialog"},
 ]
 GOOD = frozenset("content article post entry main story text body page prose".split())
 BAD = [
@@ -53,6 +54,8 @@ BAD = [
     frozenset("cookie cookies consent notice alert popup modal overlay gdpr subscribe newsletter signup login search".split()),
     frozenset("comment comments reply replies discussion disqus respond share social sharing".split()),
 ]
+# Names that begin so say what a page or an element has, not what it is.
+LAYOUT = frozenset("has no with without hide show is not".split())
 _KIND = {tag: i for i, group in enumerate(GROUPS) for tag in group}
 
 
@@ -80,11 +83,17 @@ class Pages:
                         if self.generated:
                             label = int(value)
                         continue
-                    for token in map(str.lower, _TOKEN.findall(value)):
-                        good |= token in GOOD
+                    if tag == "body":
+                        continue  # its names are those of the page's layout
+                    for name in value.split():
+                        tokens = [t.lower() for t in _TOKEN.findall(name)]
+                        if len(tokens) > 1 and tokens[0] in LAYOUT:
+                            continue
+                        good |= not GOOD.isdisjoint(tokens)
                         for i, words in enumerate(BAD):
-                            bad |= (token in words) << i
-            self.asked.append(tag in BLOCK or good > 0 or bad > 0)
+                            # a name that is the word, or has it among others
+                            bad |= (not words.isdisjoint(tokens)) << (i if len(tokens) == 1 else i + len(BAD))
+            self.asked.append(tag in BLOCK or tag in JUDGED or good > 0 or bad > 0)
             self.parent.append(stack[-1][1] if stack else -1)
             self.kind.append(_KIND.get(tag, -1))
             self.depth.append(len(stack))
@@ -186,8 +195,9 @@ class Pages:
         in_link = np.cumsum(opened)[:-1] > 0
         text, links, tags, sentences = below(here), below(np.where(in_link, here, 0)), end - own, below(np.bincount(node, marks, n))
         paragraphs, anchors, items = below(kind == _KIND["p"]), below(link), below(kind == _KIND["li"])
-        flags = np.stack([kind == i for i in range(len(GROUPS))] + [np.array(self.good) > 0] + [np.array(self.bad) >> i & 1 for i in range(len(BAD))], 1).astype(np.float64)
-        good, bad = (flags[:, 0] + flags[:, len(GROUPS)]) > 0, (flags[:, 1:5].sum(1) + flags[:, len(GROUPS) + 1 :].sum(1)) > 0
+        flags = np.stack([kind == i for i in range(len(GROUPS))] + [np.array(self.good) > 0] + [np.array(self.bad) >> i & 1 for i in range(2 * len(BAD))], 1).astype(np.float64)
+        plain = flags[:, len(GROUPS) + 1 : len(GROUPS) + 1 + len(BAD)]
+        good, bad = (flags[:, 0] + flags[:, len(GROUPS)]) > 0, (flags[:, 1:5].sum(1) + plain.sum(1)) > 0
 
         def above(mark: np.ndarray) -> np.ndarray:
             opened = np.zeros(n + 1, np.int64)
@@ -242,7 +252,11 @@ def labelled_page(rng: random.Random) -> str:
     sentence = lambda a=4, b=18: words(a, b).capitalize() + rng.choice([".", ".", "!", "?", ", " + words(2, 8) + "."])
     prose = lambda a, b: " ".join(sentence() for _ in range(rng.randint(a, b)))
     links = lambda a, b: "".join(f'<li><a href="/{word()}">{words(1, 3)}</a></li>' for _ in range(rng.randint(a, b)))
-    named = lambda *names: rng.choice([f' class="{rng.choice(names)}"', f' id="{rng.choice(names)}"', f' class="{word()} {rng.choice(names)}-{word()}"'])
+    named = lambda *names: rng.choice([f' class="{rng.choice(names)}"', f' id="{rng.choice(names)}"', f' class="{word()} {rng.choice(names)}-{word()}"', f' class="{word()}-{rng.choice(names)}"'])
+    unsaid = sorted(set().union(*BAD))  # words that also stand in names of main text
+    borrowed = lambda: (lambda w: rng.choice([f"{word()}-{w}", f"{w}-{word()}", f"{w}-{word()}", f"{rng.choice(sorted(GOOD))}-{w}", f"{w}-{rng.choice(sorted(GOOD))}"]))(rng.choice(unsaid))
+    layout = lambda: f"{rng.choice(sorted(LAYOUT))}-{rng.choice(unsaid)}"
+    maybe = lambda p: rng.choice([f' class="{borrowed()}"', f' id="{borrowed()}"', f' class="{word()} {borrowed()}"', f' class="{borrowed()} {layout()}"']) if rng.random() < p else ""
     region = lambda tags, attributes, inside: (lambda t: f'<{t}{attributes} data-label="0">{inside}</{t}>')(rng.choice(tags))
     boilerplate = {
         "nav": lambda: region(["nav", "nav", "div", "ul"], rng.choice(["", named("nav", "menu", "navigation", "breadcrumb")]), f"<ul>{links(3, 9)}</ul>"),
@@ -256,13 +270,20 @@ def labelled_page(rng: random.Random) -> str:
         "notice": lambda: region(["div", "div", "section", "p"], named("cookie", "consent", "notice", "alert", "newsletter", "popup"), rng.choice([prose(1, 4), f"<p>{prose(1, 3)}</p><button>{word()}</button>"])),
         "comments": lambda: region(["section", "div", "ul", "aside"], named("comments", "comment", "replies", "discussion"), "".join(f"<div{named('comment', 'reply')}><b>{word()}</b><p>{prose(1, 6)}</p></div>" for _ in range(rng.randint(1, 6)))),
         "share": lambda: region(["div", "ul", "section"], named("share", "social"), f"<ul>{links(2, 4)}</ul>"),
+        "fallback": lambda: region(["noscript", "canvas", "audio", "video"], "", rng.choice([f"<p>{sentence()}</p>", sentence(), prose(1, 3)])),
+        "dialog": lambda: region(["dialog"], rng.choice(["", named("consent", "popup", "modal")]), f"<p>{prose(1, 3)}</p><button>{word()}</button>"),
         "form": lambda: region(["form"], rng.choice(["", "", named("search", "login", "newsletter")]), rng.choice([f"<p>{sentence()}</p>", f"<p>{sentence()}</p>", f"<label>{words(1, 3)}</label>", f"<p>{prose(1, 3)}</p>", sentence()]) + f'<input name="q"><button>{word()}</button>'),
     }
     some = lambda names, p: "".join(boilerplate[n]() for n in names if rng.random() < p)
 
     def part() -> str:
         kind = rng.random()
-        if kind < 0.06:
+        if kind < 0.1:  # main text under names that elsewhere are those of boilerplate, and plain lists of links
+            inside = f"<h2>{words(1, 5)}</h2>" + "".join(f"<p>{prose(1, 6)}</p>" for _ in range(rng.randint(1, 4)))
+            t = rng.choice(["section", "section", "div"])
+            rows = "".join(f"<tr><td>{words(1, 4)}</td><td>{words(1, 6)}</td></tr>" for _ in range(rng.randint(1, 6)))
+            return rng.choice([f"<{t}{maybe(0.8)}>{inside}</{t}>", f"<{t}{maybe(0.8)}>{inside}</{t}>", f"<table{maybe(0.7)}>{rows}</table>", f"<p{maybe(0.9)}>{prose(1, 5)}</p>", f"<ul>{links(2, 10)}</ul>", f"<ol{maybe(0.5)}>{''.join(f'<li>{sentence()}</li>' for _ in range(rng.randint(2, 6)))}</ol>", f"<figure><svg><text>{words(1, 4)}</text></svg><figcaption>{sentence()}</figcaption></figure>", f"<object><p>{prose(1, 3)}</p></object>"])
+        if kind < 0.15:
             return f"<p>{word().capitalize()}.</p>"
         if kind < 0.62:
             return f"<p>{prose(1, 7)}" + rng.choice(["</p>", "</p>", ""])
@@ -270,19 +291,24 @@ def labelled_page(rng: random.Random) -> str:
             return f"<p><b>{prose(1, 3)}<br>"
         return rng.choice([f"<h2>{words(1, 6)}</h2>", f"<ul>{''.join(f'<li>{sentence()}</li>' for _ in range(rng.randint(2, 5)))}</ul>", f"<blockquote><p>{prose(1, 3)}</p></blockquote>", f"<p>{sentence()} <a href='/x'>{words(1, 4)}</a> {sentence()}</p>", f"<table><tr><td>{words(1, 4)}</td><td>{words(1, 4)}</td></tr></table>", f"<pre>{words(3, 20)}</pre>", f"<div><p>{prose(1, 4)}</p></div>", f"<figure><figcaption>{sentence()}</figcaption></figure>", f"<p>{word()}</p>"])
 
-    inner = "".join(part() + some(["ad", "share", "side"], 0.04) for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 14, 25])))
+    inner = "".join(part() + some(["ad", "share", "side", "fallback"], 0.04) for _ in range(rng.choice([1, 1, 2, 3, 5, 8, 14, 25])))
     title = rng.choice([f"<h1>{words(1, 9)}</h1>", f"<h1>{words(1, 9)}</h1>", ""])
     head, tail = rng.choice([("<article>", "</article>")] * 4 + [("<main>", "</main>"), (f"<div{named('content', 'post', 'entry', 'story', 'article')}>", "</div>"), (f"<section{named('content', 'article')}>", "</section>"), ("<div>", "</div>"), (f"<main><article{named('post')}>", "</article></main>")])
     inside = some(["comments", "share", "form"], 0.08)
+    if "class" not in head and "id=" not in head:
+        alone = f' class="{rng.choice(unsaid)}"' if head != "<div>" and rng.random() < 0.08 else ""
+        head = head.replace(">", f"{alone or maybe(0.4)}>", 1)
+    elif rng.random() < 0.4:
+        head = re.sub(r'(class|id)="([^"]*)"', lambda m: f'{m[1]}="{m[2]} {rng.choice([borrowed, layout])()}"', head, count=1)
     body = head.replace(">", ' data-label="1">', 1) + title + inner + inside + tail
-    before = some(["header", "bare header", "nav", "notice", "ad", "form"], 0.45)
+    before = some(["header", "bare header", "nav", "notice", "ad", "form"], 0.45) + some(["fallback", "dialog"], 0.06)
     after = some(["side", "bare side", "comments", "ad", "notice", "share", "form"], 0.3) + some(["footer"], 0.4) + some(["bare footer"], 0.5)
     middle = f"{before}{body}{after}"
     if rng.random() < 0.3:
-        middle = f'<div{rng.choice(["", named("page", "wrapper", "container")])}>{middle}</div>'
+        middle = f'<div{rng.choice(["", named("page", "wrapper", "container"), maybe(1), f" class={layout()}"])}>{middle}</div>'
     if rng.random() < 0.1:
         middle = f'<form method="post" action="/{word()}"{rng.choice(["", named("page", "form")])}><input type="hidden" name="s">{middle}</form>'
-    return f'<!DOCTYPE html><html lang="en"><head><title>{words(1, 8)}</title><style>p{{}}</style><script>var t="</p>";</script></head><body>{middle}</body></html>'
+    return f'<!DOCTYPE html><html lang="en"><head><title>{words(1, 8)}</title><style>p{{}}</style><script>var t="</p>";</script></head><body{rng.choice(["", "", f' class="{layout()} {borrowed()}"', f' class="{word()}"'])}>{middle}</body></html>'
 
 
 @cache
@@ -299,7 +325,7 @@ def default_model(pages: int = 1000, seed: int = 11) -> Trees:
         if label[i] == 1 and table.parent[i] >= 0 and label[table.parent[i]] < 0:
             label[table.parent[i]] = 1  # what holds main text is kept
     asked = np.array(table.asked)
-    return fit(table.features()[asked], (label[asked] == 1).astype(np.float64))
+    return fit(table.features()[asked], (label[asked] == 1).astype(np.float64), rounds=120, depth=5)
 
 
 def main_texts(pages: list[str | None], model: Trees) -> list[str]:

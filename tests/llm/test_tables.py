@@ -99,6 +99,54 @@ def test_open_head_and_page_wide_form(page):
     assert html.main_texts([page], html.default_model()) == ["On rivers" + f"\n{SAID}" * 6]
 
 
+def whole(article="<article>", body="<body>", after=""):
+    return f"<html><head><title>t</title></head>{body}{MENU}{ARTICLE.replace('<article>', article)}{after}{FOOT}</body></html>"
+
+
+NAMES = ['class="post-12 post type-post has-comments"', 'class="post no-comments"', 'class="news-alert"', 'id="legal-notice"', 'class="comment-page"', 'class="social-policy"', 'class="search-results-story"', 'class="alert"']
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        *[whole(f"<article {n}>") for n in NAMES],
+        *[whole(body=f'<body class="{n}">') for n in ("single with-sidebar", "has-header", "single", "home blog has-sidebar page-comments", "comments")],
+        whole('<div id="content" class="site-content has-sidebar"><article>').replace("</article>", "</article></div>"),
+        *[whole(after=a) for a in (
+            '<section class="comments"><div class="comment"><b>Al</b><p>I do not agree, at all.</p></div></section>',
+            '<div class="post-comments"><div class="comment"><p>I do not agree, at all.</p></div><div class="comment"><p>Nor do I, to be honest.</p></div></div>',
+            '<div class="ad-box"><p>Buy this now, it is cheap.</p></div>',
+            "<noscript><p>Please enable JavaScript.</p></noscript>",
+            '<dialog class="consent"><p>We use cookies, please agree.</p></dialog>',
+            '<div class="site-footer">(c) 2020 Us. All rights reserved.</div>',
+        )],
+    ],
+)
+def test_names_of_layouts_do_not_decide(page):
+    assert html.main_texts([page], html.default_model()) == ["On rivers" + f"\n{SAID}" * 6]
+
+
+def test_a_long_article_that_has_comments():
+    page = whole(f"<article {NAMES[0]}>").replace(f"<p>{SAID}</p>" * 6, f"<p>{SAID}</p>" * 60)
+    assert html.main_texts([page], html.default_model()) == ["On rivers" + f"\n{SAID}" * 60]
+
+
+@pytest.mark.parametrize("region", ["article", "main"])
+@pytest.mark.parametrize(
+    ("inside", "lines"),
+    [
+        (f'<section class="related-work"><h2>Earlier work</h2>{f"<p>{SAID}</p>" * 3}</section>', ["Earlier work", SAID, SAID, SAID]),
+        ('<table class="side-effects"><tr><td>Nausea</td><td>often</td></tr><tr><td>Headache</td><td>rarely seen</td></tr></table>', ["Nausea", "often", "Headache", "rarely seen"]),
+        ("<ul>" + "".join(f'<li><a href="/{i}">Link number {i}</a></li>' for i in range(8)) + "</ul>", [f"Link number {i}" for i in range(8)]),
+        ("<figure><svg><text>Flow</text></svg><figcaption>A map of it.</figcaption></figure>", ["Flow", "A map of it."]),
+    ],
+)
+def test_main_text_under_borrowed_names(region, inside, lines):
+    some = f"<p>{SAID}</p>" * 3
+    page = f"<html><head><title>t</title></head><body>{MENU}<{region}><h1>On rivers</h1>{some}{inside}{some}</{region}>{FOOT}</body></html>"
+    assert html.main_texts([page], html.default_model()) == ["\n".join(["On rivers", *[SAID] * 3, *lines, *[SAID] * 3])]
+
+
 def test_math_is_text():
     page = f"<body>{MENU}<article><p>Since <math><mi>x</mi><mo>=</mo><mn>2</mn></math> holds, we stop.</p><p>{SAID}</p></article>"
     assert html.main_texts([page], html.default_model()) == [f"Since x=2 holds, we stop.\n{SAID}"]
