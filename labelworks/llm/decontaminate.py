@@ -1,7 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 A short test item is contained in a document if at least ``threshold`` of its distinct
-five-word shingles stand in it. Items are partitioned by their number of shingles; a
+five-word shingles stand in it; the words of a shorter item are one shingle, which stands
+in it whole. Items are partitioned by their number of shingles; a
 class keeps, of each item, the smallest shingle hashes, one more than the largest item of
 the class may lack. A document that contains the item then holds at least one of them,
 so the search misses nothing, however long the document. Every document that holds one is
@@ -38,57 +39,79 @@ _GAP[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 
 
 def _hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Lower-cased bytes, word starts and ends, words before each row, and the shingle hashes by word."""
+    """Lower-cased bytes, word starts and ends, words before each row, and the hash of each word."""
     data = _ASCII[data]
     starts, ends, first = spans(data, offsets, _GAP)
-    return data, starts, ends, first, grams(word_hashes(data, starts, ends), SHINGLE)
+    return data, starts, ends, first, word_hashes(data, starts, ends)
 
 
-def _shingle_set(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> set[bytes]:
+def _shingle_set(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> set[bytes]:
     raw = data.tobytes()
     words = [raw[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
-    return {b" ".join(words[i : i + SHINGLE]) for i in range(len(words) - SHINGLE + 1)}
+    return {b" ".join(words[i : i + size]) for i in range(len(words) - size + 1)}
+
+
+class Lookup:
+    """Signature hashes of the items whose shingles have one size: hash -> items."""
+
+    def __init__(self) -> None:
+        self.by_hash: dict[int, list[int]] = defaultdict(list)
+
+    def close(self) -> None:
+        self.keys = np.array(sorted(self.by_hash), np.uint64)
+        self.seen = np.zeros(1 << FILTER_BITS, bool)
+        self.seen[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+
+    def places(self, hashes: np.ndarray) -> np.ndarray:
+        """Where a shingle's hash is that of an item."""
+        at = np.flatnonzero(self.seen[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
+        return at[np.isin(hashes[at], self.keys)]
 
 
 class Signatures:
-    """The signatures of one block of items: hash -> items, and each item's shingles."""
+    """The signatures of one block of items, by shingle size, and each item's shingles."""
 
     def __init__(self, items: list[tuple[int, str]], threshold: float):
         self.threshold, self.ids = threshold, []
         self.shingles: list[set[bytes]] = []
-        self.by_hash: dict[int, list[int]] = defaultdict(list)
+        self.sizes: list[int] = []
+        self.lookups: dict[int, Lookup] = {}
         for item_id, text in items:
             raw = np.frombuffer(text.encode(), np.uint8)
-            data, starts, ends, _, hashes = _hashes(raw, np.array([0, len(raw)]))
-            own = _shingle_set(data, starts, ends)
-            if not own:
+            data, starts, ends, _, words = _hashes(raw, np.array([0, len(raw)]))
+            shingle = min(SHINGLE, len(starts))
+            if not shingle:
                 continue
+            own = _shingle_set(data, starts, ends, shingle)
             largest = (1 << len(own).bit_length()) - 1  # of the item's size class: 1, 2-3, 4-7, 8-15, ...
             size = math.floor(largest * (1 - threshold) + 1e-9) + 1
-            for h in np.unique(hashes)[:size].tolist():
-                self.by_hash[h].append(len(self.ids))
+            lookup = self.lookups.setdefault(shingle, Lookup())
+            for h in np.unique(grams(words, shingle))[:size].tolist():
+                lookup.by_hash[h].append(len(self.ids))
             self.ids.append(item_id)
             self.shingles.append(own)
-        self.keys = np.array(sorted(self.by_hash), np.uint64)
-        self.seen = np.zeros(1 << FILTER_BITS, bool)
-        self.seen[(self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)] = True
+            self.sizes.append(shingle)
+        for lookup in self.lookups.values():
+            lookup.close()
 
     def search(self, texts: pa.Array) -> Iterator[tuple[int, int, int, int]]:
         """(row, item, its shingles, those shared) of every contained item."""
         for lo, hi, raw, offsets in slices(texts):
-            data, starts, ends, first, hashes = _hashes(raw, offsets)
-            at = np.flatnonzero(self.seen[(hashes >> np.uint64(64 - FILTER_BITS)).astype(np.int64)])
-            at = at[np.isin(hashes[at], self.keys)]
-            row = np.searchsorted(first, at, "right") - 1
-            inside = at + SHINGLE <= first[row + 1]
+            data, starts, ends, first, words = _hashes(raw, offsets)
             found: dict[int, set[int]] = defaultdict(set)
-            for r, h in set(zip(row[inside].tolist(), hashes[at[inside]].tolist(), strict=True)):
-                found[r].update(self.by_hash[h])
+            for shingle, lookup in self.lookups.items():
+                hashes = grams(words, shingle)
+                at = lookup.places(hashes)
+                row = np.searchsorted(first, at, "right") - 1
+                inside = at + shingle <= first[row + 1]
+                for r, h in set(zip(row[inside].tolist(), hashes[at[inside]].tolist(), strict=True)):
+                    found[r].update(lookup.by_hash[h])
             for r in sorted(found):
                 own = slice(first[r], first[r + 1])
-                held = _shingle_set(data[offsets[r] : offsets[r + 1]], starts[own] - offsets[r], ends[own] - offsets[r])
+                text, begin, end = data[offsets[r] : offsets[r + 1]], starts[own] - offsets[r], ends[own] - offsets[r]
+                held = {size: _shingle_set(text, begin, end, size) for size in {self.sizes[i] for i in found[r]}}
                 for item in sorted(found[r]):
-                    shared = len(self.shingles[item] & held)
+                    shared = len(self.shingles[item] & held[self.sizes[item]])
                     if shared >= self.threshold * len(self.shingles[item]) - 1e-9:
                         yield lo + r, item, len(self.shingles[item]), shared
 
@@ -117,8 +140,8 @@ def _blocks(items: DataFrame, threshold: float) -> Iterator[Signatures]:
 
 def contained(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_shared``: one row for each document row and item
-    that is contained in it. Null texts and items of fewer than five words match nothing;
-    repeated items count once, repeated documents each; a null id is returned as null."""
+    that is contained in it. Null texts and items without words match nothing, an item of
+    fewer than five words is one shingle; repeated items count once, repeated documents each; a null id is returned as null."""
     spark = docs.sparkSession
     out = spark.createDataFrame([], "doc_id long, item_id long, n_shingles long, n_shared long")
     for block in _blocks(items, threshold):

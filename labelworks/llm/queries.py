@@ -48,16 +48,18 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 _WORDS = "list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
 
 
-def _shingles_sql(table: str, key: str) -> str:
-    return f"""SELECT DISTINCT {key}, array_to_string(w[i:i + 4], ' ') AS shingle FROM (
-    SELECT {key}, w, unnest(range(1, len(w) - 3)) AS i FROM (SELECT {key}, {_WORDS} AS w FROM {table}) WHERE len(w) >= 5)"""
+def _shingles_sql(table: str, key: str, whole: bool) -> str:
+    """Distinct shingles of five words; of items (``whole``) a shorter one is a shingle, of documents all runs of fewer words are."""
+    sizes = "CASE WHEN len(w) < 5 THEN [len(w)] ELSE [5] END" if whole else "range(1, 6)"
+    return f"""SELECT DISTINCT {key}, k, array_to_string(w[i:i + k - 1], ' ') AS shingle FROM (
+    SELECT {key}, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM (SELECT {key}, w, unnest({sizes}) AS k FROM (SELECT {key}, {_WORDS} AS w FROM {table}) WHERE len(w) >= 1){"" if whole else " WHERE k IN (SELECT k FROM items)"})"""
 
 
 @query(
     "op2_benchmark_decontamination",
-    f"""WITH items AS ({_shingles_sql("benchmark", "item_id")}), docs AS ({_shingles_sql("documents", "doc_id")}),
+    f"""WITH items AS ({_shingles_sql("benchmark", "item_id", True)}), docs AS ({_shingles_sql("documents", "doc_id", False)}),
 sizes AS (SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id),
-shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (shingle) GROUP BY doc_id, item_id)
+shared AS (SELECT doc_id, item_id, count(*) AS n_shared FROM docs JOIN items USING (k, shingle) GROUP BY doc_id, item_id)
 SELECT doc_id, item_id, n_shingles, n_shared FROM shared JOIN sizes USING (item_id) WHERE n_shared >= 0.8 * n_shingles""",
 )
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

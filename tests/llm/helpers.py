@@ -67,9 +67,15 @@ def shingles(text, n=5):
     return {tuple(w[i : i + n]) for i in range(len(w) - n + 1)}
 
 
+def item_size(text):
+    """Words of a shingle of a test item: five, or all it has."""
+    return min(5, len(re.findall("[0-9a-z\x80-\U0010ffff]+", ascii_lower(text))))
+
+
 def contains(doc, item, threshold=0.8):
-    own = shingles(item)
-    return bool(own) and len(own & shingles(doc)) >= threshold * len(own) - 1e-9
+    n = item_size(item)
+    own = shingles(item, n) if n else set()
+    return bool(own) and len(own & shingles(doc, n)) >= threshold * len(own) - 1e-9
 
 
 def sha(data):

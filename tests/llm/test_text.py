@@ -4,15 +4,18 @@ import base64
 import random
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
-from llm.helpers import SF, contains, sha, shingles
+from llm.helpers import SF, contains, item_size, sha, shingles
 from pyspark.sql import functions as F
 
 from labelworks.llm import bpe, decontaminate, language, licences
+from labelworks.llm.queries import SQL
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 ODD = [None, "", " ", "\n\n  \t x", "a" * 5000, "ab" * 3000, "été été — 汉字🙂🙂 'll 'LL 12345 ...", "<|endoftext|>", "\u0000\u00ad\u200b", "don't  stop\r\n" * 50, "̀́" * 400]
@@ -95,7 +98,7 @@ def test_vectors_are_held_in_blocks(monkeypatch):
 def test_contained_items_are_those_of_brute_force(spark, monkeypatch):
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(1, 4)))
-    items = [(i, " ".join(word() for _ in range(rng.choice([3, 5, 6, 9, 20, 60])))) for i in range(60)]
+    items = [(i, " ".join(word() for _ in range(rng.choice([1, 2, 3, 4, 5, 6, 9, 20, 60])))) for i in range(60)]
     items += [(3, items[3][1]), (70, None), (71, ""), (None, "one two three four five six")]
     docs = [(-1, None), (-2, ""), (-3, "one TWO, three four-five six")]
     for i in range(60):
@@ -109,8 +112,15 @@ def test_contained_items_are_those_of_brute_force(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "BLOCK", 25)
     d = spark.createDataFrame([(*x, 1) for x in docs], "doc_id long, text string, item_id int").repartition(3)
     b = spark.createDataFrame(items, "item_id long, text string")
-    want = sorted((str(x), str(i), len(shingles(t)), len(shingles(t) & shingles(y))) for x, y in docs for i, t in {*items} if t and contains(y, t))
+    want = sorted((str(x), str(i), len(shingles(t, item_size(t))), len(shingles(t, item_size(t)) & shingles(y, item_size(t)))) for x, y in docs for i, t in {*items} if t and contains(y, t))
+    assert {item_size(t) for i, t in items if t} == {1, 2, 3, 4, 5} and any(len(t.split()) < 5 for i, t in items if t and any(contains(y, t) for _, y in docs))
     assert sorted((str(r[0]), str(r[1]), r[2], r[3]) for r in decontaminate.contained(d, b).collect()) == want and len(want) > 10
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": [x for x, _ in docs[:-1]], "text": [y for _, y in docs[:-1]]}))
+    known = [r for r in {*items} if r[0] is not None and r[0] != 3]
+    con.register("benchmark", pd.DataFrame({"item_id": [i for i, _ in known], "text": [t for _, t in known]}))
+    told = sorted((str(r[0]), str(r[1]), r[2], r[3]) for r in con.execute(SQL["op2_benchmark_decontamination"]).fetchall())
+    assert told == sorted({w for w in want if w[1] not in ("3", "None")})
     kept = decontaminate.clean(d, b)
     assert kept.columns == d.columns and sorted(r.doc_id for r in kept.collect()) == sorted(x for x, y in docs if not any(contains(y, t) for _, t in items))
     assert decontaminate.contained(d, b.limit(0)).count() == 0 and decontaminate.clean(d.limit(0), b).count() == 0
