@@ -5,6 +5,7 @@ import math
 import random
 import re
 
+import numpy as np
 import pytest
 from llm.helpers import SF, grouped, sha
 from pyspark.sql import functions as F
@@ -209,6 +210,33 @@ def test_top_scores_are_those_of_brute_force(spark, monkeypatch, part):
     assert topk.top_k(table.limit(0), table, 3).count() == 0 and topk.top_k(table, table.limit(0), 3).count() == 0
 
 
+def test_clusters_are_pruned(spark, monkeypatch):
+    """Vectors near each other share parts and blocks: few parts are asked, few blocks scored."""
+    monkeypatch.setattr(topk, "PART", 200)
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(30, 24))
+    points = centres[rng.integers(0, 30, 3000)] + rng.normal(size=(3000, 24)) * 0.05
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(points)], "vec_id long, embedding array<double>").repartition(3)
+    asked = table.where("vec_id % 100 = 0")
+    got = grouped(tuple(r) for r in topk.top_k(table, asked, 10).collect())
+    whole = np.floor(points * 1024).astype(int)
+    for q in range(0, 3000, 100):
+        scores = whole @ whole[q]
+        order = [i for i in np.lexsort((np.arange(3000), -scores)) if i != q][:10]
+        assert sorted(got[q]) == [[n + 1, i, scores[i]] for n, i in enumerate(order)]
+    held, wanted = topk._placed(*[t.select("vec_id", F.col("embedding").alias("vector"), F.size("embedding").alias("size"), F.xxhash64("embedding").alias("mark")) for t in (table, asked)])
+    first = topk._found(held, wanted.withColumn("least", F.lit(None).cast("long")), 10)
+    parts, pairs = held.select("part").distinct().count(), topk.wanted_parts(held, wanted, first, 10).count()
+    assert parts >= 25 and pairs < 0.2 * parts * 30
+    cut, n = topk._blocks(whole.astype(float)), 0
+    assert sorted(np.concatenate(cut)) == list(range(3000)) and max(map(len, cut)) <= topk.BLOCK
+    high, low = (np.stack([f(whole[at], axis=0) for at in cut]) for f in (np.max, np.min))
+    for q in range(0, 3000, 100):
+        query = whole[q].astype(float)
+        n += topk.scored_blocks(np.arange(3000), whole.astype(float), q, query, -math.inf, 10, cut, topk._bounds(query[None], high, low)[0])[2]
+    assert n < 0.35 * 30 * len(cut)
+
+
 def test_formatting_reads_whole_tables(spark):
     table = spark.read.parquet(f"{SF}/conversations.parquet")
     assert chat.conversation_digest(table).agg(F.sum("n_turns")).first()[0] == table.count()
