@@ -4,6 +4,7 @@ throughout: expressions and ``pyspark.ml`` stages, no shuffle of the judged tabl
 
 from __future__ import annotations
 
+import random
 from collections.abc import Sequence
 
 from pyspark.ml import PipelineModel
@@ -40,30 +41,32 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
     return name, verdict
 
 
+def _runs(mark: str, framed: Column, n: int) -> Column:
+    """Every run of n characters, with a mark before it; none in a shorter text."""
+    starts = F.sequence(F.lit(1), F.length(framed) - n + 1)
+    runs = F.transform(starts, lambda at: F.concat(F.lit(mark), F.substr(framed, at, F.lit(n))))
+    return F.when(F.length(framed) >= n, runs).otherwise(F.array().cast("array<string>"))
+
+
 def _grams(mark: str, text: Column, sizes: Sequence[int]) -> Column:
     framed = F.concat(F.lit("^"), text, F.lit("$"))
-    each = [
-        F.when(F.length(framed) >= n, F.transform(F.sequence(F.lit(1), F.length(framed) - n + 1), lambda i, n=n: F.concat(F.lit(mark), F.substr(framed, i, F.lit(n))))).otherwise(
-            F.array().cast("array<string>")
-        )
-        for n in sizes
-    ]
-    return F.concat(*each)
+    return F.concat(*[_runs(mark, framed, n) for n in sizes])
 
 
 def _features(table: DataFrame, sizes: Sequence[int]) -> DataFrame:
     return table.withColumn("__grams", F.concat(_grams("h:", F.col("host"), sizes), _grams("p:", F.col("path"), sizes)))
 
 
-def train(labelled: DataFrame, sizes: Sequence[int] = (3, 4), buckets: int = 1 << 14, penalty: float = 0.001) -> PipelineModel:
-    """A model of ``url string, blocked double`` rows (1 blocked, 0 allowed); rows without label are left out."""
+def train(labelled: DataFrame, sizes: Sequence[int] = (3, 4, 5), buckets: int = 1 << 18, penalty: float = 0.001) -> PipelineModel:
+    """A model of ``url string, blocked double`` rows (1 blocked, 0 allowed); rows without label are left out.
+    Grams are 0 or 1 and not scaled, so that rare ones weigh no more than common ones."""
     table = labelled.where(F.col("blocked").isNotNull()).select(host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), F.col("blocked").cast("double"))
     hashing = HashingTF(inputCol="__grams", outputCol="__features", numFeatures=buckets, binary=True)
-    regression = LogisticRegression(featuresCol="__features", labelCol="blocked", regParam=penalty, rawPredictionCol="__raw", probabilityCol="__probability", predictionCol="__predicted")
+    regression = LogisticRegression(featuresCol="__features", labelCol="blocked", regParam=penalty, standardization=False, rawPredictionCol="__raw", probabilityCol="__probability", predictionCol="__predicted")
     return PipelineModel([hashing, regression.fit(hashing.transform(_features(table, sizes)))])
 
 
-def judge(urls: DataFrame, model: PipelineModel, rules: Sequence[Rule] = (), url_col: str = "url", sizes: Sequence[int] = (3, 4), limit: float = 0.5) -> DataFrame:
+def judge(urls: DataFrame, model: PipelineModel, rules: Sequence[Rule] = (), url_col: str = "url", sizes: Sequence[int] = (3, 4, 5), limit: float = 0.5) -> DataFrame:
     """The table with ``host, path, rule, verdict, score`` (probability of block) added;
     columns of these names are replaced. Null urls and urls without ``://`` have an empty
     host and path and are judged by the model like any other."""
@@ -75,11 +78,72 @@ def judge(urls: DataFrame, model: PipelineModel, rules: Sequence[Rule] = (), url
     return out.drop("__grams", "__features", "__raw", "__probability", "__predicted")
 
 
-def example_urls(spark: SparkSession) -> DataFrame:
-    """A small labelled table: unwanted kinds of sites and pages against ordinary ones."""
-    bad_hosts = ("casino-bonus", "best-poker-slots", "cheap-pills-online", "hot-dating-xxx", "free-movie-torrents", "click-tracker-ads", "win-prize-now", "crack-keygen-download")
-    good_hosts = ("blog.rivertown", "www.citynews", "docs.projecthub", "m.gardening", "library.statecollege", "news.harbour", "www.cookbook", "wiki.openscience")
-    bad_paths = ("/slots/free-spins", "/buy-cheap-pills", "/xxx/video", "/download/keygen.exe", "/ads/click", "/win/prize", "/casino/bonus-code", "/torrent/movie")
-    good_paths = ("/en/31297.html", "/de/12440", "/fr/article/2021", "/about", "/es/26123/", "/2020/05/garden", "/docs/install", "/")
-    rows = [(f"https://{h}.{end}{p}", blocked) for hosts, paths, blocked in ((bad_hosts, bad_paths, 1.0), (good_hosts, good_paths, 0.0)) for h in hosts for p in paths for end in ("com", "org", "net")]
-    return spark.createDataFrame(rows, "url string, blocked double")
+#: Words of unwanted sites by topic, and of ordinary ones.
+UNWANTED = (
+    "casino poker slots slot bet betting gamble gambling bingo roulette jackpot blackjack lottery wager sportsbook",
+    "viagra cialis pills pharmacy meds rx drugstore xanax tramadol",
+    "porn xxx sex escort escorts nude cams webcam milf hentai adult hookup",
+    "torrent torrents warez crack cracked keygen serials nulled pirate",
+    "malware trojan phishing spyware exploit botnet stealer",
+    "prize winner giveaway payday loans freecash crypto-doubler clickbank popunder adserver adclick traffic-exchange",
+)
+ORDINARY = (
+    "news times herald daily gazette journal press tribune radio",
+    "wiki encyclopedia library archive museum history books reading poetry",
+    "university college school academy institute research science physics biology math",
+    "docs developer code python java linux github overflow stack forum questions answers software",
+    "garden recipes cooking travel weather music sport football health family kids art photo film",
+    "city town council government court police transit rail airport hospital charity church",
+    "shop store market bakery hotel cafe bank insurance engineering electric bikes",
+)
+#: Further words that both kinds of hosts are made of.
+COMMON = "online best my the top free world web site club zone hub daily online24 plus pro home net group info city one first club365 life"
+ENDS = "com org net info io co.uk de fr es ru biz tv edu gov eu"
+PLAIN_PATHS = ("", "/", "/index.html", "/about", "/contact", "/en/", "/de/", "/fr/", "/es/", "/home", "/page/2", "/index.php")
+
+
+def example_urls(spark: SparkSession, rows: int = 3000, seed: int = 6) -> DataFrame:
+    """A small table ``url, blocked`` of ``rows`` urls, each with a host of its own: sites of
+    unwanted and of ordinary topics, ordinary sites with an unwanted page, and sites whose
+    name says nothing. Hosts and paths are put together from the word lists above and from
+    drawn syllables, in the shapes that such urls have."""
+    rng = random.Random(seed)
+    unwanted, ordinary, common, ends = ([w for line in lines for w in line.split()] for lines in (UNWANTED, ORDINARY, (COMMON,), (ENDS,)))
+    syllables = "an er in on re th es la de sch ung que ti to na mo ka li vo ar el".split()
+    name = lambda: "".join(rng.choices(syllables, k=rng.randint(2, 4)))
+    number = lambda: str(rng.choice([rng.randint(1, 99), rng.randint(100, 99999), 24, 247, 365, 777]))
+    slug = lambda words: "-".join(rng.choice([rng.choice(words), rng.choice(common), name()]) for _ in range(rng.randint(1, 4)))
+
+    def host(word: str) -> str:
+        stem = rng.choice([word, f"{word}{number()}", f"{word}-{rng.choice(common)}", f"{rng.choice(common)}-{word}", f"{rng.choice(common)}{word}", f"{word}{rng.choice(common)}", f"{name()}{word}", f"{word}-{name()}", f"{name()}-{word}-{rng.choice(common)}"])
+        return rng.choice(["", "", "www.", "www.", "m.", f"{rng.choice(['blog', 'en', 'shop', 'forum', 'news', name()])}."]) + f"{stem}.{rng.choice(ends)}"
+
+    def plain_path() -> str:
+        return rng.choice(
+            [
+                rng.choice(PLAIN_PATHS),
+                f"/{rng.choice(['en', 'de', 'fr', 'es', 'it'])}/{number()}{rng.choice(['', '/', '.html'])}",
+                f"/{rng.choice(['article', 'story', 'post', 'item', 'p', 'wiki', 'docs', 'questions', 'category', 'product'])}/{rng.choice([number(), slug(ordinary), name()])}",
+                f"/20{rng.randint(10, 24)}/{rng.randint(1, 12):02d}/{slug(ordinary)}{rng.choice(['', '/', '.html'])}",
+                f"/questions/{number()}/how-to-{slug(ordinary)}-in-{rng.choice(ordinary)}",
+                f"/{name()}/{slug(ordinary)}",
+            ]
+        )
+
+    def unwanted_path() -> str:
+        word = rng.choice(unwanted)
+        return rng.choice([f"/{word}", f"/{word}/{slug(unwanted)}", f"/{slug(unwanted)}-{word}", f"/cheap-{word}", f"/free-{word}-{name()}", f"/{word}/{name()}.{rng.choice(['exe', 'zip', 'html'])}", f"/buy-{word}-{rng.choice(common)}", f"/download/{word}-{number()}.exe"])
+
+    made: dict[str, tuple[str, float]] = {}
+    while len(made) < rows:
+        kind = rng.random()
+        if kind < 0.38:
+            own, path, blocked = host(rng.choice(unwanted)), rng.choice([plain_path, unwanted_path])(), 1.0
+        elif kind < 0.48:
+            own, path, blocked = host(rng.choice([rng.choice(ordinary), name()])), unwanted_path(), 1.0
+        elif kind < 0.8:
+            own, path, blocked = host(rng.choice(ordinary)), plain_path(), 0.0
+        else:
+            own, path, blocked = rng.choice([host(name()), f"{rng.choice(['www', 'm', 'blog', name()])}.{name()}.example.{rng.choice(['com', 'org', 'net'])}"]), plain_path(), 0.0
+        made.setdefault(own, (f"{rng.choice(['https', 'https', 'http'])}://{own}{path}", blocked))
+    return spark.createDataFrame(list(made.values()), "url string, blocked double")
