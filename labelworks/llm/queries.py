@@ -147,18 +147,27 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _TEMPLATES = licences.BASE + licences.FURTHER
 _TEMPLATES_SQL = ", ".join(f"({i}, {t.phrase.split()!r}, '{t.label}', {t.base})" for i, t in enumerate(_TEMPLATES))
+_OPENINGS_SQL = ", ".join(f"({i}, {o.text.split()!r}, '{o.label}', {o.key.split()!r}, {licences._key_place(o)})" for i, o in enumerate(licences.OPENINGS))
 
 
 @query(
     "op9_licence_scan",
     f"""WITH split AS (SELECT doc_id, {_WORDS} AS w FROM documents), templates(id, phrase, label, base) AS (VALUES {_TEMPLATES_SQL}),
+openings(id, opening, label, key, key_at) AS (VALUES {_OPENINGS_SQL}),
 words AS (SELECT doc_id, w, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM split WHERE len(w) > 0),
 parts AS (SELECT id, unnest(phrase) AS word FROM templates),
-idf AS (SELECT word, ln((1 + (SELECT count(*) FROM documents)) / (1.0 + count(DISTINCT doc_id))) + 1 AS x
-  FROM (SELECT DISTINCT word FROM parts) LEFT JOIN words USING (word) GROUP BY word),
+opened AS (SELECT id, unnest(opening) AS word, generate_subscripts(opening, 1) - 1 AS pos FROM openings),
+idf AS (SELECT word, count(DISTINCT doc_id) AS df, ln((1 + (SELECT count(*) FROM documents)) / (1.0 + count(DISTINCT doc_id))) + 1 AS x
+  FROM (SELECT word FROM parts UNION SELECT word FROM opened) LEFT JOIN words USING (word) GROUP BY word),
+rare AS (SELECT id, word, pos, x FROM (SELECT id, word, min(pos) AS pos FROM opened GROUP BY id, word) JOIN idf USING (word) QUALIFY row_number() OVER (PARTITION BY id ORDER BY df, pos) <= {licences.RARE}),
 mass AS (SELECT id, sum(x) AS m FROM parts JOIN idf USING (word) GROUP BY id),
-places AS (SELECT doc_id, label, base, i - 1 AS start, m / (SELECT max(m) FROM mass) AS weight
-  FROM words JOIN templates ON word = phrase[1] AND w[i:i + len(phrase) - 1] = phrase JOIN mass USING (id)),
+heaviest AS (SELECT max(m) AS m FROM (SELECT m FROM mass UNION ALL SELECT sum(x) FROM rare GROUP BY id)),
+places AS (SELECT doc_id, label, base, i - 1 AS start, m / (SELECT m FROM heaviest) AS weight
+  FROM words JOIN templates ON word = phrase[1] AND w[i:i + len(phrase) - 1] = phrase JOIN mass USING (id)
+  UNION ALL
+  SELECT doc_id, label, FALSE, i - 1 - key_at, sum(x) / (SELECT m FROM heaviest)
+  FROM words JOIN openings o ON word = key[1] AND w[i:i + len(key) - 1] = key JOIN rare ON rare.id = o.id AND i - key_at + rare.pos >= 1 AND w[i - key_at + rare.pos] = rare.word
+  GROUP BY doc_id, i, o.id, label, key_at HAVING count(*) >= {licences.AGREE}),
 found AS (SELECT doc_id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
   string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(weight) AS score
   FROM places GROUP BY doc_id)

@@ -168,6 +168,50 @@ def test_licence_places_are_those_of_brute_force(spark):
     assert licences.licence_digest(table.limit(0)).count() == 0
 
 
+def opening_places(words, opening, weights):
+    """Starts of an opening: enough rare words at their places, and the key phrase at its own."""
+    text, key = opening.text.split(), opening.key.split()
+    rare = sorted(set(text), key=lambda w: (-weights[w], text.index(w)))[: licences.RARE]
+    at = next(i for i in range(len(text)) if text[i : i + len(key)] == key)
+    stands = lambda start, w: 0 <= start + text.index(w) < len(words) and words[start + text.index(w)] == w
+    return [s for s in range(-len(text), len(words)) if sum(stands(s, w) for w in rare) >= licences.AGREE and s + at >= 0 and words[s + at : s + at + len(key)] == key]
+
+
+def test_licence_openings_are_those_of_brute_force(spark):
+    rng = random.Random(12)
+    filler = lambda n: " ".join(rng.choice(["lorem", "the", "software", "license", "of", "file"]) for _ in range(n))
+    docs = []
+    for n, o in enumerate(licences.OPENINGS):
+        words = o.text.split()
+        docs.append((10 * n, f"Copyright 2020 Jane Doe. {o.text.title()}, and so on"))
+        docs.append((10 * n + 1, filler(rng.randint(0, 30)) + " " + " ".join(w if rng.random() < 0.9 else "changed" for w in words)))
+        cut = rng.randrange(5, len(words) // 2)
+        docs.append((10 * n + 2, " ".join(words[cut:])))  # begins in the middle
+        docs.append((10 * n + 3, " ".join([*words[:cut], "inserted", *words[cut:]]) + " " + o.text))
+        docs.append((10 * n + 4, o.text.replace(o.key, " ".join(["other"] * len(o.key.split())))))
+        docs.append((10 * n + 5, o.key))
+    docs += [(1000, None), (1001, ""), (1002, f"({licences.OPENINGS[0].text})" * 300), (1003, filler(200))]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    vocabulary = sorted({w for t in licences.BASE + licences.FURTHER for w in t.phrase.split()} | {w for o in licences.OPENINGS for w in o.text.split()})
+    weights = licences.word_weights(table, vocabulary)
+    hits = 0
+    for r in licences.scan(table).collect():
+        words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r.text or "").lower())
+        want = sorted((s, o.label) for o in licences.OPENINGS for s in opening_places(words, o, weights))
+        phrases = sorted((i, t.label) for t in licences.BASE + licences.FURTHER for i in places(r.text, t.phrase)[0])
+        assert sorted((p.start, p.label) for p in r.places) == sorted(want + phrases), r.doc_id
+        hits += len(want)
+        if r.doc_id % 10 == 0 and r.doc_id < 1000:
+            assert any(label == licences.OPENINGS[r.doc_id // 10].label for _, label in want)
+        if r.doc_id % 10 == 4 and r.doc_id < 1000:
+            assert licences.OPENINGS[r.doc_id // 10].label not in {label for _, label in want}
+    assert hits > 300
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text"]))
+    digest = licences.licence_digest(table).withColumn("score", F.round("score", 6))
+    assert sorted(map(tuple, digest.collect())) == sorted(con.execute(SQL["op9_licence_scan"]).fetchall())
+
+
 def test_weights_count_every_document(spark):
     weights = licences.word_weights(spark.read.parquet(f"{SF}/documents.parquet"), ["license", "zzz"])
     assert weights["zzz"] > weights["license"] > 1
