@@ -21,6 +21,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.llm.columns import under_numbers
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -180,7 +182,9 @@ def scan(docs: DataFrame, templates: Sequence[Template] = BASE + FURTHER, openin
     """The table with ``n_words long, places array<struct<start int, label string, base
     boolean, weight double>>`` added: every place of every phrase and opening, words from
     zero; an opening whose first words are cut off starts before zero. Its weight is that of
-    the rare words that agree. Null texts have no words and no places."""
+    the rare words that agree. Null texts have no words and no places; columns of the added
+    names are replaced, all others stay as they are."""
+    docs, back = under_numbers(docs.drop("n_words", "places"), ("text",))
     vocabulary = sorted({w for t in templates for w in t.phrase.split()} | {w for o in openings for w in o.text.split()})
     weights = word_weights(docs, vocabulary)
     heaviest = max(_masses(templates, openings, weights))
@@ -208,7 +212,7 @@ def scan(docs: DataFrame, templates: Sequence[Template] = BASE + FURTHER, openin
 
     phrases = F.flatten(F.transform("__hits", verified))
     if not openings:
-        return hits.withColumn("places", phrases).drop("__words", "__lead", "__hits")
+        return back(hits.withColumn("places", phrases), "n_words", "places")
     pairs = F.create_map(*[x for word, found in posted.items() for x in (F.lit(word), F.array(*[F.struct(F.lit(n).alias("n"), F.lit(at).alias("at")) for n, at in found]))])
     known = F.array(*facts)
 
@@ -228,7 +232,7 @@ def scan(docs: DataFrame, templates: Sequence[Template] = BASE + FURTHER, openin
 
     starts = F.array_distinct(F.flatten(F.transform("__hits", said)))
     texts = F.filter(F.transform(starts, opened), lambda x: x.isNotNull())
-    return hits.withColumn("places", F.concat(phrases, texts)).drop("__words", "__lead", "__hits")
+    return back(hits.withColumn("places", F.concat(phrases, texts)), "n_words", "places")
 
 
 def licence_digest(docs: DataFrame, templates: Sequence[Template] = BASE + FURTHER, openings: Sequence[Opening] = OPENINGS) -> DataFrame:

@@ -23,6 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from labelworks.llm.columns import under_numbers
 from labelworks.llm.graph import components
 from labelworks.llm.words import mix
 from labelworks.operators.keep import keep
@@ -178,6 +179,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
 
     Of rows repeated under one doc_id one stays. Rows without an id stay: nothing names them.
     """
+    docs, back = under_numbers(docs, ("doc_id", "text"))
     judged = near_duplicates(docs, shingle, max_bits).where(F.col("doc_id").isNotNull())
     names = keep(judged.groupBy(F.col("doc_id").alias("__id")).agg(F.count("*").alias("__n"), F.min("component_id").alias("__least")))
     # What goes is less than what stays: the texts are shuffled only where the list of it is long.
@@ -185,7 +187,7 @@ def keep_one(docs: DataFrame, shingle: int = 4, max_bits: int = 4) -> DataFrame:
     losers, repeated = keep(names.where(~first).select("__id")), keep(names.where(first & (F.col("__n") > 1)).select("__id"))
     own = F.col("doc_id").cast("long") == F.col("__id")
     stay = docs.join(losers.unionByName(repeated), own, "left_anti")
-    return stay.unionByName(docs.join(repeated, own, "left_semi").dropDuplicates(["doc_id"]))
+    return back(stay.unionByName(docs.join(repeated, own, "left_semi").dropDuplicates(["doc_id"])))
 
 
 def component_digest(docs: DataFrame) -> DataFrame:

@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from labelworks.llm.columns import under_numbers
 from labelworks.llm.words import grams, mix, run_hashes, slices, spans, word_hashes
 from labelworks.operators.keep import keep
 from labelworks.session import on_executors
@@ -289,10 +290,11 @@ def cut_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     Texts without repeats come back byte for byte; null stays null; a text that only
     repeats earlier ones becomes what stands between its words' ends (often empty).
     """
+    docs, back = under_numbers(docs, ("doc_id", "text"))
     cut = _with_spans(docs, window)
     rest = [f for f in docs.schema.fields if f.name != "text"]
     shape = T.StructType([*rest, T.StructField("text", T.StringType())])
-    return on_executors(cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans")).mapInArrow(_cut, shape).select(*[f"`{c}`" for c in docs.columns])
+    return back(on_executors(cut.select(*[f"`{f.name}`" for f in rest], "text", "__spans")).mapInArrow(_cut, shape))
 
 
 def kept_digest(docs: DataFrame, window: int = 20) -> DataFrame:

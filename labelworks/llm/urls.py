@@ -14,6 +14,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from labelworks.llm.columns import under_numbers
+
 Rule = tuple[str, str, str]  # allow or block, host, path
 MOST_RULES = 1000
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -70,12 +72,15 @@ def judge(urls: DataFrame, model: PipelineModel, rules: Sequence[Rule] = (), url
     """The table with ``host, path, rule, verdict, score`` (probability of block) added;
     columns of these names are replaced. Null urls and urls without ``://`` have an empty
     host and path and are judged by the model like any other."""
-    parsed = urls.withColumns({"host": host_of(F.col(url_col)), "path": path_of(F.col(url_col))})
+    added = ("host", "path", "rule", "verdict", "score")
+    rest = urls.drop(*[c for c in added if c != url_col])
+    table, back = under_numbers(rest, ())
+    url = F.col(table.columns[rest.columns.index(url_col)])
+    parsed = table.withColumns({"host": host_of(url), "path": path_of(url)})
     rule, fixed = matching_rule(F.col("host"), F.col("path"), rules)
     scored = model.transform(_features(parsed, sizes)).withColumn("score", vector_to_array("__probability")[1])
     learnt = F.when(F.col("score") >= limit, "block").otherwise("allow")
-    out = scored.withColumns({"rule": rule, "verdict": F.coalesce(fixed, learnt)})
-    return out.drop("__grams", "__features", "__raw", "__probability", "__predicted")
+    return back(scored.withColumns({"rule": rule, "verdict": F.coalesce(fixed, learnt)}), *[c for c in added if c != url_col])
 
 
 #: Words of unwanted sites by topic, and of ordinary ones.

@@ -5,7 +5,7 @@ import random
 import pytest
 from llm.helpers import SF, covered, fingerprint, near, roots, sha, words
 
-from labelworks.llm import graph, simhash, substrings
+from labelworks.llm import graph, licences, simhash, substrings, urls
 
 
 def texts(seed, n, vocabulary=4, longest=60):
@@ -109,3 +109,18 @@ def test_one_of_each_group_stays_with_all_columns(spark):
     assert kept.columns == table.columns
     assert sorted(r.component_id for r in kept.collect()) == [2, 3, 5, 6]
     assert simhash.keep_one(table.limit(0)).count() == 0 and simhash.component_digest(table.limit(0)).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    """Names that the operators use on the way are those of a table's own columns as well."""
+    names = ["__id", "__spans", "__found", "__doc_id", "__n", "__least", "__words", "__lead", "__hits", "__grams", "__features", "__raw", "__probability", "__predicted", "row", "c0"]
+    passage = " ".join(f"word{i}" for i in range(30))
+    docs = spark.createDataFrame([(1, f"first {passage} MIT license", *["a"] * len(names)), (2, f"second, then {passage} and more", *["b"] * len(names))], ["doc_id", "text", *names])
+    cut = substrings.cut_repeats(docs).orderBy("doc_id").collect()
+    assert cut[1].text == "second, then  and more" and [list(r[2:]) for r in cut] == [["a"] * len(names), ["b"] * len(names)]
+    assert simhash.keep_one(docs).columns == docs.columns and simhash.keep_one(docs.unionByName(docs)).count() == 2
+    found = licences.scan(docs).orderBy("doc_id").collect()
+    assert found[0]["__words"] == "a" and found[1]["__hits"] == "b" and found[0].places[0].label == "mit"
+    model = urls.train(spark.createDataFrame([("http://a.com/", 1.0), ("http://b.org/x", 0.0)], "url string, blocked double"))
+    judged = urls.judge(docs.withColumn("url", docs.text), model).collect()
+    assert {r["__raw"] for r in judged} == {"a", "b"} and judged[0].verdict in ("allow", "block")
