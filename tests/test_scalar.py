@@ -30,6 +30,7 @@ def test_prefix(spark):
 
 
 def test_bins_are_right_closed(spark):
+    # The edges and names of the fare bins.
     labels = ["low", "medium-low", "medium-high", "high"]
     got = values(spark, S.bin_fixed("c", [0, 7.91, 14.45, 31, 512.33], labels), [0.0, 7.91, 7.92, 31.0, 512.33, 600.0, None], "double")
     assert got == [None, "low", "medium-low", "medium-high", "high", None, None]

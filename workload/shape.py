@@ -115,11 +115,13 @@ def regex_prefix(spark, sf):
     )
 
 
+# The edges and names of the fare bins.
 BIN_SQL = """CASE WHEN value > 0 AND value <= 7.91 THEN 'low' WHEN value > 7.91 AND value <= 14.45 THEN 'medium-low'
   WHEN value > 14.45 AND value <= 31 THEN 'medium-high' WHEN value > 31 AND value <= 250.5 THEN 'high' END"""
 
 
 def value_bin():
+    # Fixed values, as above.
     return S.bin_fixed("value", [0, 7.91, 14.45, 31, 250.5], ["low", "medium-low", "medium-high", "high"])
 
 
