@@ -41,7 +41,7 @@ def test_near_cells_share_a_bin(monkeypatch):
     assert np.bincount(bins).tolist() == [3, 3, 3, 3, 3, 3, 1, 1]
 
 
-def test_forests_keep_the_node_of_a_row():
+def test_forests_keep_the_node_of_a_row(spark):
     for name in ("random_forest", "extra_trees"):
         assert FAMILIES[name].estimator({}, 10).getCacheNodeIds()
 
