@@ -45,6 +45,20 @@ def test_first_rounds_are_the_smaller_model(points):
     assert all(abs(inside[k][0] - alone[k][0]) < 1e-9 and inside[k][1] == alone[k][1] for k in alone)
 
 
+def test_nested_scores_are_made_in_tasks_and_nodes_keep_their_ancestors(points):
+    model = fit_family(FAMILIES["random_forest"], SMALL["random_forest"], points, 240)
+    plan = T.nested_scores(model, points, [(5, 2), (12, None)], ["row_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan  # the nodes are no literal that every row carries
+    for tree in T.trees_of(points.sparkSession, model).trees:
+        for i in np.flatnonzero(tree.left >= 0):
+            for child in (tree.left[i], tree.right[i]):
+                assert tree.parent[child] == i and tree.depth[child] == tree.depth[i] + 1
+        at = int(np.argmax(tree.depth))
+        while tree.depth[at] > 1:
+            at = tree.parent[at]
+        assert tree.values_at(1)[np.argmax(tree.depth)] == tree.value[at] and tree.parent[0] == -1
+
+
 def test_a_cut_tree_decides_as_the_shallow_one(points):
     deep, shallow = (fit_family(FAMILIES["decision_tree"], {"max_depth": d}, points, 240) for d in (None, 3))
     inside = scores(T.nested_scores(deep, points, [(None, 3)], ["row_id"]), "row_id")
