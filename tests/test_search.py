@@ -1,10 +1,14 @@
 """Searches: settings that share a fit, the ledger, ridge paths, node tables."""
 
+from threading import Barrier
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from labelworks.operators.moments import cross_products
+from labelworks.plans import classifiers
 from labelworks.plans import training as M
 from labelworks.plans import trees as T
 from labelworks.plans.classifiers import NeighbourClassifier
@@ -204,3 +208,33 @@ def test_scores_of_one_setting(points):
     assert one.columns == ["row_id", "at", "score", "pred"] and one.count() == 240
     with pytest.raises(ValueError, match="cannot serve"):
         shared_scores(FAMILIES["logistic_regression"], model, points, [{}, {}], ["row_id"])
+
+
+def test_fits_on_all_rows_and_without_a_fold_run_side_by_side(points, monkeypatch):
+    meet = Barrier(2, timeout=60)
+
+    def beside(run):
+        def met(*args):
+            meet.wait()  # broken where one of the two waits for the other's end
+            return run(*args)
+
+        return met
+
+    monkeypatch.setattr(M, "fit_all", beside(M.fit_all))
+    monkeypatch.setattr(M, "cross_validate", beside(M.cross_validate))
+    table = points.select("row_id", "label", vector_to_array("features")[0].alias("x"))
+    bench = M.benchmark_models(table, table, M.defaults(["ridge_classifier", "decision_tree"]), k=2)
+    assert list(bench.models) == ["ridge_classifier", "decision_tree"] and bench.oof.count() == bench.held.count() == 480
+
+
+def test_the_longest_fits_come_first():
+    assert M.longest_first(M.defaults(FAMILIES))[:3] == ["boosted_trees", "extra_trees", "random_forest"]
+
+
+def test_the_package_is_sent_before_a_function_that_needs_it(points, monkeypatch):
+    """A function takes along the files sent before it is called."""
+    model, order = classifiers.FourierFeatures(dims=4).fit(points), []
+    sent, called = classifiers.on_executors, classifiers.vector_to_array
+    monkeypatch.setattr(classifiers, "on_executors", lambda df: order.append("sent") or sent(df))
+    monkeypatch.setattr(classifiers, "vector_to_array", lambda c: order.append("called") or called(c))
+    assert model.transform(points).count() == 240 and order == ["sent", "called"]
