@@ -7,6 +7,7 @@ import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from labelworks.operators.keep import keep
 from labelworks.operators.moments import cross_products
 from labelworks.plans import classifiers
 from labelworks.plans import training as M
@@ -238,3 +239,12 @@ def test_the_package_is_sent_before_a_function_that_needs_it(points, monkeypatch
     monkeypatch.setattr(classifiers, "on_executors", lambda df: order.append("sent") or sent(df))
     monkeypatch.setattr(classifiers, "vector_to_array", lambda c: order.append("called") or called(c))
     assert model.transform(points).count() == 240 and order == ["sent", "called"]
+
+
+def test_the_tasks_of_a_fit_do_not_grow_with_the_files(spark, points, monkeypatch):
+    table = keep(points.select("row_id", "label", vector_to_array("features")[0].alias("x")).repartition(40))
+    split = M.prepare(table, table)
+    assert split.n == 240 and split.train.count() == 240 and split.train.rdd.getNumPartitions() == 1
+    monkeypatch.setattr(M, "ROWS_A_TASK", 1)
+    assert M.in_few_tasks(spark.range(0, 240, 1, 40), 240).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert M.in_few_tasks(spark.range(0, 240, 1, 40), 3).rdd.getNumPartitions() == 3
