@@ -24,6 +24,7 @@ def test_a_fit_makes_no_python_object_of_a_tree(spark, monkeypatch, tmp_path):
         model = fit_family(FAMILIES[name], {"n_estimators": 4, "max_depth": 3}, df, 120)
         assert not made and model.getNumTrees == 4
         assert model.transform(df).count() == 120 and not made
+        assert len(T.trees_of(spark, model).trees) == 4 and not made
         assert len(model.trees) == 4 and made
         made.clear()
     model.write().save(f"{tmp_path}/m")
